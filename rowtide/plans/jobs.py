@@ -64,10 +64,10 @@ def group_by_domain(entities: DataFrame, entity: str, max_size: int = MAX_TABLES
     shared = sized.where(F.col("_size") > 1).withColumn(
         "group_no", F.call_function("div", F.col("_rn") - 1, F.lit(max_size)) + 1
     )
-    singles = chunk_groups(sized.where(F.col("_size") == 1), ["_pool"], [F.asc(entity)], max_size)
-    both = shared.unionByName(singles)
+    singles = chunk_groups(sized.where(F.col("_size") == 1).drop("_rn"), ["_pool"], [F.asc(entity)], max_size)
+    both = shared.drop("_rn").unionByName(singles)
     name = F.concat(F.col("_pool"), F.lit("_group"), F.col("group_no").cast("string"))
-    return both.withColumn("group_name", name).drop("_rn", "_size", "_pool", "group_no")
+    return both.withColumn("group_name", name).drop("_size", "_pool", "group_no")
 
 
 def group_members(grouped: DataFrame, entity: str, group: str = "group_name") -> DataFrame:

@@ -239,7 +239,7 @@ def change_summary(spark, sf):
 
 
 def _field(c: str) -> str:
-    return f"coalesce(concat(length(cast({c} as varchar)), ':', cast({c} as varchar)), '-')"
+    return f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
 
 
 def _lane(i: int) -> str:
@@ -261,10 +261,14 @@ def _checksum_sql(columns: str, keys: str) -> str:
       sha256(concat(cast(count(*) as varchar), '-', {_lane(0)}, '-', {_lane(1)})) as checksum from ({hashed}) group by all"""
 
 
+def _placed_keys(spark, sf, version: int):
+    order = st.physical(spark, sf).withColumnRenamed("column_id", "ordinal_position")
+    return cat.key_by_position(st.keys(spark, sf, version), order)
+
+
 def _checksums(spark, sf, version: int):
     columns = (st.columns_v1, st.columns_v2)[version - 1](spark, sf)
-    placed = cat.key_by_position(st.keys(spark, sf, version), columns.limit(0))  # key order by name
-    return cat.schema_checksum(columns, placed)
+    return cat.schema_checksum(columns, _placed_keys(spark, sf, version))
 
 
 @query(_checksum_sql(st.columns_v1_sql(), st.keys_sql(1)))
@@ -291,8 +295,7 @@ def _key_text_sql(version: int) -> str:
     from ({_key_text_sql(1)}) o full outer join ({_key_text_sql(2)}) n using (table_schema, table_name) where o.k is distinct from n.k"""
 )
 def key_change(spark, sf):
-    placed = [cat.key_by_position(st.keys(spark, sf, v), st.physical(spark, sf).withColumn("ordinal_position", F.col("column_id"))) for v in (1, 2)]
-    return df_.key_change(*placed)
+    return df_.key_change(*[_placed_keys(spark, sf, v) for v in (1, 2)])
 
 
 DIFFERENT = """(b.o_custkey is distinct from f.o_custkey or b.o_orderstatus is distinct from f.o_orderstatus
