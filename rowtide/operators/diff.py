@@ -100,6 +100,15 @@ def change_summary(changes: DataFrame, by: Sequence[str] = TABLE, kind: str = "k
     return changes.groupBy(*by, kind).agg(F.count("*").alias("n_changes"))
 
 
+def match_sides(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each key of either version with ``+`` (new only), ``-`` (old only) or ``=`` (both)."""
+    before = old.select(*keys, F.lit(True).alias("_o"))
+    after = new.select(*keys, F.lit(True).alias("_n"))
+    both = before.join(after, list(keys), "full_outer")
+    side = F.when(F.col("_o").isNull(), ADDED).when(F.col("_n").isNull(), REMOVED).otherwise(SAME)
+    return both.select(*keys, side.alias("side"))
+
+
 def paired_versions(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Both versions of every key side by side, with the kind of its change."""
     payload = [c for c in new.columns if c not in keys]

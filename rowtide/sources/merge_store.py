@@ -106,7 +106,7 @@ class MergeStore:
         """Write the latest change per identity of a batch, then its commit mark."""
         latest = latest_change_per_key(changes.select(*self.schema.names), [*self.identity, *self.part_names])
         self._write_parts(latest, f"{self.root}/delta/batch_id={batch_id}")
-        mark = self.spark.createDataFrame([(batch_id,)], _COMMIT).coalesce(1)
+        mark = self.spark.range(batch_id, batch_id + 1, 1, 1).toDF("batch_id")
         mark.write.mode("overwrite").json(f"{self.root}/commit/batch_id={batch_id}")
 
     # -- reading ------------------------------------------------------------------------------
@@ -132,8 +132,9 @@ class MergeStore:
         """Current state with tombstones; ``where`` restricts the parts read.
 
         Right after a compaction the base is the state and nothing is shuffled. With open deltas,
-        their latest changes replace base rows by key: Catalyst broadcasts them while they are
-        small, so the base is still only scanned. A change older than its base row loses.
+        the base is scanned once for the rows and once more for its keys alone; both times the
+        latest changes join by key, and Catalyst broadcasts them while their files are small.
+        A change older than its base row loses.
         """
         _, folded, parts = self._manifest()
         open_batches = [k for k in self.committed_batches() if k > folded and (upto is None or k <= upto)]
@@ -141,16 +142,19 @@ class MergeStore:
         if not open_batches:
             return base
         by = [*self.identity, *self.part_names]
-        latest = latest_change_per_key(self._deltas(open_batches, where), by)
+        latest = self._deltas(open_batches, where)
+        if len(open_batches) > 1:  # a single delta already has one row per identity
+            latest = latest_change_per_key(latest, by)
         if not parts:
             return latest
         order = change_order(base.columns, by)
-        newer = latest.withColumn("_delta", order).select(*by, "_delta")
-        dated = base.withColumn("_base", order)
-        kept = dated.join(newer, by, "left").where(F.col("_delta").isNull() | (F.col("_base") > F.col("_delta")))
-        stale = dated.select(*by, "_base").join(newer, by).where(F.col("_base") > F.col("_delta"))
-        changed = latest.join(stale.select(*by), by, "left_anti")
-        return kept.select(*base.columns).unionByName(changed)
+        newer = latest.select(*by, order.alias("_delta"))
+        joined = base.withColumn("_base", order).join(newer, by, "left")
+        winner = F.when(F.col("_base") >= F.col("_delta"), F.col("_base")).otherwise(F.coalesce("_delta", "_base"))
+        rows = joined.select(*by, winner.alias("_w"))
+        merged = rows.select(*[F.col(c) if c in by else F.col(f"_w.{c}").alias(c) for c in base.columns])
+        present = base.select(*by).join(latest.select(*by), by, "left_semi")
+        return merged.unionByName(latest.join(present, by, "left_anti"))
 
     def compact(self) -> list[tuple]:
         """Fold open deltas into new versions of the parts they touch; returns those parts.

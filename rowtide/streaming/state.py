@@ -18,8 +18,8 @@ from rowtide.sources.merge_store import KeyedTable
 from rowtide.streaming.feeds import _start
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_RANK = "_rank"
-_PAYLOAD = "_payload"
+_RANK = "change_rank"
+_PAYLOAD = "change_payload"
 _JSON = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",

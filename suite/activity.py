@@ -141,7 +141,8 @@ def fallback_chain(spark, sf):
     f"""select entity, total_reads, total_updates, {st.RATIO_SQL} as read_write_ratio from (
       select user_id as entity, cast(sum(case when event_type in ('view', 'click') then 1 else 0 end) as bigint) as total_reads,
              cast(sum(case when event_type = 'purchase' and event_id % 5 = 0 then 1 else 0 end) as bigint) as total_updates
-      from events group by user_id)"""
+      from events group by user_id)""",
+    name="read_write_ratio",
 )
 def read_write_ratio_by_entity(spark, sf):
     events = table(spark, sf, "events")
@@ -152,7 +153,7 @@ def read_write_ratio_by_entity(spark, sf):
     return rolled.withColumn("read_write_ratio", read_write_ratio(F.col("total_reads"), F.col("total_updates")))
 
 
-@query(f"select entity, total_updates, {st.tier_sql('total_updates')} as category from ({st.ROLLUP_SQL})")
+@query(f"select entity, total_updates, {st.tier_sql('total_updates')} as category from ({st.ROLLUP_SQL})", name="tier")
 def tier_by_writes(spark, sf):
     rolled = act.activity_rollup(st.index_usage(spark, sf), "entity")
     return rolled.select("entity", "total_updates", tier(F.col("total_updates"), st.HIGH, st.LOW).alias("category"))

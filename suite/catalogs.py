@@ -161,6 +161,15 @@ def union_with_priority(spark, sf):
     return lookup.union_with_priority(default, custom, ["user_id", "event_type"])
 
 
+@query(
+    f"""select {NAMES}, case when not coalesce(o, false) then '+' when not coalesce(n, false) then '-' else '=' end as side
+    from (select {NAMES}, true as o from ({st.columns_v1_sql()})) full outer join
+         (select {NAMES}, true as n from ({st.columns_v2_sql()})) using (table_schema, table_name, column_name)"""
+)
+def diff_full_outer(spark, sf):
+    return df_.match_sides(st.columns_v1(spark, sf), st.columns_v2(spark, sf), cat.COLUMN)
+
+
 # ---- H: set operations -----------------------------------------------------------------------------
 
 _VERSIONS = f"with {st.applied_sql()}"

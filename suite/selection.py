@@ -15,7 +15,8 @@ GLOBS = ["*RING", "red *", "blue b?lt", "small widget"]
 
 @query(
     """select p_partkey, p_name, (lower(p_name) like '%ring' or lower(p_name) like 'red %'
-    or lower(p_name) like 'blue b_lt' or lower(p_name) = 'small widget') as matches, true as matches_empty from part"""
+    or lower(p_name) like 'blue b_lt' or lower(p_name) = 'small widget') as matches, true as matches_empty from part""",
+    name="glob_match",
 )
 def glob_match_names(spark, sf):
     part = table(spark, sf, "part")
@@ -32,7 +33,7 @@ def include_exclude(spark, sf):
     return sel.select_names(part, "p_name", include=["*ring", "*BOLT"], exclude=["Red*"])
 
 
-@query("select p_partkey, p_name, regexp_matches(p_name, '(?i)^red.*|.*_bolt$|W[aeiou]d') as matches from part")
+@query("select p_partkey, p_name, regexp_matches(p_name, '(?i)^red.*|.*_bolt$|W[aeiou]d') as matches from part", name="regex_match")
 def regex_match_names(spark, sf):
     test = regex_match(F.col("p_name"), ["^red.*", ".*_bolt$", "W[aeiou]d"])
     return table(spark, sf, "part").select("p_partkey", "p_name", test.alias("matches"))

@@ -159,7 +159,7 @@ def money_decimal(spark, sf):
     )
 
 
-@query("select c_custkey, lpad(cast(c_nationkey as varchar), 4, '0') as c_nationkey, lower(c_mktsegment) as c_mktsegment from customer")
+@query("select c_custkey, lpad(cast(c_nationkey as varchar), 4, '0') as c_nationkey, lower(c_mktsegment) as c_mktsegment from customer", name="register_conversion")
 def register_conversion_native(spark, sf):
     register_conversion("nation_code", lambda c, spec: F.lpad(c.cast("string"), spec.length, "0"))
     register_conversion("segment", lambda c, spec: F.lower(c))
@@ -171,7 +171,7 @@ def register_conversion_native(spark, sf):
     return out
 
 
-@query("select p_partkey, reverse(p_name) as p_name from part")
+@query("select p_partkey, reverse(p_name) as p_name from part", name="pandas_conversion")
 def register_conversion_pandas(spark, sf):
     """A conversion given as an Arrow function, where a native one is missing."""
 
