@@ -33,6 +33,7 @@ class ColumnSpec:
     precision: int | None = None
     scale: int | None = None
     truncate: bool = False
+    stored_as: str = ""  # Spark type of the column, where known: lets range checks replace failing casts
 
     @property
     def max_length(self) -> int:
@@ -45,9 +46,9 @@ class ColumnSpec:
         return 2 * (self.length or DEFAULT_BINARY_LENGTH) if self.length != -1 else 2 * MAX_LENGTH
 
     @property
-    def digits(self) -> str:
+    def digits(self) -> tuple[int, int]:
         precision = DEFAULT_PRECISION if self.precision is None else self.precision
-        return f"decimal({precision},{DEFAULT_SCALE if self.scale is None else self.scale})"
+        return precision, DEFAULT_SCALE if self.scale is None else self.scale
 
     @property
     def fraction(self) -> int:
@@ -57,17 +58,57 @@ class ColumnSpec:
 
 Conversion = Callable[[Column, ColumnSpec], Column]
 
+# Value ranges of the whole-number types, and types whose values compare as numbers.
+_RANGES = {"smallint": 2**15, "int": 2**31, "bigint": 2**63}
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+_EXACT_IN_DOUBLE = 15
+
 
 def _cast(kind: str) -> Conversion:
     return lambda c, spec: c.try_cast(kind)
 
 
+def _in_range(c: Column, spec: ColumnSpec, kind: str, low: float, high: float) -> Column:
+    """``try_cast`` of values strictly between the bounds.
+
+    A failing cast raises inside Spark, once per row; comparing first keeps a column full of
+    numbers out of range as fast as a clean one.
+    """
+    cast = c.try_cast(kind)
+    if not spec.stored_as.startswith(_NUMERIC):
+        return cast
+    return F.when((c > F.lit(low)) & (c < F.lit(high)), cast)
+
+
+def _whole(kind: str) -> Conversion:
+    limit = _RANGES[kind]
+
+    def convert(c: Column, spec: ColumnSpec) -> Column:
+        if kind == "bigint":  # the bounds themselves do not fit a whole number
+            return c.try_cast(kind)
+        return _in_range(c, spec, kind, -limit - 1, limit)
+
+    return convert
+
+
+def _decimal_of(precision: int, scale: int) -> Conversion:
+    def convert(c: Column, spec: ColumnSpec) -> Column:
+        kind = f"decimal({precision},{scale})"
+        if precision > _EXACT_IN_DOUBLE:
+            return c.try_cast(kind)
+        bound = float(10 ** (precision - scale))
+        return _in_range(c, spec, kind, -bound, bound)
+
+    return convert
+
+
 def _decimal(c: Column, spec: ColumnSpec) -> Column:
-    return c.try_cast(spec.digits)
+    precision, scale = spec.digits
+    return _decimal_of(precision, scale)(c, spec)
 
 
 def _tinyint(c: Column, spec: ColumnSpec) -> Column:
-    wide = c.try_cast("smallint")
+    wide = _whole("smallint")(c, spec)
     return F.when(wide.between(0, 255), wide)
 
 
@@ -128,8 +169,8 @@ _CONVERSIONS: dict[str, Conversion] = {
     "tinyint": _tinyint,
     "decimal": _decimal,
     "numeric": _decimal,
-    "money": _cast("decimal(19,4)"),
-    "smallmoney": _cast("decimal(10,4)"),
+    "money": _decimal_of(19, 4),
+    "smallmoney": _decimal_of(10, 4),
     "float": _cast("double"),
     "real": _cast("float"),
     "bit": _cast("boolean"),
@@ -142,12 +183,16 @@ _CONVERSIONS: dict[str, Conversion] = {
     "varbinary": _hex,
     "image": _hex,
 }
-_CONVERSIONS |= {kind: _cast(kind) for kind in ("smallint", "int", "bigint", "date")}
+_CONVERSIONS |= {kind: _whole(kind) for kind in _RANGES} | {"date": _cast("date")}
 _CONVERSIONS |= {kind: _padded for kind in ("char", "nchar")}
 _CONVERSIONS |= {kind: _text for kind in ("varchar", "nvarchar")}
 _CONVERSIONS |= {kind: _string for kind in ("text", "ntext", "xml", "json", "uniqueidentifier")}
 
 
+# Conversions to text or from any bytes; there is no value they refuse.
+_NEVER_FAIL = {"char", "nchar", "varchar", "nvarchar", "text", "ntext", "xml", "varbinary", "image"}
+
+
 def register_conversion(source_type: str, conversion: Conversion) -> None:
     """Add or replace the conversion of a source type.
 
@@ -155,6 +200,7 @@ def register_conversion(source_type: str, conversion: Conversion) -> None:
     Arrow ``pandas_udf`` where no native one can say it.
     """
     _CONVERSIONS[source_type.lower()] = conversion
+    _NEVER_FAIL.discard(source_type.lower())
 
 
 def unregister_conversion(source_type: str) -> None:
@@ -189,7 +235,9 @@ def _over_length(value: Column, spec: ColumnSpec) -> Column | None:
 def violations(value: Column, spec: ColumnSpec) -> dict[str, Column]:
     """Named boolean tests, each true where the value breaks its declaration."""
     kind = spec.source_type.lower()
-    found = {"failed_cast": value.isNotNull() & converted(value, spec).isNull()}
+    found = {}
+    if kind not in _NEVER_FAIL and is_mapped(kind):
+        found["failed_cast"] = value.isNotNull() & converted(value, spec).isNull()
     if kind == "uniqueidentifier":
         found["failed_cast"] = ~value.cast("string").rlike(GUID)
     elif kind == "json":

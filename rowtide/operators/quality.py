@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +14,14 @@ from rowtide.functions.digests import additive_digest, row_digest
 VIOLATIONS = ("failed_cast", "null_in_not_null", "over_length")
 
 
+def _bound(df: DataFrame, specs: Sequence[ColumnSpec]) -> list[ColumnSpec]:
+    """Declarations that know how their columns are stored."""
+    return [replace(spec, stored_as=df.schema[spec.name].dataType.simpleString()) for spec in specs]
+
+
 def conform(df: DataFrame, specs: Sequence[ColumnSpec]) -> DataFrame:
     """Cast declared columns to their mapped types; columns without declaration pass unchanged."""
-    declared = {spec.name: spec for spec in specs}
+    declared = {spec.name: spec for spec in _bound(df, specs)}
     return df.select(
         *[converted(F.col(c), declared[c]).alias(c) if c in declared else F.col(c) for c in df.columns]
     )
@@ -28,7 +34,7 @@ def conformance_report(df: DataFrame, specs: Sequence[ColumnSpec]) -> DataFrame:
     """
     totals = [F.count(F.lit(1)).alias("_rows")]
     entries = []
-    for i, spec in enumerate(specs):
+    for i, spec in enumerate(_bound(df, specs)):
         value = F.col(spec.name)
         tests = violations(value, spec) | {"n_nulls": value.isNull()}
         for name, test in tests.items():
@@ -53,7 +59,7 @@ def with_reasons(df: DataFrame, specs: Sequence[ColumnSpec]) -> DataFrame:
     """Rows with ``reasons``, an array of ``column:violation``; empty where all values fit."""
     found = [
         F.when(test, F.lit(f"{spec.name}:{name}"))
-        for spec in specs
+        for spec in _bound(df, specs)
         for name, test in violations(F.col(spec.name), spec).items()
     ]
     return df.withColumn("reasons", F.array_compact(F.array(*found)))

@@ -8,8 +8,8 @@ Layout under one root folder::
     manifest/version=V/          current base version of every part, and the last batch folded in
 
 A part is a bucket of the key (and, in a table set, the table). Everything is written by Spark's own
-committers and read back by explicit paths, so listings do not grow with the history. Batches are
-numbered upwards; writing a batch again overwrites it, which makes replays harmless.
+committers and read back by explicit paths; :meth:`MergeStore.vacuum` removes what no reader needs any
+more. One writer at a time. Batches are numbered upwards; writing a batch again overwrites it, which makes replays harmless.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from rowtide.operators.changes import DELETE, OP, SEQ, as_state, change_order, latest_change_per_key, live_rows
+from rowtide.session import delete_folder, shuffle_width
 
 BUCKET = "bucket"
 TABLE_NAME = "table_name"
@@ -85,8 +86,8 @@ class MergeStore:
     # -- writing ------------------------------------------------------------------------------
 
     def _write_parts(self, df: DataFrame, path: str) -> None:
-        """One shuffle by part, so that each part gets one task and few files."""
-        placed = df.repartition(*[F.col(p) for p in self.part_names])
+        """Few files per part: rows are brought together by part, and large parts are split again."""
+        placed = df.hint("rebalance", *self.part_names)
         placed.write.mode("overwrite").partitionBy(*self.part_names).parquet(path)
 
     def put_base(self, state: DataFrame) -> None:
@@ -111,13 +112,14 @@ class MergeStore:
 
     # -- reading ------------------------------------------------------------------------------
 
+    def _base_folder(self, part: tuple, version: int) -> str:
+        names = [f"{n}={x}" for n, x in zip(self.part_names, part)]
+        return "/".join([f"{self.root}/base/version={version}", *names])
+
     def _base(self, parts: dict[tuple, int], where: Column | None) -> DataFrame:
         if not parts:
             return self.spark.createDataFrame([], self.schema)
-        folders = [
-            "/".join([f"{self.root}/base/version={v}", *[f"{n}={x}" for n, x in zip(self.part_names, part)]])
-            for part, v in parts.items()
-        ]
+        folders = [self._base_folder(part, v) for part, v in parts.items()]
         df = self.spark.read.schema(self.schema).option("basePath", f"{self.root}/base").parquet(*folders)
         df = df.select(*self.schema.names)
         return df if where is None else df.where(where)
@@ -169,18 +171,46 @@ class MergeStore:
         deltas = self._deltas(open_batches, None)
         touched = {tuple(r) for r in deltas.select(*self.part_names).distinct().collect()}
         old = self._base({p: v for p, v in parts.items() if p in touched}, None)
-        self._rewrite(old.unionByName(deltas), version + 1)
+        self._rewrite(old.unionByName(deltas), version + 1, len(touched))
         self._write_manifest(version + 1, open_batches[-1], parts | dict.fromkeys(touched, version + 1))
         return sorted(touched)
 
-    def _rewrite(self, rows: DataFrame, version: int) -> None:
-        # Deltas already hold one row per key and batch, so a shuffle by part alone has no hot key,
-        # and the aggregate below is satisfied with it: one shuffle in all.
-        placed = rows.repartition(*[F.col(p) for p in self.part_names])
-        latest = latest_change_per_key(placed, [*self.part_names, *self.identity])
+    def _rewrite(self, rows: DataFrame, version: int, n_parts: int) -> None:
+        # One shuffle in all: rows of an identity meet in a slice of their part, and grouping by
+        # part, slice and identity is satisfied with that. Slices keep the tasks at the shuffle
+        # width however few the parts; no key is hot, as each batch holds an identity once.
+        slices = max(1, shuffle_width(self.spark) // max(1, n_parts))
+        sliced = rows.withColumn("_slice", F.pmod(F.hash(*self.identity), F.lit(slices)))
+        by = [*self.part_names, "_slice"]
+        latest = latest_change_per_key(sliced.repartition(*[F.col(c) for c in by]), [*by, *self.identity])
         writer = latest.select(*self.schema.names).write.mode("overwrite").partitionBy(*self.part_names)
         writer.parquet(f"{self.root}/base/version={version}")
 
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete files that the last ``keep`` versions do not need; returns the folders deleted.
+
+        Keep enough versions for the longest read under way. Folded batches go with their marks, so
+        the small metadata stays short.
+        """
+        rows = self._read_json("manifest", self._manifest_schema())
+        versions = sorted({r.version for r in rows})[-keep:]
+        kept = [r for r in rows if r.version in versions]
+        if not kept:
+            return 0
+        folded = min(r.folded_upto for r in kept)
+        needed = {self._base_folder(tuple(r[p] for p in self.part_names), r.base_version) for r in kept if r.base_version is not None}
+        doomed = []
+        for batch in self.committed_batches():
+            if batch <= folded:
+                doomed += [f"{self.root}/{kind}/batch_id={batch}" for kind in ("delta", "commit")]
+        for r in rows:
+            if r.base_version is not None:
+                folder = self._base_folder(tuple(r[p] for p in self.part_names), r.base_version)
+                if folder not in needed:
+                    doomed.append(folder)
+        doomed += [f"{self.root}/manifest/version={v}" for v in {r.version for r in rows} - set(versions)]
+        return sum(delete_folder(self.spark, folder) for folder in dict.fromkeys(doomed))
+
     def purge_tombstones(self, before_seq: int) -> None:
         """Rewrite the base without tombstones older than ``before_seq``."""
         self.compact()
@@ -218,6 +248,9 @@ class KeyedTable:
     def read(self, upto: int | None = None) -> DataFrame:
         return live_rows(self.state(upto)).select(*self.columns)
 
+    def vacuum(self, keep: int = 2) -> int:
+        return self.store.vacuum(keep)
+
     def compact(self) -> int:
         """Fold deltas into the base; returns the number of buckets rewritten."""
         return len(self.store.compact())

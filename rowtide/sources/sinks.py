@@ -28,9 +28,12 @@ def write_json_rows(df: DataFrame, path: str) -> None:
 def write_bucketed(
     df: DataFrame, path: str, keys: Sequence[str], buckets: int, bucket: Column | None = None
 ) -> None:
-    """Rows hash-distributed by key into folders; ``bucket`` replaces the hash by another rule."""
+    """Rows hash-distributed by key into folders; ``bucket`` replaces the hash by another rule.
+
+    A key that repeats often fills its bucket: rebalancing splits such a bucket over tasks and files.
+    """
     placed = df.withColumn(BUCKET, bucket if bucket is not None else bucket_of(keys, buckets))
-    placed.repartition(buckets, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    placed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
 
 def write_catalog_version(catalog: DataFrame, path: str, environment: str, job: str, version: int) -> None:

@@ -79,6 +79,21 @@ def test_only_touched_buckets_are_rewritten(spark, target):
     assert sorted(versions) == [0, 0, 0, 1]
 
 
+def test_vacuum_keeps_what_is_read(spark, rows, target):
+    target.load(base(spark, BASE))
+    for k in range(4):
+        target.apply(feed(spark, [(6, f"v{k}", k, "u", 10 + k)]), k)
+        target.compact()
+    target.apply(feed(spark, [(5, "open", 1, "u", 99)]), 4)
+    expected = [(2, "old", 0), (3, "old", 0), (5, "open", 1), (6, "v3", 3)]
+    assert target.vacuum(keep=1) > 0
+    assert rows(target.read()) == expected
+    assert target.store.committed_batches() == [4]
+    assert target.vacuum(keep=1) == 0
+    target.compact()
+    assert rows(target.read()) == expected
+
+
 def test_merge_join_of_a_large_delta(spark, rows, target):
     """Beyond the broadcast limit the same result comes from a shuffled join."""
     target.load(base(spark, BASE))
