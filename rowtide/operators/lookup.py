@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowtide.session import broadcast_if_small, pinned
+
 
 def union_with_priority(defaults: DataFrame, custom: DataFrame, on: Sequence[str], custom_wins: bool = True) -> DataFrame:
     """Default entries and custom entries with one row per key; ``custom_wins`` settles conflicts."""
@@ -26,8 +28,10 @@ def lookup_first_match(df: DataFrame, mapping: DataFrame, on: Sequence[str], pri
     """Each row with the first mapping entry of its key; rows without one keep nulls.
 
     The mapping is cut to one row per key before the join, so rows are neither multiplied nor ranked.
+    It is broadcast when counting shows it to be short; a long one joins by shuffle.
     """
-    return df.join(_first_by(mapping, on, [priority]), list(on), "left")
+    first = broadcast_if_small(pinned(_first_by(mapping, on, [priority])))
+    return df.join(first, list(on), "left")
 
 
 def array_membership(df: DataFrame, groups: DataFrame, column: str, members: str) -> DataFrame:

@@ -8,30 +8,46 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtide.functions.times import seconds_interval, wall_seconds
+from rowtide.session import broadcast_if_small, pinned
 
-DEFAULT_SPAN = 1_000_000
+MAX_RUN = 1_000_000
+
+
+def _stretched(df: DataFrame, keys: Sequence[str], seq: str, max_run: int) -> DataFrame:
+    """Rows with ``_part``: 0, or for keys of more than ``max_run`` rows the stretch of seq they lie in.
+
+    Such keys are at most the rows divided by ``max_run``; their list is broadcast once its size is
+    checked. A stretch is as wide as holds ``max_run`` rows of its key on average.
+    """
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(seq).alias("_lo"), F.max(seq).alias("_hi"))
+    width = F.call_function("div", (F.col("_hi") - F.col("_lo") + 1), F.ceil(F.col("_n") / max_run)) + 1
+    long = counted.where(F.col("_n") > max_run).select(*keys, "_lo", width.alias("_width"))
+    part = F.call_function("div", F.col(seq) - F.col("_lo"), F.col("_width"))
+    placed = df.join(broadcast_if_small(pinned(long)), list(keys), "left")
+    return placed.withColumn("_part", F.coalesce(part, F.lit(0).cast("bigint"))).withColumn(
+        "_long", F.col("_lo").isNotNull()
+    )
 
 
 def version_history(
-    df: DataFrame, keys: Sequence[str], seq: str, attributes: Sequence[str], span: int = DEFAULT_SPAN
+    df: DataFrame, keys: Sequence[str], seq: str, attributes: Sequence[str], max_run: int = MAX_RUN
 ) -> DataFrame:
     """Old and new value of each attribute whenever it changes from one version to the next.
 
-    ``seq`` is a whole number, unique per key. A key's versions are cut into stretches of ``span``
-    seq values, so no task sorts more than ``span`` versions of a key; the last version of each
-    stretch is handed to the next non-empty one.
+    ``seq`` is a whole number, unique per key. A key with very many versions is cut into stretches
+    that are sorted apart; the last version of each is handed to the next one that has any.
     """
-    values = F.struct(*attributes)
-    stretch = F.call_function("div", F.col(seq), F.lit(span))
-    rows = df.select(*keys, seq, values.alias("_now"), stretch.alias("_part"))
+    named = df.select(*keys, seq, F.struct(*attributes).alias("_now"))
+    rows = _stretched(named, keys, seq, max_run)
     in_part = Window.partitionBy(*keys, "_part").orderBy(seq)
-    rows = rows.withColumn("_prev", F.lag("_now").over(in_part))
+    lagged = rows.withColumn("_prev", F.lag("_now").over(in_part))
 
-    tails = rows.groupBy(*keys, "_part").agg(F.max(F.struct(seq, "_now")).getField("_now").alias("_tail"))
+    cut = rows.where("_long").groupBy(*keys, "_part")
+    tails = cut.agg(F.max(F.struct(seq, "_now")).getField("_now").alias("_tail"))
     carried = tails.select(
         *keys, "_part", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_part")).alias("_carry")
     )
-    rows = rows.join(carried, [*keys, "_part"], "left")
+    rows = lagged.join(carried, [*keys, "_part"], "left")
     before = F.coalesce("_prev", "_carry")
 
     def entry(c: str):

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowtide.functions.measures import TIERS
 from rowtide.operators.activity import CATEGORY, TOTAL, totals_by
 from rowtide.operators.ranking import chunk_groups, ranked
 
@@ -76,9 +77,8 @@ def group_members(grouped: DataFrame, entity: str, group: str = "group_name") ->
 
 
 def union_tiers(activity: DataFrame, schema: str, entity: str) -> DataFrame:
-    """Membership rows of the high, medium and low jobs put together."""
-    parts = [with_tier_job(activity.where(F.col(CATEGORY) == t), schema, entity) for t in ("high", "medium", "low")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Membership rows of the high, medium and low jobs put together, in one pass over the entities."""
+    return with_tier_job(activity.where(F.col(CATEGORY).isin(*TIERS)), schema, entity)
 
 
 def union_job_outputs(outputs: dict[str, DataFrame]) -> DataFrame:

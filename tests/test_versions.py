@@ -21,8 +21,8 @@ def log(spark):
     return data, spark.createDataFrame(data, "k string, seq bigint, ts timestamp_ntz, v string, n int")
 
 
-@pytest.mark.parametrize("span", [1, 7, 100, 10_000])
-def test_history(spark, log, span):
+@pytest.mark.parametrize("max_run", [1, 7, 300, 10_000])
+def test_history(spark, log, max_run):
     data, df = log
     expected, last = set(), {}
     for key, seq, _, v, n in data:
@@ -31,7 +31,7 @@ def test_history(spark, log, span):
                 if old != new:
                     expected.add((key, seq, name, None if old is None else str(old), None if new is None else str(new)))
         last[key] = (v, n)
-    got = [tuple(r) for r in ver.version_history(df, ["k"], "seq", ["v", "n"], span).collect()]
+    got = [tuple(r) for r in ver.version_history(df, ["k"], "seq", ["v", "n"], max_run).collect()]
     assert len(got) == len(set(got)) and set(got) == expected
 
 
