@@ -75,7 +75,7 @@ def _in_range(c: Column, spec: ColumnSpec, kind: str, low: float, high: float) -
     numbers out of range as fast as a clean one.
     """
     cast = c.try_cast(kind)
-    if not spec.stored_as.startswith(_NUMERIC):
+    if spec.stored_as.split("(")[0] not in _NUMERIC:
         return cast
     return F.when((c > F.lit(low)) & (c < F.lit(high)), cast)
 

@@ -225,6 +225,9 @@ class KeyedTable:
     """One keyed table: load a snapshot, apply batches of changes, read the rows alive."""
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], schema: StructType, buckets: int = 64):
+        missing = [k for k in keys if k not in schema.names]
+        if missing or not keys:
+            raise ValueError(f"a keyed table needs its key among its columns; missing: {missing}")
         self.keys = list(keys)
         self.columns = schema.names
         self.buckets = buckets

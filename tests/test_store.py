@@ -168,5 +168,12 @@ def test_sinks(spark, rows):
     assert {r.json for r in encoded} >= {'{"id":2,"v":"old","n":0}', '{"id":6,"v":"old"}'}
 
 
+def test_key_must_be_selected(spark):
+    schema = base(spark, BASE).schema
+    for keys in (["gone"], []):
+        with pytest.raises(ValueError):
+            KeyedTable(spark, workspace(spark, "t"), keys, schema)
+
+
 def test_live_rows_of_latest(spark, rows):
     assert rows(ch.live_rows(ch.latest_change_per_key(feed(spark, FEED), ["id"]))) == [r for r in FINAL if r[0] != 6]
