@@ -155,7 +155,7 @@ def reconcile_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
     payload = [c for c in source.columns if c not in keys]
 
     def digested(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, row_digest([F.col(c) for c in payload]).alias(name))
+        return df.select(*keys, F.unhex(row_digest([F.col(c) for c in payload])).alias(name))
 
     both = digested(source, "_s").join(digested(target, "_t"), list(keys), "full_outer")
     status = (

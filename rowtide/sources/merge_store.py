@@ -176,15 +176,21 @@ class MergeStore:
         return sorted(touched)
 
     def _rewrite(self, rows: DataFrame, version: int, n_parts: int) -> None:
-        # One shuffle in all: rows of an identity meet in a slice of their part, and grouping by
-        # part, slice and identity is satisfied with that. Slices keep the tasks at the shuffle
-        # width however few the parts; no key is hot, as each batch holds an identity once.
+        merged = self._merged(rows, n_parts).select(*self.schema.names)
+        writer = merged.write.mode("overwrite").partitionBy(*self.part_names)
+        writer.parquet(f"{self.root}/base/version={version}")
+
+    def _merged(self, rows: DataFrame, n_parts: int) -> DataFrame:
+        """Latest row per identity, laid out for writing by part with one shuffle.
+
+        Rows of an identity meet in a slice of their part, and grouping by part, slice and identity is
+        satisfied with that. Slices keep the tasks at the shuffle width however few the parts; no
+        key is hot, as base and batches hold an identity once each.
+        """
         slices = max(1, shuffle_width(self.spark) // max(1, n_parts))
         sliced = rows.withColumn("_slice", F.pmod(F.hash(*self.identity), F.lit(slices)))
         by = [*self.part_names, "_slice"]
-        latest = latest_change_per_key(sliced.repartition(*[F.col(c) for c in by]), [*by, *self.identity])
-        writer = latest.select(*self.schema.names).write.mode("overwrite").partitionBy(*self.part_names)
-        writer.parquet(f"{self.root}/base/version={version}")
+        return latest_change_per_key(sliced.repartition(*[F.col(c) for c in by]), [*by, *self.identity])
 
     def vacuum(self, keep: int = 2) -> int:
         """Delete files that the last ``keep`` versions do not need; returns the folders deleted.

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -42,6 +45,15 @@ def flush_policy(mean_row_bytes: int | None = None) -> dict[str, object]:
     return {"trigger": {"processingTime": FLUSH_INTERVAL}, "max_bytes": limit}
 
 
+def without_repeats(feed: DataFrame, identity: Sequence[str], ts: str, delay: str) -> DataFrame:
+    """A feed without changes delivered again within ``delay`` of their event time.
+
+    Watermarks need a zoned timestamp, so a wall-clock ``ts`` is read in the session time zone.
+    """
+    timed = feed.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark("_event_time", delay)
+    return timed.dropDuplicatesWithinWatermark(list(identity)).drop("_event_time")
+
+
 def _start(writer, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 

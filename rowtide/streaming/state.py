@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
@@ -32,8 +33,14 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def _latest(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
-    """Latest change per key of one Arrow batch; the payload text settles what seq and op leave open."""
-    return pdf.sort_values([SEQ, _RANK, _PAYLOAD]).drop_duplicates(keys, keep="last")
+    """Rows of the highest seq and op per key; several only where they differ in payload alone."""
+    for column in (SEQ, _RANK):
+        pdf = pdf[pdf[column] == pdf.groupby(keys, dropna=False)[column].transform("max")]
+    return pdf.drop_duplicates([*keys, _PAYLOAD])
+
+
+def _mark(payload: str) -> str:
+    return hashlib.blake2b(payload.encode(), digest_size=8).hexdigest()
 
 
 class _LatestOnly(StatefulProcessor):
@@ -43,17 +50,21 @@ class _LatestOnly(StatefulProcessor):
         self.keys = keys
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seq bigint, rank int")
+        self.seen = handle.getValueState("seen", "seq bigint, rank int, mark string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterable[pd.DataFrame]:
         best = None
         for pdf in rows:
-            best = _latest(pdf if best is None else pd.concat([best, pdf]), self.keys)
-        last = self.seen.get() if self.seen.exists() else None
+            best = _latest(pdf if best is None else pd.concat([best, pdf], ignore_index=True), self.keys)
         order = (int(best[SEQ].iloc[0]), int(best[_RANK].iloc[0]))
-        if last is None or order > tuple(last):
-            self.seen.update(order)
-            yield best
+        last = tuple(self.seen.get()) if self.seen.exists() else None
+        if last is not None and order < last[:2]:
+            return
+        marks = best[_PAYLOAD].map(_mark)
+        fresh = best if last is None or order > last[:2] else best[marks != last[2]]
+        if len(fresh):
+            self.seen.update((*order, _mark(fresh[_PAYLOAD].iloc[-1])))
+            yield fresh
 
     def close(self) -> None:
         pass
@@ -62,9 +73,10 @@ class _LatestOnly(StatefulProcessor):
 def latest_by_state(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Changes that move a key forward; stale and repeated ones are held back.
 
-    Every Arrow batch is first cut to one row per key where it was read, so a key that makes up much
-    of the feed reaches its state as a few rows. The payload crosses Python as one JSON text, so its
-    types are not touched. Equal seq and op count as a repeat.
+    Every Arrow batch is first cut to the latest of each key where it was read, so a key that makes
+    up much of the feed reaches its state as a few rows. The payload crosses Python as one JSON
+    text, so its types are not touched. Of changes with equal seq and op every payload passes, and
+    the receiver settles them as :func:`rowtide.operators.changes.latest_change_per_key` does.
     """
     use_rocksdb(feed.sparkSession)
     keys = list(keys)

@@ -1,7 +1,9 @@
 import random
+from datetime import datetime, timedelta
 
 import pytest
 
+from rowtide.operators import changes as ch
 from rowtide.session import workspace
 from rowtide.sources.merge_store import KeyedTable
 from rowtide.streaming import feeds, state
@@ -67,6 +69,32 @@ def test_state_lets_only_later_changes_pass(spark):
     ]
 
 
+def test_ties_reach_the_receiver(spark, rows):
+    """Equal seq and op in different batches: both payloads pass, an exact repeat does not."""
+    path = workspace(spark, "f")
+    tie = [(1, "a", 9, "u", 5), (1, "a", 10, "u", 5), (1, "a", 10, "u", 5), (1, "a", 1, "u", 4)]
+    for row in tie:
+        feed(spark, [row]).coalesce(1).write.mode("append").parquet(path)
+    passed = []
+    writer = state.latest_by_state(feeds.change_stream(spark, path, SCHEMA, max_files=1), ["id"]).writeStream
+    query = writer.outputMode("update").foreachBatch(lambda df, k: passed.extend(tuple(r) for r in df.collect()))
+    feeds.run_available(query.option("checkpointLocation", workspace(spark, "p")).trigger(availableNow=True).start())
+    assert passed == tie[:2]
+    assert rows(ch.latest_change_per_key(feed(spark, passed), ["id"])) == rows(ch.latest_change_per_key(feed(spark, tie), ["id"]))
+
+
+def test_repeats_within_the_delay_are_dropped(spark, rows):
+    path, out = workspace(spark, "f"), workspace(spark, "o")
+    at = datetime(2024, 1, 1)
+    sent = [(1, 10, at), (1, 11, at + timedelta(seconds=5)), (1, 10, at), (2, 10, at)]
+    for row in sent:
+        spark.createDataFrame([row], "id int, seq bigint, ts timestamp_ntz").coalesce(1).write.mode("append").parquet(path)
+    stream = feeds.change_stream(spark, path, "id int, seq bigint, ts timestamp_ntz", max_files=1)
+    clean = feeds.without_repeats(stream, ["id", "seq"], "ts", "10 minutes")
+    feeds.run_available(feeds.stream_append(clean, out, workspace(spark, "p")))
+    assert rows(spark.read.schema(clean.schema).parquet(out), "id", "seq") == [(1, 10), (1, 11), (2, 10)]
+
+
 def test_flush_policy():
     assert feeds.flush_policy()["max_bytes"] == 104_857_600
     assert feeds.flush_policy(100)["max_bytes"] == 50_000_000
