@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rowtide.functions.conversions import ColumnSpec
 from rowtide.operators import changes as ch
+from rowtide.plans.replication import JobRule, TableRule, job_feed, load_job
 from rowtide.session import workspace
 from rowtide.sources import sinks
 from rowtide.sources import snapshot as snap
@@ -301,3 +303,43 @@ def reconcile_counts(spark, sf):
 )
 def reconcile_rows(spark, sf):
     return ch.reconcile_rows(*_versions(spark, sf), KEY)
+
+
+_JOB = JobRule(
+    tables={
+        "orders": TableRule(["o_orderkey"], exclude_columns=["o_custkey"], specs=[ColumnSpec("o_orderstatus", "char", length=2)]),
+        "customer": TableRule(
+            ["c_custkey"],
+            include_columns=["c_custkey", "c_acctbal"],
+            specs=[ColumnSpec("c_acctbal", "decimal", precision=9, scale=2)],
+        ),
+    },
+    exclude_tables=["*_archive", "supp*"],
+    exclude_columns=["*nation*"],
+)
+
+
+@query(
+    f"""with {st.applied_sql(st.ORDERS, 'o_')}, {st.applied_sql(st.CUSTOMER, 'c_')}
+    select 'orders' as table_name, o_orderkey as id, rpad(o_orderstatus, 2, ' ') as status, cast(o_totalprice as double) as amount from o_final
+    union all select 'customer', c_custkey, null, cast(cast(c_acctbal as decimal(9,2)) as double) from c_final"""
+)
+def replicate_job(spark, sf):
+    """Two of three tables, with columns left out and converted, from snapshot through a feed to rows."""
+    sources = {s.table: s for s in (st.ORDERS, st.CUSTOMER)}
+    snapshots = {n: st.base(spark, sf, s) for n, s in sources.items()} | {"supplier": table(spark, sf, "supplier")}
+    target = load_job(spark, workspace(spark, "job"), _JOB, snapshots, buckets=4)
+    target.apply(job_feed(_JOB, {n: st.feed(spark, sf, s) for n, s in sources.items()}), 0)
+    orders = target.read("orders").select(
+        F.lit("orders").alias("table_name"),
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").cast("double").alias("amount"),
+    )
+    customer = target.read("customer").select(
+        F.lit("customer").alias("table_name"),
+        F.col("c_custkey").alias("id"),
+        F.lit(None).cast("string").alias("status"),
+        F.col("c_acctbal").cast("double").alias("amount"),
+    )
+    return orders.unionByName(customer)
