@@ -28,7 +28,7 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def differences(spark_df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     """What differs in names, types or rows; empty when both agree."""
     ours = spark_df.toArrow()
-    theirs = con.execute(sql).to_arrow_table()
+    theirs = con.sql(sql).to_arrow_table()
     problems = []
     names = sorted(ours.column_names)
     if names != sorted(theirs.column_names):
