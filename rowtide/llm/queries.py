@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import public_tokenizers
 
-from rowtide.llm import exact, sharding, urls
+from rowtide.llm import exact, mixing, packing, quality, secrets, sharding, toxicity, urls
+from rowtide.llm.tables import stored
+
+
+#: The tokenizer's file, at the same place on every machine.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark, sf_dir, name):
@@ -15,16 +20,45 @@ def op2_sharding(spark, sf_dir):
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=8, seed=17)
 
 
+#: Target weights of the mix; all other sources together form one stream.
+WEIGHTS = {"src0": 4, "src1": 3, "src2": 2, mixing.REST: 11}
+
+
+def op3_mixing(spark, sf_dir):
+    return mixing.mix(_table(spark, sf_dir, "documents"), WEIGHTS, block_rows=32, seed=11)
+
+
+def op4_secret_scans(spark, sf_dir):
+    return secrets.find_secrets(_table(spark, sf_dir, "documents"), least_novelty=0.75)
+
+
+def op5_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, toxicity.label_grades(_table(spark, sf_dir, "labels")), most_labels=16_000)
+    return toxicity.score(docs, model)
+
+
+def op7_quality_rules(spark, sf_dir):
+    counts = stored(quality.text_statistics(_table(spark, sf_dir, "documents")), "statistics")
+    rules = quality.rules_from_labels(counts, _table(spark, sf_dir, "labels"), most_labels=20_000)
+    judged = quality.judge(counts, rules)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op8_exact_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return exact.exact_classes(docs, carry={"text_sha256": exact.full_hash()})
 
 
+def op9_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=2, room=4096)
+
+
 def op10_url_filters(spark, sf_dir):
     return urls.judge_urls(_table(spark, sf_dir, "pages"), urls.labelled_urls(spark))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op8_exact_dedup, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_mixing, op4_secret_scans, op5_toxicity, op7_quality_rules, op8_exact_dedup, op9_packing, op10_url_filters)}
 
 SQL = {
     "op8_exact_dedup": """with d as (select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as text_sha256
