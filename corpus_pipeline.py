@@ -6,17 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import exact
+from rowtide.llm import exact, mixing, ngram_join, packing, quality, queries
 from rowtide.llm.tables import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the base rule nor the rules learned from ``labels`` reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.keep_good(docs, labels, most_labels=20_000)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_exact(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact dedup", drop_copies)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.drop_near(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs, queries.WEIGHTS, block_rows=32, seed=11)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, queries.TOKENIZER, end_id=2, room=4096)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("exact dedup", exact_dedup),
+    ("n-gram Jaccard join", near_dedup),
+    ("mixing sources to target weights", mix_sources),
+    ("packing", pack_sequences),
+]
 
 #: Learned rules and tokenizers have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -25,6 +49,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each reading what the one before wrote."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

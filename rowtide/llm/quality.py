@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -188,15 +189,19 @@ def learn_rules(
     return rules
 
 
-def rules_from_labels(statistics: DataFrame, labels: DataFrame, most_labels: int = 20_000, **options) -> list[Rule]:
-    """Rules from at most ``most_labels`` labelled rows (doc_id, quality 0 or 1), chosen by hash of their id.
+def labelled_sample(labels: DataFrame, most_labels: int) -> DataFrame:
+    """doc_id and quality of at most ``most_labels`` rows of ``labels`` (doc_id, quality 0 or 1), chosen by hash of their id."""
+    marked = labels.where("quality in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
+    return marked.orderBy(F.xxhash64("doc_id"), "quality").limit(most_labels)
+
+
+def rules_from_labels(statistics: DataFrame, sample: DataFrame, **options) -> list[Rule]:
+    """Rules from a bounded ``sample`` of labels and the ``statistics`` of their documents.
 
     Rows that fail the base rule are not learned from: the list only judges the others.
     """
-    marked = labels.where("quality in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
-    few = marked.orderBy(F.xxhash64("doc_id"), "quality").limit(most_labels)
-    rows = statistics.where(~base_failed()).join(F.broadcast(few), "doc_id")  # bounded by most_labels
-    rows = rows.select("doc_id", "quality", *[c.alias(k) for k, c in ratios().items()]).orderBy("doc_id", "quality").toPandas()
+    rows = statistics.where(~base_failed()).join(F.broadcast(sample), "doc_id")  # bounded by the sample
+    rows = rows.select("doc_id", "quality", *[c.alias(k) for k, c in ratios().items()]).orderBy("doc_id", "quality", *RATIOS).toPandas()
     if not len(rows):
         return []
     return learn_rules(rows[list(RATIOS)].to_numpy(float), rows["quality"].to_numpy() == 0, RATIOS, **options)
@@ -217,3 +222,20 @@ def judge(statistics: DataFrame, rules: list[Rule]) -> DataFrame:
         fired = F.when(rule.column(), F.lit(i)).otherwise(fired)
     rows = statistics.withColumns(ratios()).withColumn("base_failed", base_failed())
     return rows.withColumns({"rule": fired, "kept": ~F.col("base_failed") & verdict_column(rules)})
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> DataFrame:
+    """``docs`` without the documents that the base rule or the learned rules reject; all columns stay.
+
+    The statistics are taken along with the rows, so nothing is joined back; every row is judged by its own text.
+    """
+    sample = labelled_sample(labels, most_labels)
+    known = docs.join(F.broadcast(sample), "doc_id", "left_semi")  # bounded by most_labels
+    rules = rules_from_labels(text_statistics(known), sample)
+    counts = F.pandas_udf(_count_frame, ", ".join(f"{c} long" for c in COUNTS))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), counts(F.col("text")).alias("_c"))
+    return judge(rows.select("_row", "_c.*"), rules).where("kept").select("_row.*")
+
+
+def _count_frame(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([text_counts(t) for t in texts], columns=list(COUNTS))

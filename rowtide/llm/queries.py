@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from rowtide.llm import exact, mixing, packing, quality, secrets, sharding, toxicity, urls
+from rowtide.llm import exact, mixing, ngram_join, packing, quality, secrets, sharding, toxicity, urls
 from rowtide.llm.tables import stored
 
 
@@ -38,9 +38,13 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.score(docs, model)
 
 
+def op6_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.near_classes(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark, sf_dir):
     counts = stored(quality.text_statistics(_table(spark, sf_dir, "documents")), "statistics")
-    rules = quality.rules_from_labels(counts, _table(spark, sf_dir, "labels"), most_labels=20_000)
+    rules = quality.rules_from_labels(counts, quality.labelled_sample(_table(spark, sf_dir, "labels"), most_labels=20_000))
     judged = quality.judge(counts, rules)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
@@ -58,7 +62,7 @@ def op10_url_filters(spark, sf_dir):
     return urls.judge_urls(_table(spark, sf_dir, "pages"), urls.labelled_urls(spark))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_mixing, op4_secret_scans, op5_toxicity, op7_quality_rules, op8_exact_dedup, op9_packing, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_mixing, op4_secret_scans, op5_toxicity, op6_ngram_jaccard_join, op7_quality_rules, op8_exact_dedup, op9_packing, op10_url_filters)}
 
 SQL = {
     "op8_exact_dedup": """with d as (select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as text_sha256
