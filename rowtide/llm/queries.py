@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from rowtide.llm import exact, mixing, ngram_join, packing, quality, secrets, sharding, toxicity, urls
+from rowtide.llm import exact, lines, mixing, ngram_join, packing, quality, secrets, sharding, toxicity, urls
 from rowtide.llm.tables import stored
 
 
@@ -16,6 +16,10 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark, sf_dir):
+    return lines.removed_lines(_table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark, sf_dir):
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=8, seed=17)
 
@@ -62,7 +66,7 @@ def op10_url_filters(spark, sf_dir):
     return urls.judge_urls(_table(spark, sf_dir, "pages"), urls.labelled_urls(spark))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_mixing, op4_secret_scans, op5_toxicity, op6_ngram_jaccard_join, op7_quality_rules, op8_exact_dedup, op9_packing, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_mixing, op4_secret_scans, op5_toxicity, op6_ngram_jaccard_join, op7_quality_rules, op8_exact_dedup, op9_packing, op10_url_filters)}
 
 SQL = {
     "op8_exact_dedup": """with d as (select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as text_sha256
