@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowtide.llm.tables import stored
+from rowtide.llm.tables import let, stored
 from rowtide.session import broadcast_if_small, shuffle_width
 
 #: Similarity of matching lines in hundredths.
@@ -181,6 +181,6 @@ def without_lines(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left")
     lines = F.split("text", "\n")
     at = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))  # hashed, so linear in the lines
-    left = F.array_join(F.transform(at, lambda i: F.get(lines, i)), "\n")
+    left = F.array_join(let(lines, lambda all_lines: F.transform(at, lambda i: F.get(all_lines, i))), "\n")
     text = F.when(F.col("_gone").isNotNull() & F.col("text").isNotNull(), left).otherwise(F.col("text"))
     return rows.withColumn("text", text).select(*docs.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +28,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once; inside a lambda an expression would be computed for every element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def numbered(df: DataFrame, order: Sequence[str], group: str | None = None, name: str = "row_no") -> DataFrame:
     """``df`` with a gapless number from 0 per ``group`` in ``order`` (nulls first), stored.
 

@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.tables import ascii_lower, stored
+from rowtide.llm.tables import ascii_lower, let, stored
 
 #: (verdict, host, path): fixed values of the contract.
 RULES = (
@@ -60,15 +60,15 @@ def rule_column(host: Column, path: Column, rules=RULES) -> tuple[Column, Column
 def gram_slots(host: Column, path: Column, slots: int, sizes: tuple[int, ...]) -> Column:
     """Distinct hash slots of the character n-grams of host and path; linear in the URL's length."""
 
-    def grams(text: Column, n: int) -> Column:
-        chars = F.split(text, "")
+    def grams(chars: Column, n: int) -> Column:
         last = F.size(chars) - n
         at = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
         return F.transform(at, lambda i: F.pmod(F.xxhash64(*[F.get(chars, i + k) for k in range(n)]), F.lit(slots)).cast("int"))
 
-    parts = [grams(F.concat(F.lit("^"), host, F.lit("$")), n) for n in sizes]
-    parts += [grams(F.concat(F.lit(">"), path), n) for n in sizes]
-    return F.array_distinct(F.concat(*parts))
+    def all_grams(text: Column) -> Column:
+        return let(F.split(text, ""), lambda chars: F.concat(*[grams(chars, n) for n in sizes]))
+
+    return F.array_distinct(F.concat(all_grams(F.concat(F.lit("^"), host, F.lit("$"))), all_grams(F.concat(F.lit(">"), path))))
 
 
 def trained_weights(labelled: DataFrame, slots: int, sizes: tuple[int, ...], max_rows: int = 5000) -> list[float]:
