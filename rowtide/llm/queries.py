@@ -33,7 +33,7 @@ def op3_mixing(spark, sf_dir):
 
 
 def op4_secret_scans(spark, sf_dir):
-    return secrets.find_secrets(_table(spark, sf_dir, "documents"), least_novelty=0.75)
+    return secrets.find_secrets(_table(spark, sf_dir, "documents"), least_novelty=0.62)
 
 
 def op5_toxicity(spark, sf_dir):

@@ -43,15 +43,23 @@ status storage string struct subscription success switch target template tempora
 title token transaction transform trigger tuple undefined unique update upload username utf-8 validate value variable vector
 version view virtual void website while widget width window workspace wrapper writer your_api_key_here changeme xxxxxxxx
 0123456789 abcdefghijklmnopqrstuvwxyz""".encode()
-_PLAIN = zstandard.ZstdCompressor(level=3, write_content_size=False)
-_EMPTY = len(_PLAIN.compress(b""))
+#: Code that stands before every context, so that a short one does not leave the compressor without statistics.
+PREAMBLE = """const client = connect(host, port)
+response = client.send(message, timeout=30) # return the status and then the value
+if not response.ok: raise ValueError(f"request to {host} failed with {response.status}")
+"""
+_PRIMED = zstandard.ZstdCompressionDict(IDENTIFIERS, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
 def novelty(candidate: str, around: str) -> float:
-    """Marginal compressed bytes per byte of ``candidate``, after the identifiers and the text around it."""
-    primed = zstandard.ZstdCompressionDict(IDENTIFIERS + around.encode("utf-8", "replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    packed = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False).compress(candidate.encode())
-    return (len(packed) - _EMPTY) / max(1, len(candidate))
+    """Marginal compressed bytes per byte of ``candidate`` behind the text around it, identifiers being known.
+
+    Random letters and digits cost 0.65 or more, strings made of known words 0.55 or less.
+    """
+    packer = zstandard.ZstdCompressor(level=12, dict_data=_PRIMED, write_content_size=False)
+    known = (PREAMBLE + around).encode("utf-8", "replace")
+    added = len(packer.compress(known + b" " + candidate.encode())) - len(packer.compress(known))
+    return added / max(1, len(candidate))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -88,7 +96,7 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-def scan_text(text: str | None, least: float = 0.75) -> tuple[int, int, int, str, str]:
+def scan_text(text: str | None, least: float = 0.62) -> tuple[int, int, int, str, str]:
     """Counts per fixed kind, digest of their spans, and all spans."""
     text = text or ""
     base = base_spans(text)
@@ -109,7 +117,7 @@ def _scan(least: float):
     return run
 
 
-def find_secrets(docs: DataFrame, least_novelty: float = 0.75) -> DataFrame:
+def find_secrets(docs: DataFrame, least_novelty: float = 0.62) -> DataFrame:
     """doc_id, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256`` and ``spans`` per row of ``docs`` (doc_id, text).
 
     ``spans`` lists kind:start:end (code points, end exclusive) of the fixed kinds and of ``novel`` strings: those within

@@ -59,7 +59,7 @@ def test_odd_rows_and_no_labels(spark, documents, odd_rows):
 
 
 def test_score_is_the_sum_over_words(documents):
-    model = toxicity.OrdinalModel({s: 1.0 for s in toxicity.word_slots("vile", 14)}, [1.0, 3.0], 14, 2.0)
+    model = toxicity.OrdinalModel({s: 1.0 for s in toxicity.word_slots("vile", 14)}, [1.0, 3.0], 14, 1.5)
     got = {r.doc_id: r for r in toxicity.score(documents([(1, "Vile! VILE vile_x"), (2, "fine"), (None, None)]), model).collect()}
     assert got[1].score == model.word("vile") + model.word("x") and got[1].toxic and not got[2].toxic and got[None].score == 0
 
