@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import struct
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -17,15 +18,16 @@ from rowtide.llm.tables import stored
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, window long, offset long, open boolean, ids binary"
 #: Words whose ids a worker remembers.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 800_000
 
 
 class WordIds(dict):
     """Ids of white-space separated words as little-endian bytes.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words in turn.
-    A word of letters is one unit of the tokenizer, and marks behind its last letter or digit are another,
-    so both are looked up by themselves; new words of letters are encoded many at a time.
+    A word of letters is one unit of the tokenizer, and marks behind its last letter are another, so both are
+    looked up by themselves. Units of letters go straight to the tokenizer's merges, which spares the
+    passes over white space and patterns that can't change them; all others take the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -34,46 +36,51 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.units: dict[str, bytes] = {}
 
     def learn(self, texts: list[list[bytes]]) -> None:
         new = {w for words in texts for w in words if w not in self}
         if len(self) + len(new) > MOST_WORDS:
             self.clear()
             new = {w for words in texts for w in words}
-        split, units = {}, set()
+        if len(self.units) > MOST_WORDS:
+            self.units.clear()
+        units, merges = self.units, self.tokenizer.model.tokenize
         for w in new:
-            split[w] = parts = _units(w.decode())
-            units.update(parts)
-        ids = self._encoded(list(units))
-        for w, parts in split.items():
-            self[w] = b"".join(map(ids.__getitem__, parts))
-
-    def _encoded(self, units: list[str]) -> dict[str, bytes]:
-        plain = [u for u in units if u.lower().isalpha()]
-        rest = [u for u in units if not u.lower().isalpha()]
-        out = {}
-        for at in range(0, len(plain), 64):
-            some = plain[at : at + 64]
-            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            found, places = np.array(e.ids, "<u4"), np.array(e.word_ids)
-            cuts = np.flatnonzero(np.diff(places)) + 1
-            if len(cuts) + 1 == len(some):
-                out.update(zip(some, (p.tobytes() for p in np.split(found, cuts))))
-            else:
-                rest += some
-        for u, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            out[u] = np.array(e.ids, "<u4").tobytes()
-        return out
+            found = b""
+            for unit in _units(w.decode()):
+                ids = units.get(unit)
+                if ids is None:
+                    if unit.isalpha() and unit.islower() and unicodedata.is_normalized("NFC", unit):
+                        ids = [t.id for t in merges(unit if unit.isascii() else unit.encode().decode("latin-1").translate(_BYTE_CHARS))]
+                    else:
+                        ids = self.tokenizer.encode(unit, add_special_tokens=False).ids
+                    units[unit] = ids = struct.pack(f"<{len(ids)}I", *ids)
+                found += ids
+            self[w] = found
 
     def ids(self, words: list[bytes]) -> bytes:
         return b"".join(map(self.__getitem__, words))
 
 
+def _byte_chars() -> dict[int, int]:
+    """The characters that byte-level merges use for bytes: printable ones stand for themselves, the rest from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
+_BYTE_CHARS = _byte_chars()
+
+
 def _units(word: str) -> tuple[str, ...]:
     core = word.rstrip(".,;:!?|")
-    if core and core != word and core.isalpha():
-        return core, word[len(core) :]
-    return (word,)
+    if not core.isalpha() or "\u03a3" in core:  # the capital sigma's lower case depends on its place
+        return (word,)
+    low = core.lower()
+    if not low.isalpha():
+        low = core
+    return (low, word[len(core) :]) if len(core) < len(word) else (low,)
 
 
 _WORDS: dict[str, WordIds] = {}
