@@ -4,33 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-NUMBER_DIGITS = 15
+#: A digest's 64 hex digits are summed in slices of so many.
+SLICE = 16
 
 
-def field_text(value: Column) -> Column:
-    """Length-prefixed text, so that no two different rows share a concatenation; null is ``-``."""
-    text = value.cast("string")
+def _plain_text(value: Column, kind: DataType | None) -> Column:
+    if isinstance(kind, ArrayType):
+        parts = F.transform(value, lambda x: field_text(x, kind.elementType))
+    elif isinstance(kind, MapType):
+        pairs = F.transform(F.map_entries(value), lambda e: F.concat(field_text(e["key"], kind.keyType), field_text(e["value"], kind.valueType)))
+        parts = F.array_sort(pairs)
+    elif isinstance(kind, StructType):
+        text = F.concat(F.lit(""), *[field_text(value[f.name], f.dataType) for f in kind.fields])
+        return F.when(value.isNotNull(), text)
+    else:
+        return value.cast("string")
+    return F.concat(F.size(value).cast("string"), F.lit("/"), F.array_join(parts, ""))
+
+
+def field_text(value: Column, kind: DataType | None = None) -> Column:
+    """Length-prefixed text, so that no two different rows share a concatenation; null is ``-``.
+
+    With its type given, every element of an array, map or struct is written the same way, map entries in
+    the order of their text; without, the value must be a plain one.
+    """
+    text = _plain_text(value, kind)
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
 
-def row_text(columns: Sequence[Column]) -> Column:
-    return F.concat(*[field_text(c) for c in columns])
+def row_text(columns: Sequence[Column], kinds: Sequence[DataType] | None = None) -> Column:
+    return F.concat(*[field_text(c, k) for c, k in zip(columns, kinds or [None] * len(columns))])
 
 
-def row_digest(columns: Sequence[Column]) -> Column:
+def row_digest(columns: Sequence[Column], kinds: Sequence[DataType] | None = None) -> Column:
     """SHA-256 of a row as hex."""
-    return F.sha2(row_text(columns), 256)
+    return F.sha2(row_text(columns, kinds), 256)
 
 
-def digest_number(digest: Column) -> Column:
-    """The first fifteen hex digits of a digest as a number, ready to be summed."""
-    return F.conv(F.substring(digest, 1, NUMBER_DIGITS), 16, 10).cast("decimal(38,0)")
+def digest_of(df: DataFrame, names: Sequence[str]) -> Column:
+    """SHA-256 of some columns of ``df``, of any type."""
+    return row_digest([F.col(n) for n in names], [df.schema[n].dataType for n in names])
+
+
+def digest_number(digest: Column, at: int) -> Column:
+    """One slice of a hex digest as a number, ready to be summed."""
+    return F.conv(F.substring(digest, at * SLICE + 1, SLICE), 16, 10).cast("decimal(38,0)")
 
 
 def additive_digest(digest: Column) -> Column:
-    """Aggregate: an order-insensitive digest of many rows that combines before the shuffle."""
-    total = F.sum(digest_number(digest)).cast("string")
-    return F.concat_ws("-", F.count(F.lit(1)).cast("string"), total)
+    """Aggregate: an order-insensitive digest of many rows that combines before the shuffle.
+
+    Count and the sum of each slice, so every digit of the digests has a part in it.
+    """
+    totals = [F.sum(digest_number(digest, k)).cast("string") for k in range(64 // SLICE)]
+    return F.concat_ws("-", F.count(F.lit(1)).cast("string"), *totals)

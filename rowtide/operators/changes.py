@@ -6,16 +6,19 @@ has the same columns with one row per key; a row with op ``d`` is a tombstone.
 
 Everything rests on one associative rule: of two rows of a key the later one stays. "Later" is a
 total order (``seq``, then op, then payload), so any split or order of a feed gives the same state.
+Keys match null-safe: all rows with the same null in a key are one key. Payload columns may be of any type.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
-from rowtide.functions.digests import row_digest
+from rowtide.functions.digests import digest_of, field_text
 
 SEQ = "seq"
 OP = "op"
@@ -28,22 +31,49 @@ def op_rank(op: Column) -> Column:
     return F.array_position(F.array(*[F.lit(o) for o in _OP_ORDER]), op)
 
 
-def change_order(columns: Sequence[str], keys: Sequence[str], seq: str = SEQ, op: str = OP) -> Column:
-    """Struct whose maximum is the latest change of a key; payload columns settle ties."""
-    payload = [c for c in columns if c not in {*keys, seq, op}]
-    fields = [F.col(c).alias(c) for c in (op, *payload)]
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, (MapType, VariantType)) or (isinstance(kind, ArrayType) and _has_map(kind.elementType))
+
+
+def unordered(schema: StructType) -> list[str]:
+    """Columns whose type has no order (maps, or types that hold one)."""
+    return [f.name for f in schema.fields if _has_map(f.dataType)]
+
+
+def change_order(schema: StructType, keys: Sequence[str], seq: str = SEQ, op: str = OP) -> Column:
+    """Struct whose maximum is the latest change of a key; payload columns settle ties, maps by their text."""
+    odd = unordered(schema)
+    payload = [c for c in schema.names if c not in {*keys, seq, op}]
+    fields = [(field_text(F.col(c), schema[c].dataType) if c in odd else F.col(c)).alias(c) for c in (op, *payload)]
     return F.struct(F.col(seq).alias(seq), op_rank(F.col(op)).alias("_rank"), *fields)
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``right`` with its keys renamed, and the null-safe condition that joins it to ``left``."""
+    right = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    return right, reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_key_{k}"]) for k in keys])
+
+
+def _key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    right, on = same_keys(left, right, keys)
+    return left.join(right, on, how).drop(*[f"_key_{k}" for k in keys])
+
+
 def latest_change_per_key(
     changes: DataFrame, keys: Sequence[str], seq: str = SEQ, op: str = OP
 ) -> DataFrame:
     """One row per key: its latest change.
 
-    A maximum combines before the shuffle, so a key with very many changes sends one row per task.
+    A maximum combines before the shuffle, so a key with very many changes sends one row per task. Spark aggregates
+    maxima of structs by sorting, so each task sorts its rows by key before it combines them.
     """
-    latest = changes.groupBy(*keys).agg(F.max(change_order(changes.columns, keys, seq, op)).alias("_c"))
-    return latest.select(*[F.col(c) if c in keys else F.col(f"_c.{c}").alias(c) for c in changes.columns])
+    order = change_order(changes.schema, keys, seq, op)
+    odd = unordered(changes.select(*[c for c in changes.columns if c not in keys]).schema)
+    carried = [F.max_by(F.struct(*odd), order).alias("_odd")] if odd else []
+    latest = changes.groupBy(*keys).agg(F.max(order).alias("_c"), *carried)
+    return latest.select(*[F.col(c) if c in keys else F.col(f"_odd.{c}" if c in odd else f"_c.{c}").alias(c) for c in changes.columns])
 
 
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -87,14 +117,14 @@ def apply_changes(
     The base is only shuffled when the keys are too many for Catalyst to broadcast.
     """
     latest = latest_change_per_key(changes, keys, seq, op)
-    untouched = base.join(changes.select(*keys).distinct(), list(keys), "left_anti")
+    untouched = _key_join(base, changes.select(*keys).distinct(), keys, "left_anti")
     return untouched.unionByName(live_rows(latest, seq, op).select(*base.columns))
 
 
 def apply_inserts(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Base plus the feed's live rows whose key is new."""
     latest = live_rows(latest_change_per_key(changes, keys))
-    new = latest.join(base.select(*keys), list(keys), "left_anti")
+    new = _key_join(latest, base.select(*keys), keys, "left_anti")
     return base.unionByName(new.select(*base.columns))
 
 
@@ -103,7 +133,7 @@ def apply_updates(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> D
     latest = live_rows(latest_change_per_key(changes, keys)).withColumn("_hit", F.lit(True))
     payload = [c for c in base.columns if c not in keys]
     renamed = latest.select(*keys, "_hit", *[F.col(c).alias(f"_new_{c}") for c in payload])
-    joined = base.join(renamed, list(keys), "left")
+    joined = _key_join(base, renamed, keys, "left")
     taken = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in payload]
     return joined.select(*keys, *taken).select(*base.columns)
 
@@ -112,12 +142,12 @@ def apply_deletes(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> D
     """Base without the keys whose latest change is a delete."""
     latest = latest_change_per_key(changes.select(*keys, SEQ, OP), keys)
     gone = latest.where(F.col(OP) == DELETE).select(*keys)
-    return base.join(gone, list(keys), "left_anti")
+    return _key_join(base, gone, keys, "left_anti")
 
 
 def without_keys(base: DataFrame, keys_gone: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Anti join of a base with a frame of keys."""
-    return base.join(keys_gone.select(*keys), list(keys), "left_anti")
+    return _key_join(base, keys_gone.select(*keys), keys, "left_anti")
 
 
 def with_computed(df: DataFrame, formulas: Mapping[str, str]) -> DataFrame:
@@ -155,9 +185,12 @@ def reconcile_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
     payload = [c for c in source.columns if c not in keys]
 
     def digested(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, F.unhex(row_digest([F.col(c) for c in payload])).alias(name))
+        return df.select(*keys, F.unhex(digest_of(df, payload) if payload else F.sha2(F.lit(""), 256)).alias(name))
 
-    both = digested(source, "_s").join(digested(target, "_t"), list(keys), "full_outer")
+    left = digested(source, "_s")
+    right, on = same_keys(left, digested(target, "_t"), keys)
+    both = left.join(right, on, "full_outer")
+    both = both.select(*[F.when(F.col("_s").isNotNull(), F.col(k)).otherwise(F.col(f"_key_{k}")).alias(k) for k in keys], "_s", "_t")
     status = (
         F.when(F.col("_t").isNull(), "missing")
         .when(F.col("_s").isNull(), "extra")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.conversions import ColumnSpec, converted, is_mapped, violations
-from rowtide.functions.digests import additive_digest, row_digest
+from rowtide.functions.digests import additive_digest, digest_of
 
 VIOLATIONS = ("failed_cast", "null_in_not_null", "over_length")
 
@@ -98,7 +98,7 @@ def key_quality(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Digest of a table (or of each group of it) that does not depend on row order."""
-    chosen = [F.col(c) for c in (columns or [c for c in df.columns if c not in by])]
+    chosen = list(columns or [c for c in df.columns if c not in by])
     return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_rows"), additive_digest(row_digest(chosen)).alias("fingerprint")
+        F.count(F.lit(1)).alias("n_rows"), additive_digest(digest_of(df, chosen)).alias("fingerprint")
     )

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -31,15 +33,16 @@ def local_session(app: str = "rowtide", cpus: str = "*", memory: str = "8g") ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, one machine) a temporary folder is made.
+    Only a session on one machine that names none (tests) gets a temporary folder; on a cluster that is an error.
     """
     sc = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named is None:
         named = sc.getCheckpointDir()
     if named is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="rowtide-")
-        spark.conf.set(CHECKPOINT_CONF, named)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named.rstrip("/")
@@ -56,6 +59,19 @@ def delete_folder(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def child_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder, sorted; empty where there is no such folder. A listing, no Spark job."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+
+
+def make_mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file at once; its name is all it says."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True).close()
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -66,9 +82,23 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only after checking the row count; larger frames join by shuffle.
+def _row_bytes(df: DataFrame) -> Column:
+    """Rough bytes of a row: text and binary by length, nested values by their JSON, the rest by 8 bytes each."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+        else:
+            total = total + 8
+    return total
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Hint a broadcast only after checking rows and bytes; larger frames join by shuffle, with the same result.
 
     Meant for narrow summary frames that are already pinned, so the check costs one short job.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    few = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if few["n"] <= max_rows and few["b"] <= max_bytes else df

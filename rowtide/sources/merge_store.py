@@ -2,31 +2,55 @@
 
 Layout under one root folder::
 
-    base/version=V/<parts>/      state rows, rewritten per part by compaction
-    delta/batch_id=K/<parts>/    latest change per key of batch K
-    commit/batch_id=K/           written after a delta; a delta without it is not read
-    manifest/version=V/          current base version of every part, and the last batch folded in
-
-A part is a bucket of the key (and, in a table set, the table). Everything is written by Spark's own
-committers and read back by explicit paths; :meth:`MergeStore.vacuum` removes what no reader needs any
-more. One writer at a time. Batches are numbered upwards; writing a batch again overwrites it, which makes replays harmless.
+    base/version=V/<parts>/         state rows, rewritten per part by compaction
+    delta/<epoch>-<batch>-<try>/    latest change per key of one attempt at a batch, by part
+    commit/<epoch>-<batch>-<try>    written after that delta; a delta without it is not read
+    manifest/version=V/             epoch, base version of every part, deltas folded in and not yet deleted
+
+A part is a bucket of the key (and, in a table set, the table). Every attempt at a batch has a folder of its
+own, so a replay touches nothing that is being read; applying a batch twice changes nothing, as the
+later change of a key wins whatever the order. A compaction lists the very deltas it folded in, so batch numbers
+may start over with a new checkpoint. Loading a snapshot starts an epoch: deltas of earlier ones are
+not read any more. Everything is written by Spark's own committers and read back by explicit paths;
+:meth:`MergeStore.vacuum` removes what no reader needs any more. One writer at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
+from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from rowtide.operators.changes import DELETE, OP, SEQ, as_state, change_order, latest_change_per_key, live_rows
-from rowtide.session import delete_folder, shuffle_width
+from rowtide.operators.changes import DELETE, OP, SEQ, as_state, change_order, latest_change_per_key, live_rows, same_keys
+from rowtide.session import child_folders, delete_folder, make_mark, shuffle_width
 
 BUCKET = "bucket"
 TABLE_NAME = "table_name"
-_FOLDED_NOTHING = -1
-_COMMIT = "batch_id bigint"
+
+class Delta(NamedTuple):
+    """A committed delta; its folder and its mark have the same name."""
+
+    epoch: int
+    batch_id: int
+    attempt: str
+
+    @property
+    def name(self) -> str:
+        return f"{self.epoch}-{self.batch_id}-{self.attempt}"
+
+
+class Manifest(NamedTuple):
+    version: int
+    epoch: int
+    #: names of deltas folded in whose folders still exist
+    folded: frozenset[str]
+    #: base version of every part
+    parts: dict[tuple, int]
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -51,37 +75,47 @@ class MergeStore:
 
     # -- small metadata ----------------------------------------------------------------------
 
-    def _read_json(self, folder: str, schema: StructType | str) -> list:
-        try:
-            return self.spark.read.schema(schema).json(f"{self.root}/{folder}").collect()
-        except Exception as e:
-            if getattr(e, "getCondition", lambda: None)() == "PATH_NOT_FOUND":
-                return []
-            raise
-
     def _manifest_schema(self) -> StructType:
-        extra = [StructField(n, t) for n, t in (("base_version", LongType()), ("folded_upto", LongType()))]
-        return StructType([*self.parts.fields, *extra, StructField("version", LongType())])
-
-    def _manifest(self) -> tuple[int, int, dict[tuple, int]]:
-        """Current version, last batch folded in, and base version per part."""
-        rows = self._read_json("manifest", self._manifest_schema())
-        if not rows:
-            return -1, _FOLDED_NOTHING, {}
-        version = max(r.version for r in rows)
-        now = [r for r in rows if r.version == version]
-        parts = {tuple(r[p] for p in self.part_names): r.base_version for r in now if r.base_version is not None}
-        return version, now[0].folded_upto, parts
-
-    def _write_manifest(self, version: int, folded_upto: int, parts: dict[tuple, int]) -> None:
-        none = [(*[None] * len(self.part_names), None, folded_upto)]
-        rows = [(*part, v, folded_upto) for part, v in parts.items()] or none
-        schema = StructType(self._manifest_schema().fields[:-1])
-        frame = self.spark.createDataFrame(rows, schema).coalesce(1)
+        header = "base_version long, epoch long, folded array<string>"
+        return StructType([*self.parts.fields, *StructType.fromDDL(header).fields])
+
+    def _versions(self) -> list[int]:
+        """Finished manifest versions, ascending."""
+        names = [n for n in child_folders(self.spark, f"{self.root}/manifest") if n.startswith("version=")]
+        versions = sorted(int(n.removeprefix("version=")) for n in names)
+        return [v for v in versions if "_SUCCESS" in child_folders(self.spark, f"{self.root}/manifest/version={v}")]
+
+    def _manifest(self, version: int | None = None) -> Manifest:
+        """One manifest, the newest unless named; only its folder is read."""
+        if version is None:
+            version = next(iter(self._versions()[::-1]), -1)
+        if version < 0:
+            return Manifest(-1, 0, frozenset(), {})
+        rows = self.spark.read.schema(self._manifest_schema()).json(f"{self.root}/manifest/version={version}").collect()
+        head = next(r for r in rows if r.base_version is None)
+        parts = {tuple(r[p] for p in self.part_names): r.base_version for r in rows if r.base_version is not None}
+        return Manifest(version, head.epoch, frozenset(head.folded or ()), parts)
+
+    def _write_manifest(self, version: int, epoch: int, folded: Iterable[str], parts: dict[tuple, int]) -> None:
+        rows = [(*part, v, epoch, None) for part, v in parts.items()]
+        rows.append((*[None] * len(self.part_names), None, epoch, sorted(folded)))
+        frame = self.spark.createDataFrame(rows, self._manifest_schema()).coalesce(1)
         frame.write.mode("overwrite").json(f"{self.root}/manifest/version={version}")
 
+    def _marks(self) -> list[Delta]:
+        """All commit marks, by a listing of their names."""
+        found = (n.split("-", 2) for n in child_folders(self.spark, f"{self.root}/commit"))
+        return sorted(Delta(int(e), int(k), a) for e, k, a in found)
+
+    def open_deltas(self, now: Manifest | None = None, upto: int | None = None) -> list[Delta]:
+        """Committed deltas of the current epoch that no compaction has folded in."""
+        now = now or self._manifest()
+        return [d for d in self._marks() if d.epoch == now.epoch and d.name not in now.folded and (upto is None or d.batch_id <= upto)]
+
     def committed_batches(self) -> list[int]:
-        return sorted(r.batch_id for r in self._read_json("commit", _COMMIT))
+        """Batches of the current epoch whose deltas still exist."""
+        epoch = self._manifest().epoch
+        return sorted({d.batch_id for d in self._marks() if d.epoch == epoch})
 
     # -- writing ------------------------------------------------------------------------------
 
@@ -91,12 +125,12 @@ class MergeStore:
         placed.write.mode("overwrite").partitionBy(*self.part_names).parquet(path)
 
     def put_base(self, state: DataFrame) -> None:
-        """Start from a snapshot: one row per identity. A store that has a base keeps its history."""
-        version = self._manifest()[0] + 1
-        done = self.committed_batches()
+        """Start from a snapshot: one row per identity. Changes applied before belong to an earlier epoch and no longer count."""
+        now = self._manifest()
+        version = now.version + 1
         path = f"{self.root}/base/version={version}"
         self._write_parts(state.select(*self.schema.names), path)
-        self._write_manifest(version, done[-1] if done else _FOLDED_NOTHING, self._parts_in(path, version))
+        self._write_manifest(version, now.epoch + 1, (), self._parts_in(path, version))
 
     def _parts_in(self, path: str, version: int) -> dict[tuple, int]:
         """Parts a base folder holds; their number is bounded by buckets times tables."""
@@ -104,11 +138,11 @@ class MergeStore:
         return {tuple(r): version for r in rows}
 
     def put_delta(self, changes: DataFrame, batch_id: int) -> None:
-        """Write the latest change per identity of a batch, then its commit mark."""
+        """Write the latest change per identity of a batch into a new folder, then its commit mark."""
         latest = latest_change_per_key(changes.select(*self.schema.names), [*self.identity, *self.part_names])
-        self._write_parts(latest, f"{self.root}/delta/batch_id={batch_id}")
-        mark = self.spark.range(batch_id, batch_id + 1, 1, 1).toDF("batch_id")
-        mark.write.mode("overwrite").json(f"{self.root}/commit/batch_id={batch_id}")
+        delta = Delta(self._manifest().epoch, batch_id, uuid.uuid4().hex)
+        self._write_parts(latest, f"{self.root}/delta/{delta.name}")
+        make_mark(self.spark, f"{self.root}/commit/{delta.name}")
 
     # -- reading ------------------------------------------------------------------------------
 
@@ -124,39 +158,63 @@ class MergeStore:
         df = df.select(*self.schema.names)
         return df if where is None else df.where(where)
 
-    def _deltas(self, batches: Sequence[int], where: Column | None) -> DataFrame:
-        folders = [f"{self.root}/delta/batch_id={k}" for k in batches]
-        df = self.spark.read.schema(self.schema).option("basePath", f"{self.root}/delta").parquet(*folders)
-        df = df.select(*self.schema.names)
-        return df if where is None else df.where(where)
+    def _deltas(self, deltas: Sequence[Delta], where: Column | None) -> DataFrame:
+        out = None
+        for d in deltas:
+            folder = f"{self.root}/delta/{d.name}"
+            one = self.spark.read.schema(self.schema).option("basePath", folder).parquet(folder).select(*self.schema.names)
+            out = one if out is None else out.unionByName(one)
+        return out if where is None else out.where(where)
+
+    def _touched(self, deltas: Sequence[Delta]) -> set[tuple]:
+        """Parts that deltas have rows of, by a listing of their folders."""
+        found = set()
+        for d in deltas:
+            paths = [((), f"{self.root}/delta/{d.name}")]
+            for field in self.parts.fields:
+                below = []
+                for part, path in paths:
+                    for name in child_folders(self.spark, path):
+                        if name.startswith(f"{field.name}="):
+                            text = unquote(name.removeprefix(f"{field.name}="))
+                            below.append(((*part, int(text) if isinstance(field.dataType, IntegerType) else text), f"{path}/{name}"))
+                paths = below
+            found |= {part for part, _ in paths}
+        return found
 
     def state(self, where: Column | None = None, upto: int | None = None) -> DataFrame:
         """Current state with tombstones; ``where`` restricts the parts read.
 
-        Right after a compaction the base is the state and nothing is shuffled. With open deltas,
-        the base is scanned once for the rows and once more for its keys alone; both times the
-        latest changes join by key, and Catalyst broadcasts them while their files are small.
+        Parts without open deltas are read as they are; right after a compaction those are all, and nothing is
+        shuffled. Of the other parts the base is scanned once for the rows and once more for its keys alone; both times
+        the latest changes join by key, and Catalyst broadcasts them while their files are small.
         A change older than its base row loses.
         """
-        _, folded, parts = self._manifest()
-        open_batches = [k for k in self.committed_batches() if k > folded and (upto is None or k <= upto)]
-        base = self._base(parts, where)
-        if not open_batches:
-            return base
+        now = self._manifest()
+        open_deltas = self.open_deltas(now, upto)
+        if not open_deltas:
+            return self._base(now.parts, where)
         by = [*self.identity, *self.part_names]
-        latest = self._deltas(open_batches, where)
-        if len(open_batches) > 1:  # a single delta already has one row per identity
+        latest = self._deltas(open_deltas, where)
+        if len(open_deltas) > 1:  # a single delta already has one row per identity
             latest = latest_change_per_key(latest, by)
-        if not parts:
-            return latest
-        order = change_order(base.columns, by)
-        newer = latest.select(*by, order.alias("_delta"))
-        joined = base.withColumn("_base", order).join(newer, by, "left")
-        winner = F.when(F.col("_base") >= F.col("_delta"), F.col("_base")).otherwise(F.coalesce("_delta", "_base"))
-        rows = joined.select(*by, winner.alias("_w"))
+        touched = self._touched(open_deltas)
+        met = {p: v for p, v in now.parts.items() if p in touched}
+        calm = {p: v for p, v in now.parts.items() if p not in touched}
+        merged = self._merge(self._base(met, where), latest, by) if met else latest
+        return merged.unionByName(self._base(calm, where)) if calm else merged
+
+    def _merge(self, base: DataFrame, latest: DataFrame, by: list[str]) -> DataFrame:
+        order = change_order(self.schema, by)
+        rest = [c for c in self.schema.names if c not in by]
+        newer = latest.select(*by, order.alias("_delta"), F.struct(*rest).alias("_new"))
+        newer, on = same_keys(base, newer, by)
+        joined = base.withColumns({"_base": order, "_old": F.struct(*rest)}).join(newer, on, "left")
+        stays = F.col("_delta").isNull() | (F.col("_base") >= F.col("_delta"))
+        rows = joined.select(*by, F.when(stays, F.col("_old")).otherwise(F.col("_new")).alias("_w"))
         merged = rows.select(*[F.col(c) if c in by else F.col(f"_w.{c}").alias(c) for c in base.columns])
-        present = base.select(*by).join(latest.select(*by), by, "left_semi")
-        return merged.unionByName(latest.join(present, by, "left_anti"))
+        keys, on = same_keys(latest, base.select(*by), by)
+        return merged.unionByName(latest.join(keys, on, "left_anti"))
 
     def compact(self) -> list[tuple]:
         """Fold open deltas into new versions of the parts they touch; returns those parts.
@@ -164,15 +222,18 @@ class MergeStore:
         Tombstones stay in the base, so a late older change cannot bring a deleted row back; use
         :meth:`purge_tombstones` once nothing older can arrive.
         """
-        version, folded, parts = self._manifest()
-        open_batches = [k for k in self.committed_batches() if k > folded]
-        if not open_batches:
+        now = self._manifest()
+        open_deltas = self.open_deltas(now)
+        if not open_deltas:
             return []
-        deltas = self._deltas(open_batches, None)
-        touched = {tuple(r) for r in deltas.select(*self.part_names).distinct().collect()}
-        old = self._base({p: v for p, v in parts.items() if p in touched}, None)
-        self._rewrite(old.unionByName(deltas), version + 1, len(touched))
-        self._write_manifest(version + 1, open_batches[-1], parts | dict.fromkeys(touched, version + 1))
+        touched = self._touched(open_deltas)
+        version = now.version + 1
+        if touched:
+            old = self._base({p: v for p, v in now.parts.items() if p in touched}, None)
+            self._rewrite(old.unionByName(self._deltas(open_deltas, None)), version, len(touched))
+        written = self._parts_in(f"{self.root}/base/version={version}", version) if touched else {}
+        folded = (now.folded | {d.name for d in open_deltas}) & {d.name for d in self._marks()}
+        self._write_manifest(version, now.epoch, folded, now.parts | written)
         return sorted(touched)
 
     def _rewrite(self, rows: DataFrame, version: int, n_parts: int) -> None:
@@ -195,36 +256,40 @@ class MergeStore:
     def vacuum(self, keep: int = 2) -> int:
         """Delete files that the last ``keep`` versions do not need; returns the folders deleted.
 
-        Keep enough versions for the longest read under way. Folded batches go with their marks, so
-        the small metadata stays short.
+        Keep enough versions for the longest read under way. Folded deltas and those of earlier epochs go with
+        their marks, so the small metadata stays short.
         """
-        rows = self._read_json("manifest", self._manifest_schema())
-        versions = sorted({r.version for r in rows})[-keep:]
-        kept = [r for r in rows if r.version in versions]
+        versions = self._versions()
+        kept = [self._manifest(v) for v in versions[-keep:]]
         if not kept:
             return 0
-        folded = min(r.folded_upto for r in kept)
-        needed = {self._base_folder(tuple(r[p] for p in self.part_names), r.base_version) for r in kept if r.base_version is not None}
+        folded = frozenset.intersection(*[m.folded for m in kept])
         doomed = []
-        for batch in self.committed_batches():
-            if batch <= folded:
-                doomed += [f"{self.root}/{kind}/batch_id={batch}" for kind in ("delta", "commit")]
-        for r in rows:
-            if r.base_version is not None:
-                folder = self._base_folder(tuple(r[p] for p in self.part_names), r.base_version)
-                if folder not in needed:
-                    doomed.append(folder)
-        doomed += [f"{self.root}/manifest/version={v}" for v in {r.version for r in rows} - set(versions)]
+        for d in self._marks():
+            if d.epoch < kept[0].epoch or d.name in folded:
+                doomed += [f"{self.root}/{kind}/{d.name}" for kind in ("commit", "delta")]
+        needed = {self._base_folder(p, v) for m in kept for p, v in m.parts.items()}
+        for v in versions[:-keep]:
+            old = self._manifest(v)
+            doomed += [f for f in (self._base_folder(p, n) for p, n in old.parts.items()) if f not in needed]
+            doomed.append(f"{self.root}/manifest/version={v}")
         return sum(delete_folder(self.spark, folder) for folder in dict.fromkeys(doomed))
 
-    def purge_tombstones(self, before_seq: int) -> None:
-        """Rewrite the base without tombstones older than ``before_seq``."""
+    def purge_tombstones(self, before_seq: int) -> int:
+        """Rewrite the parts that hold tombstones older than ``before_seq`` without them; returns their number."""
         self.compact()
-        version, folded, parts = self._manifest()
-        kept = self._base(parts, (F.col(OP) != DELETE) | (F.col(SEQ) >= before_seq))
-        path = f"{self.root}/base/version={version + 1}"
-        self._write_parts(kept, path)
-        self._write_manifest(version + 1, folded, self._parts_in(path, version + 1))
+        now = self._manifest()
+        dead = (F.col(OP) == DELETE) & (F.col(SEQ) < before_seq)
+        rows = self._base(now.parts, None)
+        stale = {tuple(r) for r in rows.where(dead).select(*self.part_names).distinct().collect()}  # at most all parts
+        if not stale:
+            return 0
+        version = now.version + 1
+        path = f"{self.root}/base/version={version}"
+        self._write_parts(self._base({p: v for p, v in now.parts.items() if p in stale}, ~dead), path)
+        parts = {p: v for p, v in now.parts.items() if p not in stale} | self._parts_in(path, version)
+        self._write_manifest(version, now.epoch, now.folded, parts)
+        return len(stale)
 
 
 class KeyedTable:
@@ -260,6 +325,9 @@ class KeyedTable:
     def vacuum(self, keep: int = 2) -> int:
         return self.store.vacuum(keep)
 
+    def purge_tombstones(self, before_seq: int) -> int:
+        return self.store.purge_tombstones(before_seq)
+
     def compact(self) -> int:
         """Fold deltas into the base; returns the number of buckets rewritten."""
         return len(self.store.compact())

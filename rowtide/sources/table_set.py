@@ -64,11 +64,11 @@ class TableSet:
     def _placed(self, feed: DataFrame) -> DataFrame:
         def key_of(name: str, spec: TableSpec):
             fields = [F.col(f"{name}.{k}") for k in spec.keys]
-            return F.when(F.col(TABLE_NAME) == name, row_text(fields))
+            return F.when(F.col(TABLE_NAME) == name, row_text(fields, [spec.schema[k].dataType for k in spec.keys]))
 
-        key = F.coalesce(*[key_of(n, s) for n, s in self.tables.items()])
-        known = feed.where(F.col(TABLE_NAME).isin(list(self.tables)))
-        placed = known.withColumn(ROW_KEY, key)
+        unknown = F.raise_error(F.concat(F.lit("change of a table that is not in the set: "), F.coalesce(TABLE_NAME, F.lit("null"))))
+        key = F.coalesce(*[key_of(n, s) for n, s in self.tables.items()], unknown.cast("string"))
+        placed = feed.withColumn(ROW_KEY, key)
         return placed.withColumn(BUCKET, bucket_of([ROW_KEY], self.buckets))
 
     def load(self, snapshots: Mapping[str, DataFrame], snapshot_seq: int = -1) -> None:
@@ -83,8 +83,14 @@ class TableSet:
         self.store.put_base(self._placed(feed))
 
     def apply(self, feed: DataFrame, batch_id: int) -> None:
+        """Apply a tagged feed; rows of tables outside the set make the batch fail, see :meth:`known_rows`."""
         self.store.put_delta(self._placed(feed), batch_id)
 
+    def known_rows(self, feed: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """A feed's rows of the set's tables, and those of other or unnamed tables, to be kept elsewhere."""
+        known = F.coalesce(F.col(TABLE_NAME).isin(list(self.tables)), F.lit(False))
+        return feed.where(known), feed.where(~known)
+
     def read(self, table: str, upto: int | None = None) -> DataFrame:
         """Rows alive in one table; only its folders are read."""
         state = self.store.state(F.col(TABLE_NAME) == table, upto)
@@ -92,3 +98,9 @@ class TableSet:
 
     def compact(self) -> int:
         return len(self.store.compact())
+
+    def vacuum(self, keep: int = 2) -> int:
+        return self.store.vacuum(keep)
+
+    def purge_tombstones(self, before_seq: int) -> int:
+        return self.store.purge_tombstones(before_seq)

@@ -59,14 +59,27 @@ def _start(writer, checkpoint: str, trigger: dict | None) -> StreamingQuery:
 
 
 def stream_into(
-    feed: DataFrame, target: KeyedTable | TableSet, checkpoint: str, trigger: dict | None = None
+    feed: DataFrame,
+    target: KeyedTable | TableSet,
+    checkpoint: str,
+    trigger: dict | None = None,
+    compact_every: int | None = None,
+    keep: int = 2,
 ) -> StreamingQuery:
     """Apply a feed to a keyed table or a set of tables, one delta per micro-batch.
 
-    The delta is named by the batch, so a batch replayed after a failure overwrites itself and the
-    result is the same as if it had run once. Give each query its own checkpoint and target.
+    A batch replayed after a failure is a second delta with the same changes, which alters nothing. With
+    ``compact_every`` the writer itself folds its deltas in after every so many batches and deletes what the last
+    ``keep`` versions do not need, so a stream may run for weeks. Give each query its own checkpoint and target.
     """
-    return _start(feed.writeStream.foreachBatch(target.apply), checkpoint, trigger)
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        target.apply(rows, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            target.compact()
+            target.vacuum(keep)
+
+    return _start(feed.writeStream.foreachBatch(batch), checkpoint, trigger)
 
 
 def stream_append(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

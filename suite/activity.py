@@ -215,7 +215,7 @@ def _field(c: str) -> str:
 _ORDER_TEXT = " || ".join(_field(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "cast(o_totalprice as decimal(19,4))", "o_orderdate"))
 
 
-_SUMMED_DIGEST = "cast(sum(('0x' || substr(h, 1, 15))::bigint::decimal(38,0)) as varchar)"
+_SUMMED_DIGEST = " || '-' || ".join(f"cast(sum(('0x' || substr(h, {at}, 16))::ubigint::decimal(38,0)) as varchar)" for at in (1, 17, 33, 49))
 
 
 @query(

@@ -251,7 +251,7 @@ def _field(c: str) -> str:
     return f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
 
 
-_SUMMED_DIGEST = "cast(sum(('0x' || substr(h, 1, 15))::bigint::decimal(38,0)) as varchar)"
+_SUMMED_DIGEST = " || '-' || ".join(f"cast(sum(('0x' || substr(h, {at}, 16))::ubigint::decimal(38,0)) as varchar)" for at in (1, 17, 33, 49))
 
 
 def _checksum_sql(columns: str, keys: str) -> str:

@@ -73,7 +73,7 @@ def test_keyed_table_reads_and_compacts_without_moving_the_base_twice(spark):
     merged = plan(table.read())
     assert "SortMergeJoin" not in merged and "Exchange hashpartitioning" not in merged
     store = table.store
-    rows = store._base(store._manifest()[2], None).unionByName(store._deltas([0], None))
+    rows = store._base(store._manifest().parts, None).unionByName(store._deltas(store.open_deltas(), None))
     assert plan(store._merged(rows, 4)).count("Exchange ") == 1
     table.compact()
     assert "Exchange" not in plan(table.read().where(F.col("o_orderkey") > 5))

@@ -60,7 +60,7 @@ def test_late_change_does_not_bring_a_deleted_row_back(spark, rows, target):
 def test_delta_without_commit_is_not_read(spark, rows, target):
     target.load(base(spark, BASE))
     stray = target._placed(feed(spark, FEED))
-    target.store._write_parts(stray, f"{target.store.root}/delta/batch_id=0")
+    target.store._write_parts(stray, f"{target.store.root}/delta/1-0-stray")
     assert rows(target.read()) == BASE
 
 
@@ -75,7 +75,7 @@ def test_only_touched_buckets_are_rewritten(spark, target):
     target.load(spark.range(100).select(F.col("id").cast("int"), F.lit("x").alias("v"), F.lit(1).alias("n")))
     target.apply(feed(spark, [(6, "two", 2, "u", 2)]), 0)
     assert target.compact() == 1
-    versions = target.store._manifest()[2].values()
+    versions = target.store._manifest().parts.values()
     assert sorted(versions) == [0, 0, 0, 1]
 
 
@@ -94,6 +94,67 @@ def test_vacuum_keeps_what_is_read(spark, rows, target):
     assert rows(target.read()) == expected
 
 
+def test_new_checkpoint_after_a_compaction(spark, rows, target):
+    """Batch numbers that start over are new deltas, not folded ones."""
+    target.load(base(spark, BASE))
+    target.apply(feed(spark, FEED[:4]), 0)
+    target.apply(feed(spark, FEED[4:]), 1)
+    target.compact()
+    target.apply(feed(spark, [(77, "late", 1, "c", 500)]), 0)
+    expected = sorted([*FINAL, (77, "late", 1)], key=repr)
+    assert rows(target.read()) == expected
+    target.compact()
+    target.vacuum(keep=1)
+    assert rows(target.read()) == expected
+
+
+def test_reload_then_replay(spark, rows, target):
+    """A snapshot starts over: earlier changes are gone, and batches from 0 on are taken."""
+    target.load(base(spark, BASE))
+    target.apply(feed(spark, [(5, "before", 9, "u", 900)]), 0)
+    target.apply(feed(spark, [(6, "before", 9, "u", 900)]), 1)
+    target.load(base(spark, BASE))
+    assert rows(target.read()) == BASE
+    target.apply(feed(spark, FEED[:4]), 0)
+    target.apply(feed(spark, FEED[4:]), 1)
+    assert rows(target.read()) == FINAL
+    assert target.vacuum(keep=1) > 0
+    assert rows(target.read()) == FINAL
+
+
+def test_reader_during_a_replay(spark, rows, target):
+    """A second attempt writes beside the first, which stays whole until the new mark is there."""
+    target.load(base(spark, BASE))
+    target.apply(feed(spark, FEED), 0)
+    before = target.read()
+    half = target._placed(feed(spark, FEED[:1]))
+    target.store._write_parts(half, f"{target.store.root}/delta/1-0-second")
+    assert rows(before) == FINAL and rows(target.read()) == FINAL
+
+
+def test_null_keys_and_map_payloads(spark, rows):
+    schema = "id int, m map<string,int>"
+    frame = spark.createDataFrame([(None, {"a": 1}), (1, {"b": 2})], schema)
+    t = KeyedTable(spark, workspace(spark, "t"), ["id"], frame.schema, buckets=2)
+    t.load(frame)
+    new = spark.createDataFrame([(None, {"a": 5}, "u", 1), (None, {"z": 0}, "u", 1), (1, None, "d", 3)], schema + ", op string, seq bigint")
+    t.apply(new, 0)
+    found = rows(t.read())
+    assert len(found) == 1 and found[0][0] is None and found[0][1] in ({"a": 5}, {"z": 0})
+    t.compact()
+    assert rows(t.read()) == found
+
+
+def test_unknown_tables_are_not_dropped(spark):
+    a = base(spark, BASE)
+    tables = TableSet(spark, workspace(spark, "set"), {"a": TableSpec(["id"], a.schema)}, 2)
+    odd = tagged(feed(spark, FEED[:2]), "a", a.columns).unionByName(tagged(feed(spark, FEED[2:3]), "a", a.columns).withColumn("table_name", F.lit("typo")))
+    with pytest.raises(Exception, match="typo"):
+        tables.apply(odd, 0)
+    known, other = tables.known_rows(odd.unionByName(odd.limit(1).withColumn("table_name", F.lit(None).cast("string"))))
+    assert (known.count(), other.count()) == (2, 2)
+
+
 def test_merge_join_of_a_large_delta(spark, rows, target):
     """Beyond the broadcast limit the same result comes from a shuffled join."""
     target.load(base(spark, BASE))

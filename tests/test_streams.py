@@ -33,6 +33,15 @@ def test_many_batches_equal_one(spark, rows, target):
     assert rows(target.read()) == FINAL
 
 
+def test_open_deltas_stay_few(spark, rows, target):
+    path = workspace(spark, "f")
+    files(spark, path, FEED, each=1)
+    stream = feeds.change_stream(spark, path, SCHEMA, max_files=1)
+    feeds.run_available(feeds.stream_into(stream, target, workspace(spark, "p"), compact_every=2, keep=1))
+    assert len(target.store.open_deltas()) < 2 and len(target.store._versions()) == 1
+    assert rows(target.read()) == FINAL
+
+
 def test_failed_batch_is_replayed(spark, rows, target):
     path, progress = workspace(spark, "f"), workspace(spark, "p")
     files(spark, path, FEED, each=5)
