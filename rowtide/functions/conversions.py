@@ -189,6 +189,9 @@ _CONVERSIONS |= {kind: _text for kind in ("varchar", "nvarchar")}
 _CONVERSIONS |= {kind: _string for kind in ("text", "ntext", "xml", "json", "uniqueidentifier")}
 
 
+# Registered by callers; they go before the built-in ones.
+_CUSTOM: dict[str, Conversion] = {}
+
 # Conversions to text or from any bytes; there is no value they refuse.
 _NEVER_FAIL = {"char", "nchar", "varchar", "nvarchar", "text", "ntext", "xml", "varbinary", "image"}
 
@@ -199,21 +202,22 @@ def register_conversion(source_type: str, conversion: Conversion) -> None:
     ``conversion(column, spec)`` returns a ``Column``: a native expression, or a call of an
     Arrow ``pandas_udf`` where no native one can say it.
     """
-    _CONVERSIONS[source_type.lower()] = conversion
-    _NEVER_FAIL.discard(source_type.lower())
+    _CUSTOM[source_type.lower()] = conversion
 
 
 def unregister_conversion(source_type: str) -> None:
-    _CONVERSIONS.pop(source_type.lower(), None)
+    """Take back what was registered; a built-in conversion it replaced is in force again."""
+    _CUSTOM.pop(source_type.lower(), None)
 
 
 def is_mapped(source_type: str) -> bool:
-    return source_type.lower() in _CONVERSIONS
+    return source_type.lower() in _CUSTOM or source_type.lower() in _CONVERSIONS
 
 
 def converted(value: Column, spec: ColumnSpec) -> Column:
     """The value in its mapped type; null where it cannot be converted; text if unmapped."""
-    return _CONVERSIONS.get(spec.source_type.lower(), _string)(value, spec)
+    kind = spec.source_type.lower()
+    return _CUSTOM.get(kind, _CONVERSIONS.get(kind, _string))(value, spec)
 
 
 def _over_length(value: Column, spec: ColumnSpec) -> Column | None:
@@ -236,7 +240,7 @@ def violations(value: Column, spec: ColumnSpec) -> dict[str, Column]:
     """Named boolean tests, each true where the value breaks its declaration."""
     kind = spec.source_type.lower()
     found = {}
-    if kind not in _NEVER_FAIL and is_mapped(kind):
+    if is_mapped(kind) and (kind in _CUSTOM or kind not in _NEVER_FAIL):
         found["failed_cast"] = value.isNotNull() & converted(value, spec).isNull()
     if kind == "uniqueidentifier":
         found["failed_cast"] = ~value.cast("string").rlike(GUID)

@@ -41,10 +41,10 @@ def glob_match(value: Column, patterns: Sequence[str] | None) -> Column:
 
 
 def regex_match(value: Column, patterns: Sequence[str] | None) -> Column:
-    """Case-insensitive search with any regular expression; no patterns matches everything."""
+    """Case-insensitive search (in any alphabet, as for column names) with any regular expression; no patterns matches everything."""
     if not patterns:
         return F.lit(True)
-    return _any_of([value.rlike(f"(?i){p}") for p in patterns])
+    return _any_of([value.rlike(f"(?iu){p}") for p in patterns])
 
 
 MATCHERS = {"glob": glob_match, "regex": regex_match}

@@ -8,46 +8,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtide.functions.times import seconds_interval, wall_seconds
-from rowtide.session import broadcast_if_small, pinned
-
-MAX_RUN = 1_000_000
-
-
-def _stretched(df: DataFrame, keys: Sequence[str], seq: str, max_run: int) -> DataFrame:
-    """Rows with ``_part``: 0, or for keys of more than ``max_run`` rows the stretch of seq they lie in.
-
-    Such keys are at most the rows divided by ``max_run``; their list is broadcast once its size is
-    checked. A stretch is as wide as holds ``max_run`` rows of its key on average.
-    """
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(seq).alias("_lo"), F.max(seq).alias("_hi"))
-    width = F.call_function("div", (F.col("_hi") - F.col("_lo") + 1), F.ceil(F.col("_n") / max_run)) + 1
-    long = counted.where(F.col("_n") > max_run).select(*keys, "_lo", width.alias("_width"))
-    part = F.call_function("div", F.col(seq) - F.col("_lo"), F.col("_width"))
-    placed = df.join(broadcast_if_small(pinned(long)), list(keys), "left")
-    return placed.withColumn("_part", F.coalesce(part, F.lit(0).cast("bigint"))).withColumn(
-        "_long", F.col("_lo").isNotNull()
-    )
-
+from rowtide.operators.changes import same_keys
+from rowtide.session import pinned, shuffle_width
 
 def version_history(
-    df: DataFrame, keys: Sequence[str], seq: str, attributes: Sequence[str], max_run: int = MAX_RUN
+    df: DataFrame, keys: Sequence[str], seq: str, attributes: Sequence[str], partitions: int | None = None
 ) -> DataFrame:
     """Old and new value of each attribute whenever it changes from one version to the next.
 
-    ``seq`` is a whole number, unique per key. A key with very many versions is cut into stretches
-    that are sorted apart; the last version of each is handed to the next one that has any.
+    ``seq`` orders the versions of a key and is unique in it; a null key is a key. Rows are dealt by ranges of
+    key and seq, cut by rank wherever the data lie, so a key of any length and spread of seq takes as many
+    ranges as its rows need. The last version of each range is handed to the key's next one: at
+    most one row per key and range.
     """
     named = df.select(*keys, seq, F.struct(*attributes).alias("_now"))
-    rows = _stretched(named, keys, seq, max_run)
-    in_part = Window.partitionBy(*keys, "_part").orderBy(seq)
-    lagged = rows.withColumn("_prev", F.lag("_now").over(in_part))
-
-    cut = rows.where("_long").groupBy(*keys, "_part")
-    tails = cut.agg(F.max(F.struct(seq, "_now")).getField("_now").alias("_tail"))
-    carried = tails.select(
-        *keys, "_part", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_part")).alias("_carry")
-    )
-    rows = lagged.join(carried, [*keys, "_part"], "left")
+    by = [F.col(k).asc_nulls_first() for k in keys] + [F.col(seq).asc_nulls_first()]
+    width = partitions or shuffle_width(df.sparkSession)
+    placed = named.repartitionByRange(width, *by).withColumn("_part", F.spark_partition_id())
+    rows = pinned(placed)
+    lagged = rows.withColumn("_prev", F.lag("_now").over(Window.partitionBy(*keys, "_part").orderBy(seq)))
+    tails = rows.groupBy(*keys, "_part").agg(F.max_by("_now", seq).alias("_tail"))
+    carried = tails.withColumn("_carry", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_part")))
+    carried = carried.where(F.col("_carry").isNotNull()).select(*keys, "_part", "_carry")  # only keys that cross a cut
+    carried, on = same_keys(lagged, carried, [*keys, "_part"])
+    rows = lagged.join(carried, on, "left")
     before = F.coalesce("_prev", "_carry")
 
     def entry(c: str):
@@ -103,7 +87,8 @@ def stale_gaps(events: DataFrame, entity: str, ts: str, limit_seconds: int) -> D
     Two events in one slot of ``limit_seconds`` are never that far apart, so first and last event
     per slot are enough: they are aggregated before anything is sorted.
     """
-    slot = F.call_function("div", wall_seconds(F.col(ts)), F.lit(limit_seconds)).alias("_slot")
+    at = wall_seconds(F.col(ts))
+    slot = F.call_function("div", at - F.pmod(at, F.lit(limit_seconds)), F.lit(limit_seconds)).alias("_slot")  # rounds down, before 1970 too
     slots = events.groupBy(entity, slot).agg(F.min(ts).alias("gap_end"), F.max(ts).alias("_last"))
     previous = F.lag("_last").over(Window.partitionBy(entity).orderBy("_slot"))
     gaps = slots.withColumn("gap_start", previous).where(F.col("gap_start").isNotNull())

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.operators.ranking import ranked
+
 # Default chunk size, rows per fetch and connections of a chunked snapshot.
 CHUNK_SIZE = 10_000
 FETCH_SIZE = 1024
@@ -48,6 +50,41 @@ def chunked_snapshot(df: DataFrame, key: str, size: int = CHUNK_SIZE) -> DataFra
     return df.withColumn("chunk_id", chunk_of(F.col(key), lowest, size))
 
 
+def _ranked_keys(df: DataFrame, key: str, size: int) -> DataFrame:
+    """Distinct keys of any orderable type with ``chunk_id``: ``size`` keys in order make a chunk; a null key is the first."""
+    keys = df.groupBy(key).agg(F.count("*").alias("_n"))
+    return ranked(keys, [], [F.asc_nulls_first(key)], rank="_rn").select(key, "_n", chunk_of(F.col("_rn"), 1, size).alias("chunk_id"))
+
+
+def key_chunk_plan(df: DataFrame, key: str, size: int = CHUNK_SIZE) -> DataFrame:
+    """Chunks by rank of the key, for keys of any orderable type: id, first and last key, rows."""
+    ranks = _ranked_keys(df, key, size)
+    return ranks.groupBy("chunk_id").agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.sum("_n").alias("n_rows"))
+
+
+def key_chunked_snapshot(df: DataFrame, key: str, size: int = CHUNK_SIZE) -> DataFrame:
+    """Snapshot rows with the chunk of :func:`key_chunk_plan` their key lies in."""
+    ranks = _ranked_keys(df, key, size).select(F.col(key).alias("_key"), "chunk_id")
+    return df.join(ranks, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+
+
+def jdbc_predicates(plan: DataFrame, key: str, quote: str = "'") -> list[str]:
+    """One condition per chunk of a plan, for ``spark.read.jdbc(predicates=...)``; together they take every row once.
+
+    The list is as long as the plan has chunks; choose ``size`` so that those are few.
+    """
+    chunks = plan.orderBy("chunk_id").select("lo").collect()
+
+    def literal(v) -> str:
+        return str(v) if isinstance(v, (int, float)) else quote + str(v).replace(quote, quote * 2) + quote
+
+    lows = [literal(r.lo) for r in chunks[1:]]
+    if not lows:
+        return ["1 = 1"]
+    first = f"({key} < {lows[0]} OR {key} IS NULL)"
+    return [first, *[f"({key} >= {a} AND {key} < {b})" for a, b in zip(lows, lows[1:])], f"{key} >= {lows[-1]}"]
+
+
 def read_chunks(df: DataFrame, key: str, lowest: int, first: int, last: int, size: int = CHUNK_SIZE) -> DataFrame:
     """Rows of the chunks ``first`` to ``last``, as a key range the scan can skip files by."""
     return df.where((F.col(key) >= lowest + first * size) & (F.col(key) < lowest + (last + 1) * size))

@@ -65,6 +65,19 @@ def chunked_snapshot(spark, sf):
     return snap.chunked_snapshot(rows, "o_orderkey", 1000)
 
 
+_NAME_CHUNKS = """select p_name as k, count(*) as n, (row_number() over (order by p_name) - 1) // 20 as chunk_id from part group by p_name"""
+
+
+@query(f"select cast(chunk_id as bigint) as chunk_id, min(k) as lo, max(k) as hi, cast(sum(n) as bigint) as n_rows from ({_NAME_CHUNKS}) group by 1")
+def chunk_plan_text_key(spark, sf):
+    return snap.key_chunk_plan(table(spark, sf, "part"), "p_name", 20)
+
+
+@query(f"select p_partkey, p_name, cast(chunk_id as bigint) as chunk_id from part join ({_NAME_CHUNKS}) on p_name = k")
+def chunked_snapshot_text_key(spark, sf):
+    return snap.key_chunked_snapshot(table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", 20)
+
+
 SNAPSHOT_SEQ = 5000
 
 

@@ -171,16 +171,16 @@ def register_conversion_native(spark, sf):
     return out
 
 
-@query("select p_partkey, reverse(p_name) as p_name from part", name="pandas_conversion")
+@query("select doc_id, nfc_normalize(text) as text from documents", name="pandas_conversion")
 def register_conversion_pandas(spark, sf):
-    """A conversion given as an Arrow function, where a native one is missing."""
+    """A conversion given as an Arrow function, as no native one puts text in composed form."""
 
     @F.pandas_udf("string")
-    def mirrored(values: pd.Series) -> pd.Series:
-        return values.str[::-1]
+    def composed(values: pd.Series) -> pd.Series:
+        return values.str.normalize("NFC")
 
-    register_conversion("mirrored", lambda c, spec: mirrored(c))
-    rows = table(spark, sf, "part").select("p_partkey", "p_name")
-    out = quality.conform(rows, [ColumnSpec("p_name", "mirrored")])
-    unregister_conversion("mirrored")
+    register_conversion("composed", lambda c, spec: composed(c))
+    rows = table(spark, sf, "documents").select("doc_id", "text")
+    out = quality.conform(rows, [ColumnSpec("text", "composed")])
+    unregister_conversion("composed")
     return out

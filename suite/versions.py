@@ -18,7 +18,7 @@ from suite.registry import query, table
 )
 def version_history(spark, sf):
     rows = table(spark, sf, "events").withColumn("value", F.col("value").cast("decimal(19,4)"))
-    return ver.version_history(rows, ["user_id"], "event_id", ["event_type", "value"], max_run=40)
+    return ver.version_history(rows, ["user_id"], "event_id", ["event_type", "value"], partitions=8)
 
 
 YOUNG, SINCE = "2024-01-13 00:00:00", "2024-01-01 00:00:00"

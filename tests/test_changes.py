@@ -91,3 +91,17 @@ def test_reconcile_counts_covers_missing_tables(spark, rows):
 def test_with_computed(spark, rows):
     df = ch.with_computed(base(spark, [(1, "x", 4)]), {"twice": "n * 2", "tag": "concat(v, '-', id)"})
     assert rows(df) == [(1, "x", 4, 8, "x-1")]
+
+
+def test_digests_of_nested_values(spark):
+    from rowtide.functions.digests import digest_of
+
+    kinds = "a array<string>, m map<string,int>, s struct<x:string,y:array<int>>"
+    values = [
+        (["null"], {"a": 1, "b": 2}, ("1", [1])), ([None], {"a": 1, "b": 2}, ("1", [1])), (["a", "b"], {}, ("1", [1])), (["a, b"], {}, ("1", [1])),
+        ([], None, None), (None, None, None), (None, None, (None, None)), (["1:a"], {"a": None}, ("1", [])), (["a"], {"a": None}, ("1", None)),
+    ]
+    df = spark.createDataFrame(values, kinds)
+    assert df.select(digest_of(df, df.columns)).distinct().count() == len(values)
+    turned = spark.createDataFrame([(["null"], {"b": 2, "a": 1}, ("1", [1]))], kinds)
+    assert turned.select(digest_of(turned, turned.columns)).first() == df.limit(1).select(digest_of(df, df.columns)).first()

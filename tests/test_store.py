@@ -200,6 +200,16 @@ def test_chunks_cover_the_table_once(spark):
     assert snap.chunk_plan(df.limit(0), "k").count() == 0
 
 
+def test_chunks_of_text_keys(spark):
+    df = spark.createDataFrame([(k,) for k in ["b", "a", "c'd", "é", "a", None, "z"]], "k string")
+    plan = snap.key_chunk_plan(df, "k", 2)
+    assert {r.chunk_id: (r.lo, r.hi, r.n_rows) for r in plan.collect()} == {0: ("a", "a", 3), 1: ("b", "c'd", 2), 2: ("z", "é", 2)}
+    assert {r.k: r.chunk_id for r in snap.key_chunked_snapshot(df, "k", 2).collect()} == {None: 0, "a": 0, "b": 1, "c'd": 1, "z": 2, "é": 2}
+    conditions = snap.jdbc_predicates(plan, "k")
+    assert conditions == ["(k < 'b' OR k IS NULL)", "(k >= 'b' AND k < 'z')", "k >= 'z'"]
+    assert sum(df.where(c).count() for c in conditions) == 7
+
+
 def test_jdbc_options_split_the_key_range(spark):
     options = snap.jdbc_chunk_options({"url": "jdbc:x"}, "k", (5, 1_000_004), size=10_000)
     assert options == {

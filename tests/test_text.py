@@ -108,3 +108,10 @@ def test_times_and_numbers(spark):
         text.identifier(F.lit("sales-db-1")).alias("i"),
     ).first()
     assert tuple(row) == ("2024-05-06T07:08:09.120Z", "2024-01-01T00:00:00.000Z", late, 12, 0, "1,234,567", "1.13", "sales_db_1")
+
+
+def test_case_of_any_alphabet(spark):
+    from rowtide.functions.text import name_selected, regex_match
+
+    df = spark.createDataFrame([("ÉTAT",)], "n string")
+    assert df.select(regex_match(F.col("n"), ["^état"])).first()[0] and name_selected("ÉTAT", ["^état"], [], "regex")

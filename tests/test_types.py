@@ -144,3 +144,15 @@ def test_custom_mapping_precedence(spark):
     assert (wins["int"], wins["geography"]) == ("BIGINT", "GEO")
     assert (loses["int"], loses["geography"]) == ("INT", "GEO")
     assert len(wins) == len(loses) == 30
+
+
+def test_unregister_restores_the_built_in(spark):
+    from rowtide.functions import conversions as cv
+
+    spec = cv.ColumnSpec("v", "varchar", length=2)
+    df = spark.createDataFrame([("abc",)], "v string")
+    before = df.select(cv.converted(F.col("v"), spec)).first()[0]
+    cv.register_conversion("varchar", lambda c, _: F.lit("mine"))
+    assert df.select(cv.converted(F.col("v"), spec)).first()[0] == "mine"
+    cv.unregister_conversion("varchar")
+    assert cv.is_mapped("varchar") and df.select(cv.converted(F.col("v"), spec)).first()[0] == before

@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from rowtide.operators import versions as ver
 
@@ -21,8 +22,8 @@ def log(spark):
     return data, spark.createDataFrame(data, "k string, seq bigint, ts timestamp_ntz, v string, n int")
 
 
-@pytest.mark.parametrize("max_run", [1, 7, 300, 10_000])
-def test_history(spark, log, max_run):
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_history(spark, log, partitions):
     data, df = log
     expected, last = set(), {}
     for key, seq, _, v, n in data:
@@ -31,10 +32,28 @@ def test_history(spark, log, max_run):
                 if old != new:
                     expected.add((key, seq, name, None if old is None else str(old), None if new is None else str(new)))
         last[key] = (v, n)
-    got = [tuple(r) for r in ver.version_history(df, ["k"], "seq", ["v", "n"], max_run).collect()]
+    got = [tuple(r) for r in ver.version_history(df, ["k"], "seq", ["v", "n"], partitions).collect()]
     assert len(got) == len(set(got)) and set(got) == expected
 
 
+def test_uneven_seq_null_key_and_spread(spark):
+    """One old outlier far from the rest of a long key, and a null key, are cut by rank like any other."""
+    data = [("hot", 0, "x")] + [("hot", 10**12 + i, "xy"[i % 2]) for i in range(3000)] + [(None, i, "xyz"[i % 3]) for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, seq bigint, v string")
+    got = {(r.k, r.seq, r.old_value, r.new_value) for r in ver.version_history(df, ["k"], "seq", ["v"], 12).collect()}
+    expected = {("hot", 10**12 + i, "yx"[i % 2], "xy"[i % 2]) for i in range(1, 3000)}
+    expected |= {(None, i, "zxy"[i % 3], "xyz"[i % 3]) for i in range(1, 3000)}
+    assert got == expected
+    ranges = df.repartitionByRange(12, "k", "seq").groupBy(F.spark_partition_id(), "k").count().agg(F.max("count")).first()[0]
+    assert ranges < 1500
+
+
+def test_gaps_before_1970(spark):
+    times = [datetime(1969, 12, 31, 23, 35), datetime(1970, 1, 1, 0, 25), datetime(1970, 1, 1, 0, 30)]
+    df = spark.createDataFrame([("a", t) for t in times], "k string, ts timestamp_ntz")
+    assert [(r.gap_start, r.gap_end) for r in ver.stale_gaps(df, "k", "ts", 1800).collect()] == [(times[0], times[1])]
+
+
 @pytest.mark.parametrize("limit", [60, 1800, 3600])
 def test_gaps(spark, log, limit):
     data, df = log
