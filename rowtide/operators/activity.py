@@ -227,7 +227,7 @@ def activity_report(
     """The report as rows: thresholds, summary counts, then one nested ``entry`` per entity.
 
     Entities number as many as the data holds, so they stay rows instead of one list. ``jobs``
-    (entity, job_name) adds the job of each entity.
+    (entity, job_name) adds the job of each entity, and a ``config`` row per job with its number of entities.
     """
     detail = activity if jobs is None else activity.join(jobs.select(entity, "job_name"), entity, "left")
     fields = [c for c in detail.columns if c != entity]
@@ -244,7 +244,11 @@ def activity_report(
     limits = activity.sparkSession.createDataFrame(
         [("threshold", "high", high), ("threshold", "low", low)], "section string, name string, value bigint"
     )
-    return tables.unionByName(summary, allowMissingColumns=True).unionByName(limits, allowMissingColumns=True)
+    out = tables.unionByName(summary, allowMissingColumns=True).unionByName(limits, allowMissingColumns=True)
+    if jobs is None:
+        return out
+    configs = detail.where(F.col("job_name").isNotNull()).groupBy(F.col("job_name").alias("name")).agg(F.count("*").alias("value"))
+    return out.unionByName(configs.withColumn("section", F.lit("config")), allowMissingColumns=True)
 
 
 def totals_by(df: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowtide.functions.conversions import ColumnSpec
 from rowtide.functions.text import name_selected
@@ -47,6 +48,18 @@ class JobRule:
         return picked
 
 
+def jobs_from_plan(plan: DataFrame, entity: str, base: JobRule) -> dict[str, JobRule]:
+    """A rule per job of a plan (entity, job_name), each with the base rule's settings and its own tables.
+
+    Only tables that ``base`` has a rule for are taken, so at most those come to the driver.
+    """
+    known = plan.where(F.col(entity).isin(list(base.tables))).select(entity, "job_name").distinct().collect()
+    members: dict[str, list[str]] = {}
+    for table, job in known:
+        members.setdefault(job, []).append(table)
+    return {job: replace(base, tables={t: base.tables[t] for t in sorted(names)}, include_tables=sorted(names)) for job, names in members.items()}
+
+
 def prepared(df: DataFrame, job: JobRule, table: str) -> DataFrame:
     """Rows of a table as the job replicates them, snapshot or change feed alike.
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.session import child_folders
 from rowtide.sources.merge_store import BUCKET, bucket_of
 
 
@@ -47,11 +48,12 @@ def read_catalog_versions(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def latest_catalog(spark: SparkSession, path: str, schema, environment: str, job: str) -> DataFrame:
-    """The newest catalog kept for a job."""
-    kept = read_catalog_versions(spark, path, schema)
-    kept = kept.where((F.col("environment") == environment) & (F.col("job") == job))
-    newest = kept.agg(F.max("version").alias("v")).first().v
-    return kept.where(F.col("version") == F.lit(newest))
+    """The newest catalog kept for a job, found by the names of its folders; no older one is read."""
+    kept = f"{path}/environment={environment}/job={job}"
+    versions = [int(n.removeprefix("version=")) for n in child_folders(spark, kept) if n.startswith("version=")]
+    if not versions:
+        return read_catalog_versions(spark, path, schema).limit(0) if child_folders(spark, path) else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).json(f"{kept}/version={max(versions)}")
 
 
 def write_report(report: DataFrame, path: str) -> None:

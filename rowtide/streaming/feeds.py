@@ -35,14 +35,24 @@ def change_stream(
     return reader.load(path)
 
 
-def flush_policy(mean_row_bytes: int | None = None) -> dict[str, object]:
-    """Trigger and input limit with the flush rules of a buffered sink.
-
-    The time rule is the trigger. The byte rule limits a batch's input; with a mean row size known,
-    the row rule lowers it further.
+def flush_policy(
+    mean_row_bytes: int | None = None, mean_file_rows: float | None = None, rows: int = FLUSH_ROWS
+) -> dict[str, object]:
+    """Trigger and input limits with the flush rules of a buffered sink.
+
+    The time rule is the trigger. The byte rule limits a batch's input; with a mean row size known, the row
+    rule lowers it further. File bytes are compressed, so where files are known by their rows (:func:`mean_rows_per_file`)
+    the row rule is kept by ``max_files`` instead.
     """
-    limit = FLUSH_BYTES if mean_row_bytes is None else min(FLUSH_BYTES, FLUSH_ROWS * mean_row_bytes)
-    return {"trigger": {"processingTime": FLUSH_INTERVAL}, "max_bytes": limit}
+    limit = FLUSH_BYTES if mean_row_bytes is None else min(FLUSH_BYTES, rows * mean_row_bytes)
+    policy = {"trigger": {"processingTime": FLUSH_INTERVAL}, "max_bytes": limit}
+    return policy if mean_file_rows is None else policy | {"max_files": max(1, int(rows // max(1.0, mean_file_rows)))}
+
+
+def mean_rows_per_file(files: DataFrame) -> float:
+    """Rows per file of what a feed's folder holds so far; Parquet answers from its footers' counts."""
+    found = files.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).agg(F.avg("n").alias("n")).first()
+    return found.n or 0.0
 
 
 def without_repeats(feed: DataFrame, identity: Sequence[str], ts: str, delay: str) -> DataFrame:

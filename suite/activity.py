@@ -8,6 +8,7 @@ from rowtide.functions.measures import latest_of, read_write_ratio, tier
 from rowtide.operators import activity as act
 from rowtide.operators import quality
 from rowtide.operators.ranking import ranked
+from rowtide.plans import jobs
 from rowtide.session import workspace
 from rowtide.sources import sinks
 from suite import standins as st
@@ -200,9 +201,15 @@ def activity_report(spark, sf):
     return _flat(act.activity_report(covered(spark, sf), "entity", st.HIGH, st.LOW))
 
 
-@query(REPORT_SQL)
+_JOB_NAME = "case when category = 'high' then concat('dbo_', entity) else concat('dbo_', category, '_io_bundle') end"
+
+
+@query(f"{REPORT_SQL} union all select 'config', {_JOB_NAME}, cast(count(*) as bigint), null, null, null from c group by 2")
 def report_sink(spark, sf):
-    report = act.activity_report(covered(spark, sf), "entity", st.HIGH, st.LOW)
+    """The report with the jobs of its plan merged in, written and read again."""
+    rows = covered(spark, sf)
+    plan = jobs.with_tier_job(rows.withColumn("schema", F.lit("dbo")), "schema", "entity")
+    report = act.activity_report(rows, "entity", st.HIGH, st.LOW, jobs=plan)
     path = workspace(spark, "report")
     sinks.write_report(report, path)
     return _flat(spark.read.schema(report.schema).option("basePath", path).json(path))

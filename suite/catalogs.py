@@ -8,6 +8,8 @@ from rowtide.operators import catalog as cat
 from rowtide.operators import changes as ch
 from rowtide.operators import diff as df_
 from rowtide.operators import lookup
+from rowtide.session import workspace
+from rowtide.sources import sinks
 from suite import standins as st
 from suite.registry import query, table
 from suite.replication import KEY, OUT, shown
@@ -293,6 +295,21 @@ def changed_tables(spark, sf):
     return cat.changed_tables(_checksums(spark, sf, 1), _checksums(spark, sf, 2))
 
 
+@query(
+    f"""select o.table_schema, o.table_name, o.checksum as old_checksum, n.checksum as new_checksum
+    from ({_checksum_sql(st.columns_v1_sql(), st.keys_sql(1))}) o join ({_checksum_sql(st.columns_v2_sql(), st.keys_sql(2))}) n
+    using (table_schema, table_name) where o.checksum <> n.checksum"""
+)
+def changed_since_kept(spark, sf):
+    """Checksums of two runs kept, the newest found again and compared with those of now."""
+    path = workspace(spark, "catalog")
+    old = _checksums(spark, sf, 1)
+    sinks.write_catalog_version(_checksums(spark, sf, 2), path, "test", "sync", 9)
+    sinks.write_catalog_version(old, path, "test", "sync", 10)
+    kept = sinks.latest_catalog(spark, path, old.schema, "test", "sync").select(*old.columns)
+    return cat.changed_tables(kept, _checksums(spark, sf, 2))
+
+
 def _key_text_sql(version: int) -> str:
     return f"select table_schema, table_name, string_agg(column_name, ',' order by column_name) as k from ({st.keys_sql(version)}) group by all"
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.conversions import ColumnSpec
 from rowtide.operators import changes as ch
-from rowtide.plans.replication import JobRule, TableRule, job_feed, load_job
+from rowtide.plans.jobs import with_tier_job
+from rowtide.plans.replication import JobRule, TableRule, job_feed, jobs_from_plan, load_job
 from rowtide.session import workspace
 from rowtide.sources import sinks
 from rowtide.sources import snapshot as snap
@@ -362,3 +363,28 @@ def replicate_job(spark, sf):
         F.col("c_acctbal").cast("double").alias("amount"),
     )
     return orders.unionByName(customer)
+
+
+_COUNTED = " union all ".join(f"select '{t}' as name, cast(count(*) as bigint) as n from {t}" for t in ("orders", "customer", "supplier"))
+
+
+@query(
+    f"""with u as ({_COUNTED}), j as (select name, n, case when n > 1000 then concat('dbo_', name) else 'dbo_low_io_bundle' end as job from u)
+    select job, name as table_name, n as n_rows from j"""
+)
+def plan_to_jobs(spark, sf):
+    """Tables planned by their size, a job rule per planned job, one run per job, and the rows each made."""
+    names = {"orders": "o_orderkey", "customer": "c_custkey", "supplier": "s_suppkey"}
+    sources = {n: table(spark, sf, n).select(k) for n, k in names.items()}
+    counts = None
+    for n, df in sources.items():
+        one = df.agg(F.count("*").alias("n")).select(F.lit(n).alias("name"), F.lit("dbo").alias("schema"), F.when(F.col("n") > 1000, "high").otherwise("low").alias("category"))
+        counts = one if counts is None else counts.unionByName(one)
+    base = JobRule(tables={n: TableRule([k]) for n, k in names.items()})
+    out = None
+    for job, rule in jobs_from_plan(with_tier_job(counts, "schema", "name"), "name", base).items():
+        target = load_job(spark, workspace(spark, "planned"), rule, sources, buckets=2)
+        for n in rule.tables:
+            part = target.read(n).agg(F.count("*").alias("n_rows")).select(F.lit(job).alias("job"), F.lit(n).alias("table_name"), "n_rows")
+            out = part if out is None else out.unionByName(part)
+    return out

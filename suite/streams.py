@@ -130,13 +130,14 @@ def keyed_state_latest(spark, sf):
 
 @query(final_sql())
 def micro_batch_policy(spark, sf):
-    """Batches limited by bytes as the flush rules say, run to the end of the input."""
+    """Batches limited by rows as the flush rules say: 400 rows here, so that the input takes several."""
     base = st.base(spark, sf)
     target = keyed_orders(spark, "stream-policy", base)
     target.load(base)
     path, schema, _ = orders_feed(spark, sf, "policy-feed")
-    stream = feeds.change_stream(spark, path, schema, max_bytes=feeds.flush_policy(64)["max_bytes"])
-    feeds.run_available(feeds.stream_into(stream, target, workspace(spark, "policy-progress")))
+    policy = feeds.flush_policy(mean_file_rows=feeds.mean_rows_per_file(spark.read.schema(schema).parquet(path)), rows=400)
+    stream = feeds.change_stream(spark, path, schema, max_files=policy["max_files"])
+    feeds.run_available(feeds.stream_into(stream, target, workspace(spark, "policy-progress"), compact_every=4))
     return shown(target.read())
 
 

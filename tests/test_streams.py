@@ -108,4 +108,6 @@ def test_flush_policy():
     assert feeds.flush_policy()["max_bytes"] == 104_857_600
     assert feeds.flush_policy(100)["max_bytes"] == 50_000_000
     assert feeds.flush_policy(10_000)["max_bytes"] == 104_857_600
+    assert feeds.flush_policy(mean_file_rows=200_000.0)["max_files"] == 2
+    assert feeds.flush_policy(mean_file_rows=10**6)["max_files"] == 1
     assert feeds.flush_policy()["trigger"] == {"processingTime": "10 seconds"}
