@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from rowtide.functions.measures import tier
 from rowtide.operators.activity import CATEGORY, READS, TOTAL, WRITES
-from rowtide.operators.changes import OP, SEQ, UPDATE, op_rank
+from rowtide.operators.changes import OP, SEQ, UPDATE, latest_change_per_key, op_rank
 from rowtide.sources.merge_store import KeyedTable
 from rowtide.streaming.feeds import _start
 
@@ -104,6 +104,15 @@ def latest_by_state(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     return row.select(*[F.col(c) if c in {*keys, SEQ} else F.col(f"{_PAYLOAD}.{c}") for c in feed.columns])
 
 
+def latest_in_stream(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The latest change of every key a batch touched, by an aggregate held in the stream's state; wholly in the JVM.
+
+    Write it in update mode. A stale change emits its key's unchanged latest row again, which a keyed target takes without
+    effect; :func:`latest_by_state` holds those back. Combines before the shuffle.
+    """
+    return latest_change_per_key(feed, keys)
+
+
 def stream_activity(
     events: DataFrame,
     entity: str,
@@ -118,15 +127,18 @@ def stream_activity(
     """Live counters and tier per entity.
 
     The counters are a streaming aggregate, combined before the shuffle. Each batch hands on only
-    the entities it touched, as upserts into ``target``; a tier can change with any of them.
+    the entities it touched, as upserts into ``target``; a tier can change with any of them. Their ``seq`` goes on from the
+    target's highest, so the updates of a query with a new checkpoint are later than all before.
     """
+    highest = target.state().agg(F.max(SEQ).alias("seq")).first().seq
+    start = 0 if highest is None else max(0, highest + 1)
     running = events.groupBy(entity).agg(F.count_if(reads).alias(READS), F.count_if(writes).alias(WRITES))
     running = running.withColumns(
         {TOTAL: F.col(READS) + F.col(WRITES), CATEGORY: tier(F.col(WRITES), high, low)}
     )
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        changes = batch.withColumns({OP: F.lit(UPDATE), SEQ: F.lit(batch_id).cast("bigint")})
+        changes = batch.withColumns({OP: F.lit(UPDATE), SEQ: F.lit(start + batch_id).cast("bigint")})
         target.apply(changes, batch_id)
 
     return _start(running.writeStream.outputMode("update").foreachBatch(upsert), checkpoint, trigger)

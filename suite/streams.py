@@ -14,7 +14,7 @@ from rowtide.sources.merge_store import KeyedTable
 from rowtide.streaming import feeds, state
 from suite import standins as st
 from suite.registry import query, table
-from suite.replication import BUCKETS, MULTI_SQL, final_sql, keyed_orders, multi_feed, multi_rows, shown, table_set
+from suite.replication import BUCKETS, KEY, MULTI_SQL, final_sql, keyed_orders, multi_feed, multi_rows, shown, table_set
 
 BATCHES = 4
 
@@ -128,6 +128,19 @@ def keyed_state_latest(spark, sf):
     return ch.live_rows(ch.latest_change_per_key(kept.select(*passed.columns), ["user_id"]))
 
 
+@query(final_sql())
+def keyed_state_latest_jvm(spark, sf):
+    """The same rule as a streaming aggregate, feeding a keyed table in update mode."""
+    base = st.base(spark, sf)
+    target = keyed_orders(spark, "stream-latest", base)
+    target.load(base)
+    path, schema, _ = orders_feed(spark, sf, "latest-feed")
+    latest = state.latest_in_stream(feeds.change_stream(spark, path, schema, max_files=2), KEY)
+    writer = latest.writeStream.outputMode("update").foreachBatch(target.apply)
+    feeds.run_available(writer.option("checkpointLocation", workspace(spark, "latest-progress")).trigger(availableNow=True).start())
+    return shown(target.read())
+
+
 @query(final_sql())
 def micro_batch_policy(spark, sf):
     """Batches limited by rows as the flush rules say: 400 rows here, so that the input takes several."""
