@@ -7,13 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, VariantType
 
 from rowtide.functions.digests import row_text
 from rowtide.operators.changes import OP, SEQ, as_state, live_rows
 from rowtide.sources.merge_store import BUCKET, TABLE_NAME, MergeStore, bucket_of
 
 ROW_KEY = "row_key"
+PAYLOAD = "payload"
 
 
 @dataclass(frozen=True)
@@ -38,8 +39,8 @@ def tagged_union(parts: Sequence[DataFrame]) -> DataFrame:
 class TableSet:
     """Tables of one job. A batch of all tables is one write and one commit mark.
 
-    Readers see the same last batch in every table, and the cost of a batch does not grow with the
-    number of tables as one write per table would.
+    Readers see the same last batch in every table. A row's columns are stored as one variant, whatever its table, so
+    neither files nor aggregates grow wider with the number of tables; :meth:`read` gives them their types again.
     """
 
     def __init__(self, spark: SparkSession, root: str, tables: Mapping[str, TableSpec], buckets: int = 16):
@@ -50,7 +51,7 @@ class TableSet:
                 StructField(ROW_KEY, StringType()),
                 StructField(OP, StringType()),
                 StructField(SEQ, LongType()),
-                *[StructField(name, spec.schema) for name, spec in self.tables.items()],
+                StructField(PAYLOAD, VariantType()),
             ]
         )
         parts = StructType([StructField(TABLE_NAME, StringType()), StructField(BUCKET, IntegerType())])
@@ -58,8 +59,8 @@ class TableSet:
 
     def feed_schema(self) -> StructType:
         """Schema of the tagged feed, for a stream to read it by."""
-        named = {f.name: f for f in self.store.schema.fields}
-        return StructType([named[c] for c in (TABLE_NAME, OP, SEQ, *self.tables)])
+        common = [StructField(TABLE_NAME, StringType()), StructField(OP, StringType()), StructField(SEQ, LongType())]
+        return StructType([*common, *[StructField(name, spec.schema) for name, spec in self.tables.items()]])
 
     def _placed(self, feed: DataFrame) -> DataFrame:
         def key_of(name: str, spec: TableSpec):
@@ -68,7 +69,8 @@ class TableSet:
 
         unknown = F.raise_error(F.concat(F.lit("change of a table that is not in the set: "), F.coalesce(TABLE_NAME, F.lit("null"))))
         key = F.coalesce(*[key_of(n, s) for n, s in self.tables.items()], unknown.cast("string"))
-        placed = feed.withColumn(ROW_KEY, key)
+        payload = F.coalesce(*[F.when(F.col(TABLE_NAME) == n, F.to_variant_object(F.col(n))) for n in self.tables])
+        placed = feed.select(TABLE_NAME, OP, SEQ, key.alias(ROW_KEY), payload.alias(PAYLOAD))
         return placed.withColumn(BUCKET, bucket_of([ROW_KEY], self.buckets))
 
     def load(self, snapshots: Mapping[str, DataFrame], snapshot_seq: int = -1) -> None:
@@ -94,7 +96,9 @@ class TableSet:
     def read(self, table: str, upto: int | None = None) -> DataFrame:
         """Rows alive in one table; only its folders are read."""
         state = self.store.state(F.col(TABLE_NAME) == table, upto)
-        return live_rows(state).select(f"{table}.*")
+        fields = [f"`{f.name.replace('`', '``')}`: {f.dataType.simpleString()}" for f in self.tables[table].schema.fields]
+        row = F.variant_get(PAYLOAD, "$", f"struct<{', '.join(fields)}>")
+        return live_rows(state).select(row.alias("_row")).select("_row.*")
 
     def compact(self) -> int:
         return len(self.store.compact())

@@ -145,6 +145,19 @@ def test_null_keys_and_map_payloads(spark, rows):
     assert rows(t.read()) == found
 
 
+def test_types_survive_a_set(spark, rows):
+    from datetime import date, datetime
+    from decimal import Decimal
+
+    schema = "`a key` bigint, d decimal(19,4), t timestamp_ntz, day date, raw binary, f double, n int, m map<string,int>, l array<string>, s struct<x:string>, b boolean"
+    values = [(1, Decimal("12.5000"), datetime(2024, 1, 2, 3, 4, 5, 678901), date(1969, 1, 1), b"\x00\xff", float("inf"), None, {"k": 1}, ["a", None], ("é",), True), (2, *[None] * 10)]
+    frame = spark.createDataFrame(values, schema)
+    tables = TableSet(spark, workspace(spark, "set"), {"a": TableSpec(["a key"], frame.schema)}, 2)
+    tables.load({"a": frame})
+    assert tables.read("a").schema == frame.schema
+    assert rows(tables.read("a")) == rows(frame)
+
+
 def test_unknown_tables_are_not_dropped(spark):
     a = base(spark, BASE)
     tables = TableSet(spark, workspace(spark, "set"), {"a": TableSpec(["id"], a.schema)}, 2)
