@@ -170,6 +170,33 @@ def _hub_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([none, none, *(pa.array(c[long]) for c in (token, cid, n, pos))], ["a", "b", "token", "cid", "n", "pos"])
 
 
+def _center_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per token list: its center, the document with the most list places of all, with one document of every other label.
+
+    A text that others were made from shares more lists with them than they share with each other.
+    """
+    for token, cid, n, degree, label in _lists(batches, ["token", "cid", "n", "degree", "label"]):
+        edges = _starts(token)
+        found: list[np.ndarray] = []
+        for start, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            labels = label[start:end]
+            if (labels == labels[0]).all():
+                continue
+            order = np.lexsort((cid[start:end], -degree[start:end]))
+            center = start + order[0]
+            _, first = np.unique(labels[order], return_index=True)  # the most central document of each label
+            others = start + order[first]
+            others = others[label[others] != label[center]]
+            near = (LEAST * n[others] <= 100 * n[center]) & (LEAST * n[center] <= 100 * n[others])
+            others = others[near]
+            if len(others):
+                x, y = np.full(len(others), cid[center]), cid[others]
+                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+        if found:
+            pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+
 def _other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per token list, all pairs of different labels that pass the length and positional filters, in blocks."""
     for token, cid, n, pos, label in _lists(batches, ["token", "cid", "n", "pos", "label"]):
@@ -196,53 +223,56 @@ def _other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
-def _sets(classes: Broadcast):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text in batch.column(0):
-                tokens = shingle_set(text.as_py(), WIDTH)
-                if len(tokens):
-                    more = [np.sort(prefix(tokens, classes.value, k)).tobytes() for k in range(1, len(ORDERS))]
-                    rows.append((set_id(tokens), tokens.tobytes(), more))
-            if rows:
-                kinds = (pa.int64(), pa.binary(), pa.list_(pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["cid", "tokens", "prefixes"])
-
-    return run
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    return len(np.intersect1d(a, b, assume_unique=True))
 
 
-def _common(a: bytes, b: bytes) -> int:
-    return len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
+def is_linked(a: np.ndarray, b: np.ndarray) -> bool:
+    both = _common(a, b)
+    return 100 * both >= LEAST * (len(a) + len(b) - both)
 
 
-def is_linked(a: bytes, b: bytes) -> bool:
-    both = _common(a, b)
-    return 100 * both >= LEAST * ((len(a) + len(b)) // 8 - both)
+def _verified(classes: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, tuple | None] = {}
+
+        def sets(cid: int, text: str) -> tuple | None:
+            """The set and its prefixes under the other orders; None where the text is another's that shares the id."""
+            tokens = shingle_set(text, WIDTH)
+            if set_id(tokens) != cid:
+                return None
+            if cid not in known:
+                if len(known) >= 500:
+                    known.clear()
+                known[cid] = tokens, [np.sort(prefix(tokens, classes.value, k)) for k in range(1, len(ORDERS))]
+            return known[cid]
 
+        for batch in batches:
+            rows = []
+            for a, b, ta, tb in zip(*(c.to_pylist() for c in batch.columns)):
+                x = known.get(a) or sets(a, ta)
+                y = known.get(b) or sets(b, tb)
+                # the filters of the other orders are intersected before whole sets are compared
+                if x and y and all(_common(p, q) for p, q in zip(x[1], y[1])) and is_linked(x[0], y[0]):
+                    rows.append((a, b))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["a", "b"])
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b, ta, tb, pa_, pb = (c.to_pylist() for c in batch.columns)
-        # the filters of the other orders are intersected before any whole sets are compared
-        near = [all(_common(x, y) for x, y in zip(p, q)) for p, q in zip(pa_, pb)]
-        rows = [(x, y) for x, y, s, t, ok in zip(a, b, ta, tb, near) if ok and is_linked(s, t)]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["a", "b"])
+    return run
 
 
 def _links(docs: DataFrame, rows: DataFrame, pairs: DataFrame, classes: Broadcast) -> DataFrame:
-    """Those of ``pairs`` (a, b: set ids) that are linked, stored. Only the texts of documents in pairs are read into sets."""
+    """Those of ``pairs`` (a, b: set ids) that are linked, stored.
+
+    One text per class in a pair is read again; texts travel instead of sets, as they pack to a fraction.
+    """
     wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
     one = stored(rows.join(wanted, "cid", "left_semi").groupBy("cid").agg(F.min("doc_id").alias("_id")), "wanted")
-    ids = broadcast_if_small(stored(one.select("_id").distinct(), "ids"))
-    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi").select("text")
-    sets = texts.mapInArrow(_sets(classes), "cid long, tokens binary, prefixes array<binary>")
-    sets = stored(sets.join(one.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "sets")
-    left = sets.select(F.col("cid").alias("a"), F.col("tokens").alias("_ta"), F.col("prefixes").alias("_pa"))
-    right = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("_tb"), F.col("prefixes").alias("_pb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "_ta", "_tb", "_pa", "_pb")
-    return stored(both.mapInArrow(_verified, "a long, b long"), "links")
+    one = broadcast_if_small(one)
+    texts = stored(docs.join(one, docs["doc_id"].eqNullSafe(one["_id"])).select("cid", "text"), "texts")
+    both = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("_ta")), "a")
+    both = both.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("_tb")), "b").select("a", "b", "_ta", "_tb")
+    return stored(both.mapInArrow(_verified(classes), "a long, b long"), "links")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -255,9 +285,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     and classes are told apart by 64-bit hashes. Other columns are ignored; an empty table gives no rows.
 
     Candidates share a token in the prefixes of the first order, where every token list pairs its members
-    with a hub. After that only pairs that are not yet in one component are tried, so large groups of near
-    copies cost one pair per member and list, and no link between components is left out. The prefixes under the other orders
-    are intersected before two sets are compared.
+    with a hub. Then, twice, every list's center meets one document of each component that the list still holds; only after that
+    all pairs of different components are tried. Large groups of near copies thus cost about one pair per member and list,
+    and no link between components is left out. The prefixes under the other orders are intersected before two sets are compared.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen = stored(docs.mapInArrow(_signatures, "doc_id long, n long, cid long, chunk int, counts binary"), "signatures")
@@ -270,12 +300,22 @@ def near_classes(docs: DataFrame) -> DataFrame:
     pairs = stored(first.where("token is null").select("a", "b").distinct(), "pairs")
     links = _links(docs, rows, pairs, classes)
     labels = components(links)
-    lists = first.where("token is not null").select("token", "cid", "n", "pos").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-    lists = lists.withColumn("label", F.coalesce("label", "cid")).repartition(width, "token").sortWithinPartitions("token", "n", "cid")
-    more = lists.mapInArrow(_other_pairs, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stored(more, "more_pairs")
-    if not more.isEmpty():
-        labels = components(links.unionByName(_links(docs, rows, more, classes)))
+    lists = first.where("token is not null").select("token", "cid", "n", "pos")
+    degrees = lists.groupBy("cid").agg(F.count("*").alias("degree"))
+    lists = stored(lists.join(degrees, "cid"), "lists")
+
+    def labelled() -> DataFrame:
+        """List places with their documents' labels so far, each list's together."""
+        named = lists.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+        return named.repartition(width, "token").sortWithinPartitions("token", "n", "cid")
+
+    for candidates in (_center_pairs, _center_pairs, _other_pairs):
+        more = labelled().mapInArrow(candidates, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
+        more = stored(more, "more_pairs")
+        if not more.isEmpty():
+            links = links.unionByName(_links(docs, rows, more, classes))
+            labels = components(links)
+            pairs = stored(pairs.unionByName(more), "pairs")
     grouped = stored(rows.where("n > 0").join(labels.withColumnRenamed("node", "cid"), "cid", "left").select("doc_id", "n", F.coalesce("label", "cid").alias("_c")), "grouped")
     smallest = grouped.groupBy("_c").agg(F.min("doc_id").alias("component_id"))
     full = grouped.join(smallest, "_c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
