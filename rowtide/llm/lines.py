@@ -61,13 +61,10 @@ def _ceil_share(n: Column, share: int, of: int) -> Column:
 
 
 def _set_rows(lines: DataFrame, classes: Column) -> DataFrame:
-    """Per line: ``n`` distinct words, the set's digest (h1, h2), its parity bitmaps and its prefix."""
+    """Per line: ``n`` distinct words, the set's digest (h1, h2), its parity bitmap and its prefix as 32-bit list keys."""
     rows = lines.select("doc_id", "line_no", _tokens(F.col("line"), classes).alias("t"))
-
-    def parity(shift: int) -> Column:
-        return F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, shift).bitwiseAND(F.lit(63).cast("long")).cast("int"))))
-
     n = F.size("t")
+    bits = F.aggregate("t", F.lit(0), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1), F.pmod(x, F.lit(31)).cast("int"))))
     length = n - _ceil_share(n, LEAST, 100) + 1
     return rows.select(
         "doc_id",
@@ -75,43 +72,44 @@ def _set_rows(lines: DataFrame, classes: Column) -> DataFrame:
         n.alias("n"),
         F.xxhash64("t").alias("h1"),
         F.xxhash64(F.lit(1), "t").alias("h2"),
-        F.when(n >= SMALLEST, F.slice("t", 1, length)).alias("prefix"),
-        F.when(n >= SMALLEST, parity(0)).alias("bits"),
-        F.when(n >= SMALLEST, parity(6)).alias("bits2"),
+        F.when(n >= SMALLEST, F.transform(F.slice("t", 1, length), lambda x: F.hash(x))).alias("prefix"),
+        F.when(n >= SMALLEST, bits).alias("bits"),
     )
 
 
+def _earlier(a: str, b: str) -> Column:
+    """Whether line a stands before line b; nulls first."""
+    return F.struct(F.col(f"{a}.d"), F.col(f"{a}.l"), F.col(f"{a}.uid")) < F.struct(F.col(f"{b}.d"), F.col(f"{b}.l"), F.col(f"{b}.uid"))
+
+
 def _may_match(a: str, b: str) -> Column:
-    """Length, positional and parity filters for two postings of one token; they never refuse a match that starts at this token."""
+    """Length, positional and parity filters for two postings of one list; a match passes at its first common token."""
 
     def c(side: str, name: str) -> Column:
         return F.col(f"{side}.{name}")
 
     na, nb = c(a, "n"), c(b, "n")
     least = _ceil_share(na + nb, LEAST, 100 + LEAST)
-    apart = na + nb - least * 2
     return (
         (na * LEAST <= nb * 100)
         & (nb * LEAST <= na * 100)
         & (F.least(na - c(a, "pos"), nb - c(b, "pos")) >= least)
-        & (F.bit_count(c(a, "bits").bitwiseXOR(c(b, "bits"))) <= apart)
-        & (F.bit_count(c(a, "bits2").bitwiseXOR(c(b, "bits2"))) <= apart)
+        & (F.bit_count(c(a, "bits").bitwiseXOR(c(b, "bits"))) <= na + nb - least * 2)
     )
 
 
 def _matched(docs: DataFrame, classes: DataFrame, levels: Column, pairs: DataFrame) -> DataFrame:
-    """Digests (late) of ``pairs`` (late, early) whose sets verify; only the documents of candidate lines are read again."""
-    wanted = pairs.select(F.col("late").alias("h1")).unionByName(pairs.select(F.col("early").alias("h1"))).distinct()
-    firsts = stored(classes.join(wanted, "h1", "left_semi").select("h1", "first"), "wanted")
+    """``late`` of those ``pairs`` (late, early) of classes whose sets verify; only documents of candidate lines are read again."""
+    wanted = pairs.select(F.col("late").alias("uid")).unionByName(pairs.select(F.col("early").alias("uid"))).distinct()
+    firsts = stored(classes.join(wanted, "uid", "left_semi").select("uid", "h1", "first"), "wanted")
     ids = broadcast_if_small(stored(firsts.select(F.col("first.doc_id").alias("_id")).distinct(), "ids"))
-    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
-    places = firsts.select(F.col("first.doc_id").alias("_d"), F.col("first.line_no").alias("_l")).distinct()
-    lines = split_lines(texts)
-    lines = lines.join(places, lines["doc_id"].eqNullSafe(places["_d"]) & (lines["line_no"] == places["_l"]), "left_semi")
-    sets = lines.select(_tokens(F.col("line"), levels).alias("t")).withColumn("h1", F.xxhash64("t"))
-    sets = stored(sets.join(wanted, "h1", "left_semi").dropDuplicates(["h1"]), "sets")
-    both = pairs.join(sets.select(F.col("h1").alias("late"), F.col("t").alias("_a")), "late")
-    both = both.join(sets.select(F.col("h1").alias("early"), F.col("t").alias("_b")), "early")
+    lines = split_lines(docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi"))
+    places = firsts.select("uid", "h1", F.col("first.doc_id").alias("_d"), F.col("first.line_no").alias("_l"))
+    lines = lines.join(places, lines["doc_id"].eqNullSafe(places["_d"]) & (lines["line_no"] == places["_l"]))
+    sets = lines.select("uid", "h1", _tokens(F.col("line"), levels).alias("t"))
+    sets = stored(sets.where(F.xxhash64("t") == F.col("h1")).select("uid", "t"), "sets")  # rows repeating an id share places
+    both = pairs.join(sets.select(F.col("uid").alias("late"), F.col("t").alias("_a")), "late")
+    both = both.join(sets.select(F.col("uid").alias("early"), F.col("t").alias("_b")), "early")
     common = F.size(F.array_intersect("_a", "_b"))
     good = both.where(common * 100 >= (F.size("_a") + F.size("_b") - common) * LEAST)
     return stored(good.select("late").distinct(), "matched")
@@ -135,31 +133,32 @@ def line_decisions(docs: DataFrame) -> DataFrame:
     rows = stored(_set_rows(lines, levels), "line_sets")
     worded = rows.where("n > 0")
     first = F.min(F.struct("doc_id", "line_no")).alias("first")
-    kept = [F.first(c).alias(c) for c in ("n", "prefix", "bits", "bits2")]
-    classes = stored(worded.groupBy("h1", "h2").agg(first, *kept), "line_classes")
-
-    posted = classes.where(F.col("n") >= SMALLEST).select("h1", "first", "n", "bits", "bits2", F.posexplode("prefix").alias("pos", "token"))
-    posted = posted.withColumn("like", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int"))
-    posted = posted.repartition(shuffle_width(spark), "token").sortWithinPartitions("token", "like")
-    line = F.struct("first", "h1", "n", "pos", "bits", "bits2")
-    posted = posted.withColumn("hub", F.min(line).over(Window.partitionBy("token", "like")))
-    posted = posted.withColumn("_many", F.count("*").over(Window.partitionBy("token"))).where("_many > 1").drop("_many")
-    posted = stored(posted, "postings")
-
-    near_hub = posted.alias("p").where(F.col("h1") != F.col("hub.h1")).where(_may_match("p", "hub"))
-    hubs = stored(near_hub.select(F.col("h1").alias("late"), F.col("hub.h1").alias("early")).distinct(), "hub_pairs")
+    kept = [F.first(c).alias(c) for c in ("n", "prefix", "bits")]
+    classes = worded.groupBy("h1", "h2").agg(first, *kept)
+    classes = stored(classes.withColumn("uid", F.monotonically_increasing_id()), "line_classes")
+
+    posted = classes.where(F.col("n") >= SMALLEST)
+    posted = posted.select(F.posexplode("prefix").alias("pos", "token"), "uid", F.col("first.doc_id").alias("d"), F.col("first.line_no").alias("l"), "n", "bits")
+    posted = posted.repartition(shuffle_width(spark), "token").withColumn("like", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int"))
+    posted = posted.sortWithinPartitions("token", "like")
+    hub = F.min(F.struct("d", "l", "uid", "n", "pos", "bits")).over(Window.partitionBy("token", "like"))
+    posted = posted.withColumns({"hub": hub, "_many": F.count("*").over(Window.partitionBy("token"))})
+    posted = stored(posted.where("_many > 1").drop("_many", "like"), "postings")
+
+    near_hub = posted.alias("p").where(F.col("uid") != F.col("hub.uid")).where(_may_match("p", "hub"))
+    hubs = stored(near_hub.select(F.col("uid").alias("late"), F.col("hub.uid").alias("early")).distinct(), "hub_pairs")
     done = _matched(docs, classes, levels, hubs)
 
-    open_rows = posted.drop("hub").join(done, posted["h1"] == done["late"], "left_anti")
-    a, b = open_rows.alias("a"), posted.drop("hub").alias("b")
-    on = (F.col("a.token") == F.col("b.token")) & (F.col("b.first") < F.col("a.first")) & _may_match("a", "b")
-    more = a.join(b, on).select(F.col("a.h1").alias("late"), F.col("b.h1").alias("early")).distinct()
+    plain = posted.drop("hub")
+    a, b = plain.join(done, plain["uid"] == done["late"], "left_anti").alias("a"), plain.alias("b")
+    on = (F.col("a.token") == F.col("b.token")) & _earlier("b", "a") & _may_match("a", "b")
+    more = a.join(b, on).select(F.col("a.uid").alias("late"), F.col("b.uid").alias("early")).distinct()
     more = stored(more.join(hubs, ["late", "early"], "left_anti"), "more_pairs")
     near = done.unionByName(_matched(docs, classes, levels, more)).distinct().withColumn("near", F.lit(True))
 
-    verdicts = stored(classes.join(near, classes["h1"] == near["late"], "left").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "verdicts")
+    verdicts = classes.join(near, classes["uid"] == near["late"], "left").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     place = F.struct("doc_id", "line_no")
-    judged = worded.select("doc_id", "line_no", "h1", "h2").join(verdicts, ["h1", "h2"])
+    judged = worded.select("doc_id", "line_no", "h1", "h2").join(stored(verdicts, "verdicts"), ["h1", "h2"])
     judged = judged.select("doc_id", "line_no", (F.col("near") | ~place.eqNullSafe(F.col("first"))).alias("removed"), "near")
     blank = rows.where("n = 0").select("doc_id", "line_no", F.lit(False).alias("removed"), F.lit(False).alias("near"))
     return judged.unionByName(blank)
