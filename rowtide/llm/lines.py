@@ -64,7 +64,8 @@ def _set_rows(lines: DataFrame, classes: Column) -> DataFrame:
     """Per line: ``n`` distinct words, the set's digest (h1, h2), its parity bitmap and its prefix as 32-bit list keys."""
     rows = lines.select("doc_id", "line_no", _tokens(F.col("line"), classes).alias("t"))
     n = F.size("t")
-    bits = F.aggregate("t", F.lit(0), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1), F.pmod(x, F.lit(31)).cast("int"))))
+    one = F.lit(1).cast("long")
+    bits = F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", one, F.pmod(x, F.lit(64)).cast("int"))))
     length = n - _ceil_share(n, LEAST, 100) + 1
     return rows.select(
         "doc_id",
