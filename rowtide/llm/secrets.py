@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -78,20 +79,56 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], least: float) -> li
     low = text.lower() if not text.isascii() else text.casefold()
     if not any(p in low for p in _SENSITIVE_PARTS):
         return []
-    out = []
+    found: dict[int, int] = {}
     for word in SENSITIVE.finditer(text):
         for m in _CANDIDATE.finditer(text, word.end(), min(len(text), word.end() + _NEAR + 200)):
             start, end = m.span()
             if start > word.end() + _NEAR or not (any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0])):
                 continue
-            if any(a < end and start < b for a, _, b in base) or any(a == start for a, _, _ in out):
-                continue
-            around = text[max(0, start - _CONTEXT) : start] + text[end : end + _CONTEXT]
-            if novelty(m[0], around) >= least:
-                out.append((start, 3, end))
+            if not any(a < end and start < b for a, _, b in base):
+                found.setdefault(start, end)
+    spans = sorted(found.items())
+    reached = _merged(spans + [(a, b) for a, _, b in base])
+    verdicts: dict[str, bool] = {}
+    for start, end in spans:
+        core = _core(text[start:end])
+        if not verdicts.get(core):
+            verdicts[core] = novelty(text[start:end], _around(text, start, end, reached)) >= least
+    return [(start, 3, end) for start, end in spans if verdicts[_core(text[start:end])]]
+
+
+def _core(candidate: str) -> str:
+    """What two candidates are compared by: signs at either end may belong to the syntax around."""
+    return candidate.strip("+/_=.-") or candidate
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
     return out
 
 
+def _around(text: str, start: int, end: int, reached: list[tuple[int, int]]) -> str:
+    """The text around a candidate without its other occurrences, of which an earlier one outside ``reached`` stays: that one is public."""
+    core = _core(text[start:end])
+    low, high = max(0, start - _CONTEXT), min(len(text), end + _CONTEXT)
+    parts, at = [], low
+    place = text.find(core, max(0, low - len(core) + 1), high + len(core) - 1)
+    while place >= 0:
+        behind = place + len(core)
+        i = bisect_right(reached, (place, len(text) + 1)) - 1
+        if place >= start or (i >= 0 and behind <= reached[i][1]):
+            parts.append(text[at : max(at, min(place, start))] + text[max(at, end) : max(place, end, at)])
+            at = max(at, behind)
+        place = text.find(core, place + 1, high + len(core) - 1)
+    parts.append(text[at : max(at, start)] + text[max(at, end) : max(at, end, high)])
+    return "".join(parts)
+
+
 def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
@@ -122,7 +159,9 @@ def find_secrets(docs: DataFrame, least_novelty: float = 0.62) -> DataFrame:
 
     ``spans`` lists kind:start:end (code points, end exclusive) of the fixed kinds and of ``novel`` strings: those within
     48 characters behind a sensitive word whose marginal compressed size is ``least_novelty`` or more of their
-    length. Spans are ordered by start, then kind. Whole texts are read, a null text counts as empty, rows repeating
+    length. The size is that behind the 400 characters before and behind, without other occurrences of the string; only an
+    earlier one that no sensitive word precedes makes it known. All occurrences within reach of a sensitive word share
+    one verdict: novel where any of them is. Spans are ordered by start, then kind. Whole texts are read, a null text counts as empty, rows repeating
     an id are scanned each for itself. Other columns are ignored; an empty table gives no rows. No shuffle.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

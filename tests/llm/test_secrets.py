@@ -50,6 +50,31 @@ def test_known_strings_and_plain_contexts_are_not():
         assert secrets.novel_spans(text, [], 0.62) == []
 
 
+def test_a_secret_that_occurs_again_is_reported_everywhere():
+    for seed in range(20):
+        k = random_key(seed)
+        for text in (
+            f"curl -H 'Authorization: Bearer {k}' host/a\ncurl -H 'Authorization: Bearer {k}' host/b",
+            f"Bearer {k}\n" * 12,
+            f"credential {k} in the config\nand in an example: auth --key {k}; echo",
+            f"auth={k}/ then Bearer {k}.",
+            f"auth {k} " + "word " * 74 + f"auth {k}",  # one cut by the end of the other's context
+        ):
+            spans = secrets.novel_spans(text, secrets.base_spans(text), 0.62)
+            assert [text[a:b].strip("=/") for a, _, b in spans] == [k] * text.count(k), text
+        text = f"Bearer {k} gave: {k}"  # the second is in reach as well
+        assert len(secrets.novel_spans(text, [], 0.62)) == 2
+        text = f"Bearer {k} " + "and so on " * 12 + k
+        assert secrets.novel_spans(text, [], 0.62) == [(7, 3, 39)]
+
+
+def test_text_around_leaves_out_other_occurrences():
+    text = "ab KEYKEY1 cd KEYKEY1 ef KEYKEY1 gh"
+    assert secrets._around(text, 14, 21, [(3, 10), (14, 21)]) == "ab  cd  ef  gh"
+    assert secrets._around(text, 14, 21, [(14, 21)]) == "ab KEYKEY1 cd  ef  gh"
+    assert secrets._around(text, 3, 10, []) == "ab  cd  ef  gh"
+
+
 def test_novelty_falls_with_what_is_known():
     k = random_key(2)
     assert secrets.novelty(k, "") > 0.62 and secrets.novelty(k, f"seen {k} before") < 0.3
