@@ -21,9 +21,17 @@ LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 
 #: Words that make what follows them sensitive.
 SENSITIVE = re.compile(r"(?i:passw|pwd|secret|token|api.?key|credential|bearer|private.?key|access.?key|auth)")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,200}")
+#: A whole run of 16 or more, '.' inside included; a run's parts; the rest of a run.
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_=-]|\.(?=[A-Za-z0-9+/_=-])){15,}")
+_PART = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_REST = re.compile(r"(?:[A-Za-z0-9+/_=-]|\.(?=[A-Za-z0-9+/_=-]))*")
+#: What lies between candidates of adjoining lines; the dashes that end a PEM block's first line; a PEM block's last body line.
+_BREAK = re.compile(r"""["'`,;&|\\]*[ \t]*(?:\r?\n|\\(?=n))[ \t>#*|"'`]*""")
+_DASHES = re.compile(r"[A-Z0-9 ]{0,40}-----")
+_TAIL = re.compile(r"""["'`,;\\]*[ \t]*(?:\r?\n|\\(?=n))[ \t>#*|"'`]*([A-Za-z0-9+/=]{1,15})["'`,;\\]*[ \t]*(?:\r?\n|\\n)[ \t>#*|"'`]*-----END""")
 _SENSITIVE_PARTS = ("passw", "pwd", "secret", "token", "api", "credential", "bearer", "private", "access", "auth")
-_CONTEXT, _NEAR = 400, 48
+#: Characters around a candidate, reach of a sensitive word, and length of the stretches of a run that are also measured.
+_CONTEXT, _NEAR, _STRETCH = 400, 48, 200
 
 #: Identifiers and literals of everyday code; they prime the compressor, so that strings made of them are no news.
 IDENTIFIERS = """abstract access account action address allow application array assert async attribute auth authorization await
@@ -79,22 +87,93 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], least: float) -> li
     low = text.lower() if not text.isascii() else text.casefold()
     if not any(p in low for p in _SENSITIVE_PARTS):
         return []
-    found: dict[int, int] = {}
-    for word in SENSITIVE.finditer(text):
-        for m in _CANDIDATE.finditer(text, word.end(), min(len(text), word.end() + _NEAR + 200)):
-            start, end = m.span()
-            if start > word.end() + _NEAR or not (any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0])):
-                continue
-            if not any(a < end and start < b for a, _, b in base):
-                found.setdefault(start, end)
-    spans = sorted(found.items())
-    reached = _merged(spans + [(a, b) for a, _, b in base])
+    found = _candidates(text, base)
+    reached = _merged([(a, b) for a, b, _ in found] + [(a, b) for a, _, b in base])
     verdicts: dict[str, bool] = {}
-    for start, end in spans:
-        core = _core(text[start:end])
+    out: list[tuple[int, int, int]] = []
+    places = []
+    for start, end, inner in found:
+        if inner and places and end <= places[-1][1] and verdicts[places[-1][2]]:
+            continue  # lies in a run that is reported whole
+        core = _core(text[start : min(end, start + _STRETCH) if inner else end])
         if not verdicts.get(core):
-            verdicts[core] = novelty(text[start:end], _around(text, start, end, reached)) >= least
-    return [(start, 3, end) for start, end in spans if verdicts[_core(text[start:end])]]
+            verdicts[core] = _is_novel(text, start, end, reached, least, inner)
+        places.append((start, end, core))
+    for start, end, core in places:
+        if verdicts[core] and not (out and start < out[-1][2]):
+            out.append((start, 3, end))
+            tail = _TAIL.match(text, end)
+            if tail and not any(a < tail.end(1) and tail.start(1) < b for a, _, b in base):
+                out.append((tail.start(1), 3, tail.end(1)))
+    return out
+
+
+def _candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, bool]]:
+    """(start, end, lies in another) of the runs in reach of a sensitive word, outside the base spans; parts behind their run.
+
+    In reach is what starts near the word, all of a PEM block whose first line ends with it, and what follows a run in reach on
+    adjoining lines.
+    """
+    starts: dict[int, int] = {}
+    inner: set[int] = set()
+    run = (0, 0)
+    for word in SENSITIVE.finditer(text):
+        at = word.end()
+        reach, last = at + _NEAR, -1
+        dashes = _DASHES.match(text, at)
+        if dashes:
+            stop = text.find("-----", dashes.end())
+            if text.startswith("-----END", stop):
+                reach = max(reach, stop - 1)
+        while True:
+            lines = _BREAK.match(text, last) if last >= 0 else None
+            # long enough for a run that starts within reach
+            m = _CANDIDATE.search(text, at, min(len(text), max(reach, lines.end() if lines else 0) + 18))
+            if m is None or m.start() > reach and not (lines and m.start() == lines.end()):
+                break
+            start = m.start()
+            if start in starts:
+                if start > reach:
+                    break  # from there on the lines are known
+                at = last = starts[start]
+                continue
+            if run[0] <= start < run[1]:
+                inner.add(start)
+            else:
+                run = start, _REST.match(text, start).end()
+            starts[start] = at = last = run[1]
+    blocked = _merged([(a, b) for a, _, b in base])
+    out: list[tuple[int, int, bool]] = []
+    for start, end in sorted(starts.items()):
+        i = bisect_right(blocked, (start, len(text) + 1)) - 1
+        free, at, i = [], start, max(0, i)
+        while i < len(blocked) and blocked[i][0] < end:
+            if blocked[i][1] > start:
+                free.append((at, blocked[i][0]))
+                at = blocked[i][1]
+            i += 1
+        free.append((at, end))
+        for a, b in free:
+            a += text[a : a + 1] == "."
+            b -= text[b - 1] == "."
+            if b - a >= 16:
+                out.append((a, b, start in inner))
+                if start not in inner and "." in text[a:b]:
+                    out += [(*p.span(), True) for p in _PART.finditer(text, a, b)]
+    return sorted(set(out), key=lambda x: (x[0], -x[1], x[2]))
+
+
+def _is_novel(text: str, start: int, end: int, reached: list[tuple[int, int]], least: float, inner: bool) -> bool:
+    """Whether a run is as a whole, or one of its stretches; of a run inside another one the first stretch is new."""
+
+    def measured(a: int, b: int) -> bool:
+        return novelty(text[a:b], _around(text, a, b, reached)) >= least
+
+    if end - start <= _STRETCH:
+        return measured(start, end)
+    if inner:
+        return measured(start, start + _STRETCH)
+    return measured(start, end) or any(measured(a, min(end, a + _STRETCH)) for a in range(start, end - 15, _STRETCH))
 
 
 def _core(candidate: str) -> str:
@@ -157,9 +236,11 @@ def _scan(least: float):
 def find_secrets(docs: DataFrame, least_novelty: float = 0.62) -> DataFrame:
     """doc_id, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256`` and ``spans`` per row of ``docs`` (doc_id, text).
 
-    ``spans`` lists kind:start:end (code points, end exclusive) of the fixed kinds and of ``novel`` strings: those within
-    48 characters behind a sensitive word whose marginal compressed size is ``least_novelty`` or more of their
-    length. The size is that behind the 400 characters before and behind, without other occurrences of the string; only an
+    ``spans`` lists kind:start:end (code points, end exclusive) of the fixed kinds and of ``novel`` strings: whole
+    runs of 16 or more of ``A-Za-z0-9+/_=-``, with single dots inside, in reach of a sensitive word, whose marginal compressed
+    size (or that of one of their dotted parts or 200-character stretches) is ``least_novelty`` or more of their length; there is no
+    upper length. In reach is a run that starts within 48 characters behind the word, every line of a PEM private key up to
+    its END line, and a run that begins the line behind one in reach. If only a dotted part is novel, that part is reported. The size is that behind the 400 characters before and behind, without other occurrences of the string; only an
     earlier one that no sensitive word precedes makes it known. All occurrences within reach of a sensitive word share
     one verdict: novel where any of them is. Spans are ordered by start, then kind. Whole texts are read, a null text counts as empty, rows repeating
     an id are scanned each for itself. Other columns are ignored; an empty table gives no rows. No shuffle.
