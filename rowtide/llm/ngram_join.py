@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.components import components
@@ -44,21 +44,21 @@ def prefix(tokens: np.ndarray, classes: np.ndarray, order: int) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n", "cid", "chunk", "counts"]
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    names = ["doc_id", "key", "n", "cid", "chunk", "counts"]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
     counts = np.zeros(1 << BITS, np.int32)
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for doc_id, text, key in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
             tokens = shingle_set(text.as_py(), WIDTH)
             slots = tokens >> np.uint64(64 - BITS)  # ascending, as the tokens are
             if len(slots):
                 np.add.at(counts, slots.astype(np.int64), 1)
-            rows.append((doc_id, len(tokens), set_id(tokens), None, None))
+            rows.append((doc_id, key, len(tokens), set_id(tokens), None, None))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
     parts = counts.reshape(CHUNKS, -1)
-    rows = [(None, None, None, i, parts[i].tobytes()) for i in range(CHUNKS) if parts[i].any()]
+    rows = [(None, None, None, None, i, parts[i].tobytes()) for i in range(CHUNKS) if parts[i].any()]
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -289,9 +289,23 @@ def near_classes(docs: DataFrame) -> DataFrame:
     all pairs of different components are tried. Large groups of near copies thus cost about one pair per member and list,
     and no link between components is left out. The prefixes under the other orders are intersected before two sets are compared.
     """
+    grouped, rows = _grouped(docs)
+    smallest = grouped.groupBy("_c").agg(F.min("doc_id").alias("component_id"))
+    full = grouped.join(smallest, "_c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return full.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def _text_key() -> Column:
+    """Tells rows of one doc_id apart."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with shingles: doc_id, ``key`` of the text, ``n`` shingles and component ``_c``, stored; and all rows: doc_id, key, n, cid."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seen = stored(docs.mapInArrow(_signatures, "doc_id long, n long, cid long, chunk int, counts binary"), "signatures")
-    rows = seen.where("chunk is null").select("doc_id", "n", "cid")
+    signed = docs.select("doc_id", "text", _text_key().alias("key"))
+    seen = stored(signed.mapInArrow(_signatures, "doc_id long, key long, n long, cid long, chunk int, counts binary"), "signatures")
+    rows = seen.where("chunk is null").select("doc_id", "key", "n", "cid")
     classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(seen.where("chunk is not null").select("chunk", "counts")))
     width = shuffle_width(docs.sparkSession)
     posted = docs.select("text").mapInArrow(_postings(classes), "token long, cid long, n int, pos int")
@@ -316,17 +330,31 @@ def near_classes(docs: DataFrame) -> DataFrame:
             links = links.unionByName(_links(docs, rows, more, classes))
             labels = components(links)
             pairs = stored(pairs.unionByName(more), "pairs")
-    grouped = stored(rows.where("n > 0").join(labels.withColumnRenamed("node", "cid"), "cid", "left").select("doc_id", "n", F.coalesce("label", "cid").alias("_c")), "grouped")
-    smallest = grouped.groupBy("_c").agg(F.min("doc_id").alias("component_id"))
-    full = grouped.join(smallest, "_c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return full.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    named = rows.where("n > 0").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+    return stored(named.select("doc_id", "key", "n", F.coalesce("label", "cid").alias("_c")), "grouped"), rows
 
 
 def drop_near(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; all columns stay.
+    """``docs`` with one row of each component, one of the smallest doc_id; all columns stay.
 
-    Rows repeating an id stand or fall together; documents without words all stay.
+    A null id comes after all others. Rows repeating an id are told apart by their texts, rows repeating both are reduced
+    to one of them; documents without words all stay.
     """
-    gone = near_classes(docs).where("not doc_id <=> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = broadcast_if_small(stored(gone, "gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    grouped, _ = _grouped(docs)
+    places = grouped.groupBy("_c", "doc_id", "key").agg(F.count("*").alias("_n"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    first = grouped.groupBy("_c").agg(F.min(order).alias("_first"), F.count("*").alias("_rows")).where("_rows > 1")
+    marked = places.join(first, "_c").select(
+        F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_n", (F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (F.col("key") == F.col("_first.key"))).alias("_stays")
+    )
+    marked = stored(marked, "marked")
+    keyed = docs.withColumn("_text_key", _text_key())
+
+    def on(side: DataFrame) -> Column:
+        return (keyed["_text_key"] == side["_key"]) & keyed["doc_id"].cast("long").eqNullSafe(side["_id"])
+
+    gone = broadcast_if_small(marked.where("not _stays or _n > 1"))
+    kept = keyed.join(gone, on(gone), "left_anti")
+    twice = broadcast_if_small(marked.where("_stays and _n > 1"))
+    one = keyed.join(twice, on(twice), "left_semi").dropDuplicates(["doc_id", "_text_key"])
+    return kept.unionByName(one).drop("_text_key")

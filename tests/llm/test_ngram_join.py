@@ -77,6 +77,18 @@ def test_drop_near_keeps_one_of_each_group(documents, odd_rows):
     assert {r.doc_id for r in left.collect()} == {1, 3, 4, 5, 6, 8, 10, 11, None}
 
 
+def test_drop_near_keeps_one_row_where_ids_repeat_or_lack(documents):
+    texts = [" ".join(f"{g}{i}" for i in range(40)) for g in "abcdef"]
+    rows = [
+        (1, texts[0]), (2, texts[0] + " more"), (2, texts[1]),  # the unique text of id 2 stays
+        (3, texts[2]), (3, texts[2] + " more"), (3, texts[2]), (9, texts[2] + " tail"),  # the smallest id repeats
+        (None, texts[3]), (None, texts[3] + " more"), (None, texts[3]), (None, texts[4]), (8, texts[4] + " more"),
+        (None, None), (None, ""), (7, texts[5]), (7, texts[5]),
+    ]
+    left = [(r.doc_id, (r.text or "")[:1]) for r in ngram_join.drop_near(documents(rows)).collect()]
+    assert Counter(left) == Counter([(1, "a"), (2, "b"), (3, "c"), (None, "d"), (8, "e"), (None, ""), (None, ""), (7, "f")])
+
+
 def test_empty_table(documents):
     none = documents([(1, "x")]).where("false")
     assert ngram_join.near_classes(none).count() == ngram_join.drop_near(none).count() == 0
