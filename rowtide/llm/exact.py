@@ -9,16 +9,24 @@ from rowtide.llm.tables import ascii_lower, stored
 from rowtide.session import broadcast_if_small
 
 
-def normal_text(text: str = "text") -> Column:
+def normal_text(text: str | Column = "text") -> Column:
     """What is compared: A-Z lower-cased, null as empty."""
-    return ascii_lower(F.coalesce(F.col(text), F.lit("")))
+    return ascii_lower(F.coalesce(text, F.lit("")))
 
 
-def full_hash(text: str = "text") -> Column:
+def full_hash(text: str | Column = "text") -> Column:
     """SHA-256 of the normalised text, lowercase hex."""
     return F.sha2(F.encode(normal_text(text), "UTF-8"), 256)
 
 
+def _n_bytes() -> Column:
+    return F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+
+
+def _prefix_hash(chars: int = 64) -> Column:
+    return F.xxhash64(ascii_lower(F.substring(F.coalesce("text", F.lit("")), 1, chars)))
+
+
 def refined(docs: DataFrame, prefix_chars: int = 64, carry: dict[str, Column] | None = None) -> DataFrame:
     """doc_id, ``n_bytes``, ``prefix_hash``, ``full`` per row of ``docs`` and the ``carry`` columns, stored.
 
@@ -26,9 +34,7 @@ def refined(docs: DataFrame, prefix_chars: int = 64, carry: dict[str, Column] |
     text is never hashed whole. Groups are counted, never gathered; the keys that occur twice
     or more reach the second scan by broadcast while small (checked), else by a shuffle join.
     """
-    text = F.coalesce("text", F.lit(""))
-    n_bytes = F.octet_length(text).cast("long")
-    prefix = F.xxhash64(ascii_lower(F.substring(text, 1, prefix_chars)))
+    n_bytes, prefix = _n_bytes(), _prefix_hash(prefix_chars)
     heads = stored(docs.select(n_bytes.alias("n_bytes"), prefix.alias("prefix_hash")), "heads")
     lengths = heads.groupBy("n_bytes").count().where("count > 1").select("n_bytes")
     keys = (
@@ -70,20 +76,23 @@ def exact_classes(docs: DataFrame, carry: dict[str, Column] | None = None) -> Da
 def drop_exact(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that ``exact_classes`` drops; all columns stay.
 
-    Rows repeating both id and text are reduced to one of them.
+    Rows repeating both id and text are reduced to one of them. Only texts whose length and prefix are those of a group
+    that loses rows, and that share a doc_id with it, are hashed whole again.
     """
     alive = refined(docs).where("full is not null")
     groups = alive.groupBy("full").agg(F.max("doc_id").alias("_keep"), F.count("*").alias("_rows"))
     groups = groups.where("_rows > 1")
-    ids = alive.groupBy("full", "doc_id").agg(F.count("*").alias("_n"))
-    marked = stored(ids.join(groups, "full").select("full", F.col("doc_id").alias("_id"), F.col("_id").eqNullSafe(F.col("_keep")).alias("_stays"), "_n"), "marked")
-    keyed = docs.withColumn("_full", full_hash())
+    ids = alive.groupBy("full", "n_bytes", "prefix_hash", "doc_id").agg(F.count("*").alias("_n"))
+    marked = stored(ids.join(groups, "full").select("full", "n_bytes", "prefix_hash", F.col("doc_id").alias("_id"), F.col("_id").eqNullSafe(F.col("_keep")).alias("_stays"), "_n"), "marked")
+    keyed = docs.withColumns({"_n_bytes": _n_bytes(), "_prefix": _prefix_hash()})
 
-    def on(side: DataFrame):
-        return (keyed["_full"] == side["full"]) & keyed["doc_id"].eqNullSafe(side["_id"])
+    def on(side: DataFrame) -> Column:
+        same = (keyed["_n_bytes"] == side["n_bytes"]) & (keyed["_prefix"] == side["prefix_hash"]) & keyed["doc_id"].cast("long").eqNullSafe(side["_id"])
+        # both are 64 characters; an equality would be a join key, and those are computed for every row
+        return same & F.contains(full_hash(keyed["text"]), side["full"])
 
     gone = broadcast_if_small(marked.where("not _stays or _n > 1"))
     kept = keyed.join(gone, on(gone), "left_anti")
     twice = broadcast_if_small(marked.where("_stays and _n > 1"))
-    one = keyed.join(twice, on(twice), "left_semi").dropDuplicates(["_full", "doc_id"])
-    return kept.unionByName(one).drop("_full")
+    one = keyed.join(twice, on(twice), "left_semi").withColumn("_full", full_hash()).dropDuplicates(["_full", "doc_id"]).drop("_full")
+    return kept.unionByName(one).drop("_n_bytes", "_prefix")

@@ -52,6 +52,20 @@ def test_texts_seen_once_are_not_hashed(documents):
     } == {1: True, 2: False, 3: False, 4: True}
 
 
+def test_drop_exact_hashes_no_text_seen_once(documents, monkeypatch):
+    from pyspark.sql import functions as F
+
+    plain = exact.full_hash
+
+    def guarded(text="text"):
+        raw = F.col(text) if isinstance(text, str) else text
+        return F.when(raw == "alone", F.raise_error(F.lit("hashed whole")).cast("string")).otherwise(plain(text))
+
+    monkeypatch.setattr(exact, "full_hash", guarded)
+    got = exact.drop_exact(documents([(1, "alone"), (2, "twice so"), (3, "Twice so"), (3, "twice so"), (None, "tw"), (None, "tw")]))
+    assert sorted((str(r.doc_id), r.text.lower()) for r in got.collect()) == [("1", "alone"), ("3", "twice so"), ("None", "tw")]
+
+
 def test_drop_exact_keeps_columns_and_one_of_each(documents, odd_rows):
     docs = documents(odd_rows)
     got = exact.drop_exact(docs)
