@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from rowtide.llm import exact, lines, mixing, ngram_join, packing, quality, secrets, sharding, toxicity, urls
+from rowtide.llm import exact, lines, mixing, ngram_join, packing, quality, secrets, sharding, token_counts, toxicity, urls
 from rowtide.llm.tables import stored
 
 
-#: The tokenizer's file, at the same place on every machine.
+#: The tokenizers' files, at the same place on every machine.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark, sf_dir, name):
@@ -66,7 +67,24 @@ def op10_url_filters(spark, sf_dir):
     return urls.judge_urls(_table(spark, sf_dir, "pages"), urls.labelled_urls(spark))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_mixing, op4_secret_scans, op5_toxicity, op6_ngram_jaccard_join, op7_quality_rules, op8_exact_dedup, op9_packing, op10_url_filters)}
+def op13_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), PIECES, limit=4096)
+
+
+_ALL = (
+    op1_line_dedup,
+    op2_sharding,
+    op3_mixing,
+    op4_secret_scans,
+    op5_toxicity,
+    op6_ngram_jaccard_join,
+    op7_quality_rules,
+    op8_exact_dedup,
+    op9_packing,
+    op10_url_filters,
+    op13_token_counts,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 
 SQL = {
     "op8_exact_dedup": """with d as (select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as text_sha256

@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert "pipeline" in names and [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
