@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from rowtide.llm import exact, lines, mixing, ngram_join, packing, quality, secrets, sharding, token_counts, toxicity, urls
+from rowtide.llm import exact, lines, mixing, ngram_join, packing, prefix_trie, quality, secrets, sharding, token_counts, toxicity, urls
 from rowtide.llm.tables import stored
 
 
@@ -67,6 +67,11 @@ def op10_url_filters(spark, sf_dir):
     return urls.judge_urls(_table(spark, sf_dir, "pages"), urls.labelled_urls(spark))
 
 
+def op12_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.ordered_turns(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.shared_openings(turns, period=20, openings=4))
+
+
 def op13_token_counts(spark, sf_dir):
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), PIECES, limit=4096)
 
@@ -82,6 +87,7 @@ _ALL = (
     op8_exact_dedup,
     op9_packing,
     op10_url_filters,
+    op12_prefix_trie,
     op13_token_counts,
 )
 QUERIES = {f.__name__: f for f in _ALL}
