@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from rowtide.llm import exact, lines, mixing, ngram_join, packing, prefix_trie, quality, secrets, sharding, token_counts, toxicity, urls
+from rowtide.llm import collocations, exact, lines, mixing, ngram_join, packing, prefix_trie, quality, secrets, sharding, token_counts, toxicity, urls
 from rowtide.llm.tables import stored
 
 
@@ -67,6 +67,10 @@ def op10_url_filters(spark, sf_dir):
     return urls.judge_urls(_table(spark, sf_dir, "pages"), urls.labelled_urls(spark))
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents"), most_words=3, least=10, most=2000)
+
+
 def op12_prefix_trie(spark, sf_dir):
     turns = prefix_trie.ordered_turns(_table(spark, sf_dir, "conversations"))
     return prefix_trie.prefix_trie(*prefix_trie.shared_openings(turns, period=20, openings=4))
@@ -87,6 +91,7 @@ _ALL = (
     op8_exact_dedup,
     op9_packing,
     op10_url_filters,
+    op11_phrase_collocations,
     op12_prefix_trie,
     op13_token_counts,
 )
@@ -97,4 +102,25 @@ SQL = {
         from documents)
       select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept, text_sha256
       from d window w as (partition by text_sha256)""",
+    "op11_phrase_collocations": r"""with pieces as (
+        select coalesce(lang, 'und') as lang,
+          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+        from documents),
+      w as (select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), x -> x <> '') as ws from pieces),
+      sizes as (select unnest([1, 2, 3]) as k),
+      grams as (select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), i -> array_to_string(ws[i:i + k - 1], ' '))) as phrase from w, sizes),
+      every as (select lang, k, phrase, count(*) as f from grams group by all),
+      totals as (select lang, cast(sum(f) as bigint) as n from every where k = 1 group by lang),
+      c as (select lang, k, phrase, f, string_split(phrase, ' ') as ws from every where f >= 10),
+      cuts as (select lang, phrase, k, f as a, j, array_to_string(ws[1:j], ' ') as lp, array_to_string(ws[j + 1:k], ' ') as rp
+        from (select *, unnest(range(1, k)) as j from c where k > 1)),
+      scores as (select q.lang, q.phrase, q.k, q.a, q.j, x.f as l, y.f as r,
+          cast((1000000::hugeint * q.a * q.a) // (x.f::hugeint * y.f) as bigint) as score
+        from cuts q join c x on x.lang = q.lang and x.phrase = q.lp join c y on y.lang = q.lang and y.phrase = q.rp),
+      best as (select * from scores qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+      inside as (select lang, sub, max(f) as longest from (select lang, f, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) as sub
+        from c where k = 3) group by all),
+      kept as (select b.* from best b left join inside i on i.lang = b.lang and i.sub = b.phrase where i.longest is null or 100 * i.longest < 50 * b.a),
+      ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+      select k.lang, k.rank, k.phrase, k.a, k.l, k.r, t.n, k.score from ranked k join totals t on t.lang = k.lang where k.rank <= 2000""",
 }

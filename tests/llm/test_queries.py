@@ -15,6 +15,8 @@ from tests.llm.test_exact_and_shards import lowered
 from tests.llm.test_ngram_join import shingles
 
 SF = "/root/testdata/sf0.001"
+#: Queries whose first column is not the id of a document.
+TABLES = {"op10_url_filters": ("pages", "page_id"), "op11_phrase_collocations": ("documents", "lang"), "op12_prefix_trie": ("conversations", "conv_id")}
 
 
 def test_all_are_registered():
@@ -29,8 +31,8 @@ def test_query_agrees_with_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_reads_all_rows(spark, name):
-    table = "pages" if name.startswith("op10_") else "documents"
-    ids = {r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select("page_id" if table == "pages" else "doc_id").collect()}
+    table, key = TABLES.get(name, ("documents", "doc_id"))
+    ids = {r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(key).collect()}
     got = queries.QUERIES[name](spark, SF)
     assert {r[0] for r in got.select(got.columns[0]).collect()} == ids
 
