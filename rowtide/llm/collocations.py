@@ -213,7 +213,7 @@ def _exact(count: str) -> Column:
 
 def exact_score() -> Column:
     """floor(1000000 * a * a / (l * r)) in whole decimals of 38 digits."""
-    top = F.lit(1_000_000).cast("decimal(6,0)") * (_exact("a") * _exact("a"))
+    top = F.lit(1_000_000).cast("decimal(7,0)") * (_exact("a") * _exact("a"))
     return F.call_function("div", top, _exact("l") * _exact("r")).cast("long")
 
 

@@ -106,9 +106,9 @@ SQL = {
         select coalesce(lang, 'und') as lang,
           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
         from documents),
-      w as (select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), x -> x <> '') as ws from pieces),
+      w as (select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') as ws from pieces),
       sizes as (select unnest([1, 2, 3]) as k),
-      grams as (select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), i -> array_to_string(ws[i:i + k - 1], ' '))) as phrase from w, sizes),
+      grams as (select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) as phrase from w, sizes),
       every as (select lang, k, phrase, count(*) as f from grams group by all),
       totals as (select lang, cast(sum(f) as bigint) as n from every where k = 1 group by lang),
       c as (select lang, k, phrase, f, string_split(phrase, ' ') as ws from every where f >= 10),
