@@ -8,8 +8,8 @@ frequencies, and phrases are counted inside distinct chunks only, weighted by th
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +24,9 @@ MARK = b"."
 _PLAIN = bytes.maketrans(b",;:!?\n\v\f\r\t", MARK * 9 + b" ")
 #: One word in so many triggers a cut; without one a chunk is cut at ``LONGEST`` words and marks.
 MODULUS, LONGEST = 16, 96
-#: Entries of a task's dictionary before they are handed on.
+#: Chunks a task's dictionary holds before it hands them on; phrases and words a task holds per language, and how many of these.
 MOST_HELD = 300_000
+MOST_SUMMED, MOST_RAW, MOST_WORDS, MOST_LANGS = 2_000_000, 500_000, 600_000, 8
 #: The broadcast filter of frequent phrases has so many bits (16 MB) whatever the input.
 FILTER_BITS = 27
 _BUCKET = 32_768  # bits of one row of Spark's bitmap aggregates
@@ -34,7 +35,7 @@ _SALTS = 64
 
 def marked_words(text: bytes) -> list[bytes]:
     """Words of a text, A-Z lower-cased, and a mark for every sign or line end that phrases may not cross."""
-    return text.lower().translate(_PLAIN).replace(MARK, b" . ").split(b" ")
+    return text.lower().translate(_PLAIN).replace(MARK, b" . ").split()
 
 
 def chunks(words: list[bytes], reach: int, modulus: int = MODULUS, longest: int = LONGEST) -> Iterator[tuple[bytes, int]]:
@@ -57,8 +58,7 @@ def _parsed(reach: int, modulus: int):
         held: Counter = Counter()
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = [w for w in marked_words(text.as_py()) if w]
-                held.update([(lang, chunk, own) for chunk, own in chunks(words, reach, modulus)])
+                held.update([(lang, chunk, own) for chunk, own in chunks(marked_words(text.as_py()), reach, modulus)])
                 if len(held) > MOST_HELD:
                     yield from _dictionary(held)
                     held.clear()
@@ -100,60 +100,164 @@ def slots(hashes: np.ndarray, salts: np.ndarray | np.uint64) -> np.ndarray:
     return ((hashes ^ salts) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - FILTER_BITS)
 
 
+class Vocabulary(dict):
+    """Numbers of a language's words from 1 on; 0 for the mark and for words whose bit in the filter is not set."""
+
+    def __init__(self, salt: np.uint64, bits: np.ndarray | None):
+        super().__init__({MARK: 0})
+        self.salt, self.bits = salt, bits
+        self.words = [MARK]
+        self._hashes = np.zeros(1, np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        number = 0
+        if self.bits is None or set_bits(self.bits, slots(windows(word_hashes([word]), 1), self.salt))[0]:
+            number = len(self.words)
+            self.words.append(word)
+        self[word] = number
+        return number
+
+    def hashes(self) -> np.ndarray:
+        """Hashes of the words by number."""
+        if len(self._hashes) < len(self.words):
+            self._hashes = np.concatenate([self._hashes, word_hashes(self.words[len(self._hashes) :])])
+        return self._hashes
+
+
+class Tally:
+    """Weighted counts of keys, gathered raw and summed by sorting once there are many."""
+
+    def __init__(self):
+        self.keys: list[np.ndarray] = []
+        self.weights: list[np.ndarray] = []
+        self.raw = self.summed = 0
+
+    def add(self, keys: np.ndarray, weights: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.weights.append(weights)
+        self.raw += len(keys)
+        if self.raw > self.summed + MOST_RAW:
+            self.sums()
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, weights = np.concatenate(self.keys), np.concatenate(self.weights)
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+        found = keys[first], np.add.reduceat(weights[order], first) if len(keys) else weights
+        self.keys, self.weights = [found[0]], [found[1]]
+        self.raw = self.summed = len(first)
+        return found
+
+
+def set_bits(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+class _Counter:
+    """Phrases of ``size`` words of one language's chunks. A phrase is one number made of its words' numbers."""
+
+    def __init__(self, lang: str, size: int, bits: np.ndarray | None):
+        self.lang, self.size, self.bits = lang, size, bits
+        self.shift = 63 // size
+        self.clear()
+
+    def clear(self) -> None:
+        salt = _salt(self.lang)
+        # the filter holds phrases one word shorter: of pairs, the words themselves
+        self.vocabulary = Vocabulary(salt, self.bits if self.size == 2 else None)
+        self.tally = Tally()
+
+    def full(self) -> bool:
+        known = len(self.vocabulary)
+        return self.tally.summed > MOST_SUMMED or known > MOST_WORDS or known >> self.shift > 0
+
+    def add(self, texts: list[bytes], own: list[int], n: list[int]) -> None:
+        words = b" . ".join(texts).split(b" ")
+        ids = np.fromiter(map(self.vocabulary.__getitem__, words), np.int64, len(words))
+        if len(self.vocabulary.words) >> self.shift:  # more words than fit: each part by itself
+            if len(texts) == 1 and not self.tally.raw:
+                raise ValueError(f"a chunk of more than {1 << self.shift} different words")
+            raise _Overflow
+        lengths = np.array([t.count(b" ") + 2 for t in texts])  # with the mark between two chunks
+        lengths[-1] -= 1
+        ends = np.cumsum(lengths)
+        places = len(words) - self.size + 1
+        if places <= 0:
+            return
+        fits = (np.arange(ends[-1]) - np.repeat(ends - lengths, lengths) < np.repeat(own, lengths))[:places]
+        for k in range(self.size):
+            fits = fits & (ids[k : k + places] > 0)
+        if self.size > 2:
+            shorter = windows(self.vocabulary.hashes()[ids], self.size - 1)
+            frequent = set_bits(self.bits, slots(shorter, self.vocabulary.salt))
+            fits &= frequent[:places] & frequent[1 : places + 1]
+        found = np.flatnonzero(fits)
+        keys = ids[found]
+        for k in range(1, self.size):
+            keys = (keys << self.shift) | ids[found + k]
+        self.tally.add(keys, np.repeat(np.array(n, np.int64), lengths)[found])
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        keys, weights = self.tally.sums() if self.tally.keys else (np.empty(0, np.int64), np.empty(0, np.int64))
+        mask, words = (1 << self.shift) - 1, self.vocabulary.words
+        for at in range(0, len(keys), 20_000):
+            part = keys[at : at + 20_000]
+            columns = [map(words.__getitem__, ((part >> (self.shift * k)) & mask).tolist()) for k in reversed(range(self.size))]
+            phrases = list(columns[0]) if self.size == 1 else list(map(b" ".join, zip(*columns)))
+            langs = pa.array([self.lang], pa.string()).take(pa.array(np.zeros(len(part), np.int32)))
+            yield pa.RecordBatch.from_arrays([langs, _binary(phrases), pa.array(weights[at : at + 20_000])], ["lang", "phrase", "n"])
+
+
+class _Overflow(Exception):
+    pass
+
+
 def _phrases(size: int, filtered: Broadcast | None):
     """Phrases of ``size`` words of dictionary chunks with their weighted counts, combined inside the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if filtered is None else np.frombuffer(filtered.value, np.uint8)
-        held: dict[str, dict[bytes, int]] = defaultdict(lambda: defaultdict(int))
+        counters: dict[str, _Counter] = {}
+
+        def counted(lang: str, texts: list, own: list, n: list) -> Iterator[pa.RecordBatch]:
+            if lang not in counters:
+                if len(counters) >= MOST_LANGS:
+                    for c in counters.values():
+                        yield from c.batches()
+                    counters.clear()
+                counters[lang] = _Counter(lang, size, bits)
+            counter = counters[lang]
+            try:
+                counter.add(texts, own, n)
+            except _Overflow:
+                yield from counter.batches()
+                counter.clear()
+                half = (len(texts) + 1) // 2
+                yield from counted(lang, texts[:half], own[:half], n[:half])
+                if texts[half:]:
+                    yield from counted(lang, texts[half:], own[half:], n[half:])
+                return
+            if counter.full():
+                yield from counter.batches()
+                counter.clear()
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                langs, texts, own, n = (part.column(k).to_pylist() for k in range(4))
-                _count(size, bits, langs, texts, np.array(own), n, held)
-                if sum(map(len, held.values())) > MOST_HELD:
-                    yield from _counted(held)
-                    held.clear()
-        yield from _counted(held)
+            for at in range(0, batch.num_rows, 4000):
+                parts: dict[str, tuple[list, list, list]] = {}
+                for lang, *row in zip(*(c.to_pylist() for c in batch.slice(at, 4000).columns)):
+                    if lang not in parts:
+                        parts[lang] = ([], [], [])
+                    for values, value in zip(parts[lang], row):
+                        values.append(value)
+                for lang, columns in parts.items():
+                    yield from counted(lang, *columns)
+        for c in counters.values():
+            yield from c.batches()
 
     return run
 
 
-def _count(size: int, bits: np.ndarray | None, langs: list, texts: list, own: np.ndarray, n: list, held: dict) -> None:
-    words = b" . ".join(texts).split(b" ")
-    lengths = np.array([t.count(b" ") + 2 for t in texts])  # with the mark between two chunks
-    lengths[-1] -= 1
-    ends = np.cumsum(lengths)
-    starts = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths) < np.repeat(own, lengths)
-    is_word = np.fromiter((w != MARK for w in words), bool, len(words))
-    places = len(words) - size + 1
-    if places <= 0:
-        return
-    fits = starts[:places].copy()
-    for k in range(size):
-        fits &= is_word[k : k + places]
-    if bits is not None:
-        salts = {lang: _salt(lang) for lang in set(langs)}
-        salted = np.repeat(np.array([salts[lang] for lang in langs], np.uint64), lengths)
-        shorter = windows(word_hashes(words), size - 1)
-        at = slots(shorter, salted[: len(shorter)]).astype(np.int64)
-        frequent = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-        fits &= frequent[:places] & frequent[1 : places + 1]
-    found = np.flatnonzero(fits)
-    of = np.searchsorted(ends, found, "right").tolist()
-    for i, chunk in zip(found.tolist(), of):
-        held[langs[chunk]][words[i] if size == 1 else b" ".join(words[i : i + size])] += n[chunk]
-
-
-def _counted(held: dict) -> Iterator[pa.RecordBatch]:
-    for lang, counts in held.items():
-        phrases, ns = list(counts), list(counts.values())
-        for at in range(0, len(phrases), 20_000):
-            part = phrases[at : at + 20_000]
-            columns = [pa.array([lang] * len(part), pa.string()), _binary(part), pa.array(ns[at : at + 20_000], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
-
-
 def _slots_of(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
