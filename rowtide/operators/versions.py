@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtide.functions.times import seconds_interval, wall_seconds
-from rowtide.operators.changes import same_keys
-from rowtide.session import pinned, shuffle_width
+from rowtide.operators.ranking import RANGE, Ranges
+from rowtide.session import pinned
 
 def version_history(
     df: DataFrame, keys: Sequence[str], seq: str, attributes: Sequence[str], partitions: int | None = None
@@ -18,20 +18,17 @@ def version_history(
 
     ``seq`` orders the versions of a key and is unique in it; a null key is a key. Rows are dealt by ranges of
     key and seq, cut by rank wherever the data lie, so a key of any length and spread of seq takes as many
-    ranges as its rows need. The last version of each range is handed to the key's next one: at
-    most one row per key and range.
+    ranges as its rows need. Of keys that cross a bound the last version of each range is handed to
+    the next one: a few rows per range. Only keys and seq are stored; ``df`` is read again for the rows.
     """
     named = df.select(*keys, seq, F.struct(*attributes).alias("_now"))
-    by = [F.col(k).asc_nulls_first() for k in keys] + [F.col(seq).asc_nulls_first()]
-    width = partitions or shuffle_width(df.sparkSession)
-    placed = named.repartitionByRange(width, *by).withColumn("_part", F.spark_partition_id())
-    rows = pinned(placed)
-    lagged = rows.withColumn("_prev", F.lag("_now").over(Window.partitionBy(*keys, "_part").orderBy(seq)))
-    tails = rows.groupBy(*keys, "_part").agg(F.max_by("_now", seq).alias("_tail"))
-    carried = tails.withColumn("_carry", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_part")))
-    carried = carried.where(F.col("_carry").isNotNull()).select(*keys, "_part", "_carry")  # only keys that cross a cut
-    carried, on = same_keys(lagged, carried, [*keys, "_part"])
-    rows = lagged.join(carried, on, "left")
+    ranges = Ranges(named, keys, [seq], partitions)
+    rows = named.withColumn(RANGE, ranges.number)
+    tails = ranges.of_shared_groups(rows).groupBy(RANGE, *keys).agg(F.max_by("_now", F.struct(seq)).alias("_tail"))
+    carry = F.lag("_tail").over(Window.partitionBy(*keys).orderBy(RANGE)).alias("_carry")
+    carried = pinned(tails.select(RANGE, *keys, carry)).where(F.col("_carry").isNotNull())
+    rows = rows.withColumn("_prev", F.lag("_now").over(Window.partitionBy(RANGE, *keys).orderBy(seq)))
+    rows = ranges.with_shared(rows, carried)
     before = F.coalesce("_prev", "_carry")
 
     def entry(c: str):

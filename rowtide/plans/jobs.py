@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.measures import TIERS
 from rowtide.operators.activity import CATEGORY, TOTAL, totals_by
-from rowtide.operators.ranking import chunk_groups, ranked
+from rowtide.operators.ranking import Desc, chunk_groups, ranked
 
 # Name patterns a domain is read from, tried in order; and the fallback domain.
 CAPITALS_PREFIX = "^([A-Z]{2,})[A-Z][a-z]"
@@ -59,13 +59,13 @@ def group_by_domain(entities: DataFrame, entity: str, max_size: int = MAX_TABLES
     Groups are cut, in name order, to ``max_size`` members.
     """
     domains = entities.withColumn("domain", extract_domain(F.col(entity)))
-    sized = ranked(domains, ["domain"], [F.asc(entity)], rank="_rn", size="_size")
+    sized = ranked(domains, ["domain"], [entity], rank="_rn", size="_size")
     pooled = F.when(F.col("_size") > 1, F.col("domain")).otherwise(SINGLES_DOMAIN)
     sized = sized.withColumn("_pool", pooled)
     shared = sized.where(F.col("_size") > 1).withColumn(
         "group_no", F.call_function("div", F.col("_rn") - 1, F.lit(max_size)) + 1
     )
-    singles = chunk_groups(sized.where(F.col("_size") == 1).drop("_rn"), ["_pool"], [F.asc(entity)], max_size)
+    singles = chunk_groups(sized.where(F.col("_size") == 1).drop("_rn"), ["_pool"], [entity], max_size)
     both = shared.drop("_rn").unionByName(singles)
     name = F.concat(F.col("_pool"), F.lit("_group"), F.col("group_no").cast("string"))
     return both.withColumn("group_name", name).drop("_size", "_pool", "group_no")
@@ -92,7 +92,7 @@ def union_job_outputs(outputs: dict[str, DataFrame]) -> DataFrame:
 
 def balanced_plan(activity: DataFrame, entity: str, jobs: int, metric: str = TOTAL) -> DataFrame:
     """Spread entities over jobs by activity: ranked busiest first, dealt out forth and back."""
-    numbered = ranked(activity, [], [F.desc(metric), F.asc(entity)], rank="activity_rank")
+    numbered = ranked(activity, [], [Desc(metric), entity], rank="activity_rank")
     place = F.pmod(F.col("activity_rank") - 1, F.lit(2 * jobs))
     job = F.when(place < jobs, place).otherwise(2 * jobs - 1 - place)
     return numbered.withColumn("job_no", (job + 1).cast("bigint"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rowtide.functions.measures import latest_of, read_write_ratio, tier
 from rowtide.operators import activity as act
 from rowtide.operators import quality
-from rowtide.operators.ranking import ranked
+from rowtide.operators.ranking import Desc, ranked
 from rowtide.plans import jobs
 from rowtide.session import workspace
 from rowtide.sources import sinks
@@ -241,7 +241,7 @@ def table_fingerprint(spark, sf):
 @query(f"select entity, total_io, row_number() over (order by total_io desc, entity) as activity_rank from ({st.COVERAGE_SQL})")
 def rank_by_activity(spark, sf):
     rows = covered(spark, sf).select("entity", "total_io")
-    return ranked(rows, [], [F.desc("total_io"), F.asc("entity")], rank="activity_rank")
+    return ranked(rows, [], [Desc("total_io"), "entity"], rank="activity_rank")
 
 
 @query(f"select c_custkey as entity, row_count from customer left join ({ORDER_ROWS_SQL}) r on r.entity = c_custkey order by row_count desc nulls last")

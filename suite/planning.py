@@ -20,7 +20,7 @@ TIER_JOB_SQL = f"""
 @query("""select o_orderkey, o_orderpriority, (row_number() over (partition by o_orderpriority order by o_orderkey) - 1) // 500 + 1 as group_no from orders""")
 def chunk_groups(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    return chunked(rows, ["o_orderpriority"], [F.asc("o_orderkey")], 500)
+    return chunked(rows, ["o_orderpriority"], ["o_orderkey"], 500)
 
 
 @query(f"select job_name, concat(job_name, '_config.yaml') as job_file, job_category, {_SUMMED_SQL} from ({TIER_JOB_SQL}) group by all")

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rowtide.operators.ranking import chunk_groups, ranked
+from rowtide.operators.ranking import Desc, Ranges, chunk_groups, ranked
 from rowtide.plans import jobs
 
 
@@ -25,13 +25,13 @@ def brute(data, key):
 
 def test_ranked_matches_brute_force(spark, skewed):
     data, df = skewed
-    out = ranked(df, ["g"], [F.desc("m"), F.asc("id")], size="n", partitions=8)
+    out = ranked(df, ["g"], [Desc("m"), "id"], size="n", partitions=8)
     assert {r.id: (r.rank_no, r.n) for r in out.collect()} == brute(data, lambda r: (-r[1], r[2]))
 
 
 def test_ranked_over_everything(spark, skewed):
     data, df = skewed
-    out = ranked(df, [], [F.desc("m"), F.asc("id")], partitions=4)
+    out = ranked(df, [], [Desc("m"), "id"], partitions=4)
     assert {r.id: r.rank_no for r in out.collect()} == {
         r[2]: n + 1 for n, r in enumerate(sorted(data, key=lambda r: (-r[1], r[2])))
     }
@@ -39,14 +39,14 @@ def test_ranked_over_everything(spark, skewed):
 
 def test_ranked_with_null_groups_and_no_rows(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "g string, id int")
-    out = ranked(df, ["g"], [F.asc("id")])
+    out = ranked(df, ["g"], ["id"])
     assert {(r.g, r.id): r.rank_no for r in out.collect()} == {(None, 1): 1, (None, 2): 2, ("a", 1): 1}
-    assert ranked(df.limit(0), ["g"], [F.asc("id")]).count() == 0
+    assert ranked(df.limit(0), ["g"], ["id"]).count() == 0
 
 
 def test_chunks_have_at_most_n_rows(spark, skewed):
     data, df = skewed
-    sizes = chunk_groups(df, ["g"], [F.asc("id")], 10).groupBy("g", "group_no").count().collect()
+    sizes = chunk_groups(df, ["g"], ["id"], 10).groupBy("g", "group_no").count().collect()
     assert max(r["count"] for r in sizes) == 10
     hot = sum(1 for r in data if r[0] == "hot")
     assert max(r.group_no for r in sizes if r.g == "hot") == -(-hot // 10)
@@ -112,3 +112,39 @@ def test_balanced_plan_deals_forth_and_back(spark):
     df = spark.createDataFrame([(f"t{i}", 100 - i) for i in range(8)], "name string, total_io bigint")
     got = [r.job_no for r in jobs.balanced_plan(df, "name", 3).orderBy("activity_rank").collect()]
     assert got == [1, 2, 3, 3, 2, 1, 1, 2]
+
+
+def test_dense_ranks_share_a_number(spark, skewed):
+    data, df = skewed
+    out = ranked(df, ["g"], [Desc("m")], dense=True, partitions=8)
+    levels = {}
+    for g, m, _ in data:
+        levels.setdefault(g, set()).add(m)
+    assert {(r.g, r.m, r.rank_no) for r in out.collect()} == {(g, m, 1 + sum(x > m for x in ms)) for g, ms in levels.items() for m in ms}
+
+
+@pytest.mark.parametrize("order", [["x", "id"], [Desc("x"), Desc("id")]])
+def test_ranges_keep_the_order_with_nulls_and_nan(spark, order):
+    rng = random.Random(1)
+    values = [None, float("nan"), -0.0, 0.0, 1.5, -2.0]
+    df = spark.createDataFrame([(rng.choice(values), rng.choice("ab") if i % 9 else None, i) for i in range(900)], "x double, g string, id int")
+    ranges = Ranges(df, ["g"], order, partitions=9)
+    rows = ranges.keys.sort(F.asc_nulls_first("g"), *[F.desc_nulls_last(o.column) if isinstance(o, Desc) else F.asc_nulls_first(o) for o in order]).collect()
+    numbers = [r[-1] for r in rows]
+    assert numbers == sorted(numbers) and len(set(numbers)) == 9
+    place = {}
+    for r in rows:
+        place.setdefault(r.g, []).append(r.id)
+    want = {i: (n + 1, len(ids)) for ids in place.values() for n, i in enumerate(ids)}
+    assert {r.id: (r.rank_no, r.n) for r in ranked(df, ["g"], order, size="n", partitions=9).collect()} == want
+
+
+def test_many_small_groups_and_names_of_its_own(spark):
+    df = spark.range(3000).select((F.col("id") % 1000).alias("_n"), F.col("id").alias("_size"))
+    got = ranked(df, ["_n"], ["_size"], rank="_before", size="_inside", partitions=16).collect()
+    assert {(r._n, r._size): (r._before, r._inside) for r in got} == {(i % 1000, i): (i // 1000 + 1, 3) for i in range(3000)}
+
+
+def test_only_keys_are_kept(spark):
+    wide = spark.range(100).select("id", *[F.lit("x" * 50).alias(f"c{k}") for k in range(9)])
+    assert Ranges(wide, [], ["id"]).keys.columns == ["id", "_rk_range"]
