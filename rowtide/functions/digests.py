@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType, StructType
 
 #: A digest's 64 hex digits are summed in slices of so many.
 SLICE = 16
@@ -21,6 +21,8 @@ def _plain_text(value: Column, kind: DataType | None) -> Column:
     elif isinstance(kind, StructType):
         text = F.concat(F.lit(""), *[field_text(value[f.name], f.dataType) for f in kind.fields])
         return F.when(value.isNotNull(), text)
+    elif isinstance(kind, (FloatType, DoubleType)):
+        return (value + F.lit(0.0).cast(kind)).cast("string")  # -0.0 is 0.0
     else:
         return value.cast("string")
     return F.concat(F.size(value).cast("string"), F.lit("/"), F.array_join(parts, ""))

@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
-from rowtide.functions.digests import digest_of, field_text
+from rowtide.functions.digests import digest_of, field_text, row_text
+from rowtide.session import pinned
 
 SEQ = "seq"
 OP = "op"
@@ -28,7 +29,16 @@ _OP_ORDER = (READ, CREATE, UPDATE, DELETE)
 
 
 def op_rank(op: Column) -> Column:
-    return F.array_position(F.array(*[F.lit(o) for o in _OP_ORDER]), op)
+    """Place of an op among changes of equal seq; an op that is none of the four, or null, is an error."""
+    place = F.nullif(F.array_position(F.array(*[F.lit(o) for o in _OP_ORDER]), op), F.lit(0))
+    refused = F.raise_error(F.concat(F.lit("a change's op is one of r, c, u, d, not "), F.coalesce(op, F.lit("null"))))
+    return F.coalesce(place, refused.cast("bigint"))
+
+
+def known_ops(changes: DataFrame, op: str = OP) -> tuple[DataFrame, DataFrame]:
+    """Changes with one of the four ops, and all others, to be kept elsewhere; to apply those is an error."""
+    known = F.coalesce(F.col(op).isin(*_OP_ORDER), F.lit(False))
+    return changes.where(known), changes.where(~known)
 
 
 def _has_map(kind: DataType) -> bool:
@@ -177,6 +187,40 @@ def reconcile_counts(source: Mapping[str, DataFrame], target: Mapping[str, DataF
     )
 
 
+def reconcile_tree(source: DataFrame, target: DataFrame, keys: Sequence[str], bits: int = 14) -> DataFrame:
+    """What :func:`reconcile_rows` finds, reading rows only where digests differ.
+
+    Rows are dealt to 2^``bits`` ranges of their key's hash. Of each range both sides have a count and sums of row hashes,
+    combined before the shuffle, so equal ranges cost a few numbers however many rows they hold. Keys and digests are
+    compared under differing ranges alone, and not at all when there are none. The ranges that differ are at
+    most 2^``bits``, so they are broadcast.
+    """
+    names = source.columns
+
+    def placed(df: DataFrame) -> DataFrame:
+        key = row_text([F.col(k) for k in keys], [df.schema[k].dataType for k in keys])
+        return df.select(*names, F.shiftrightunsigned(F.xxhash64(key), 64 - bits).alias("_range"))
+
+    def digests(df: DataFrame) -> DataFrame:
+        text = row_text([F.col(c) for c in names], [df.schema[c].dataType for c in names])
+        hashed = placed(df).withColumn("_text", text).select("_range", F.xxhash64("_text").alias("_a"), F.xxhash64(F.lit("b"), "_text").alias("_b"))
+        # halves of 32 bits: their sums stay within 64 for 2^31 rows of a range
+        halves = [h for c in ("_a", "_b") for h in (F.shiftrightunsigned(c, 32), F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)))]
+        return hashed.groupBy("_range").agg(F.struct(F.count(F.lit(1)), *[F.sum(h) for h in halves]).alias("_digest"))
+
+    right = digests(target).withColumnsRenamed({"_range": "_right", "_digest": "_other"})
+    left = digests(source)
+    both = left.join(right, left["_range"] == right["_right"], "full_outer")
+    differing = pinned(both.where(~F.col("_digest").eqNullSafe(F.col("_other"))).select(F.coalesce("_range", "_right").alias("_range")))
+    if differing.isEmpty():
+        return reconcile_rows(source.limit(0), target.limit(0), keys)
+
+    def under(df: DataFrame) -> DataFrame:
+        return placed(df).join(F.broadcast(differing), "_range", "left_semi").drop("_range")
+
+    return reconcile_rows(under(source), under(target), keys)
+
+
 def reconcile_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys whose rows are ``missing`` in the target, ``extra`` in it, or ``different``.
 

@@ -66,6 +66,13 @@ def child_folders(spark: SparkSession, folder: str) -> list[str]:
     return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of the files below a folder, as its file system counts them; 0 where there is none. No Spark job."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+
+
 def make_mark(spark: SparkSession, path: str) -> None:
     """Create an empty file at once; its name is all it says."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,46 +2,66 @@
 
 Layout under one root folder::
 
-    base/version=V/<parts>/         state rows, rewritten per part by compaction
-    delta/<epoch>-<batch>-<try>/    latest change per key of one attempt at a batch, by part
-    commit/<epoch>-<batch>-<try>    written after that delta; a delta without it is not read
-    manifest/version=V/             epoch, base version of every part, deltas folded in and not yet deleted
+    base/version=V/<parts>/             state rows, rewritten per part by compaction
+    delta/<epoch>-<batch>-<no>-<try>/   latest change per key of one attempt at a batch, by part
+    commit/<epoch>-<batch>-<no>-<try>   written after that delta; a delta without it is not read
+    manifest/version=V/                 epoch, schema, base version of every part, deltas folded in and not yet deleted
 
 A part is a bucket of the key (and, in a table set, the table). Every attempt at a batch has a folder of its
 own, so a replay touches nothing that is being read; applying a batch twice changes nothing, as the
-later change of a key wins whatever the order. A compaction lists the very deltas it folded in, so batch numbers
-may start over with a new checkpoint. Loading a snapshot starts an epoch: deltas of earlier ones are
-not read any more. Everything is written by Spark's own committers and read back by explicit paths;
-:meth:`MergeStore.vacuum` removes what no reader needs any more. One writer at a time.
+later change of a key wins whatever the order. Commits are numbered as they come. A compaction lists the very deltas it folded
+in, so batch numbers may start over with a new checkpoint. It folds small deltas into one another, and into the base
+once they come to a share of it, so a batch costs about its own size and not that of the table. Loading a
+snapshot starts an epoch: deltas of earlier ones are not read any more. Everything is written by Spark's own committers and
+read back by explicit paths; :meth:`MergeStore.vacuum` removes what no reader needs any more. One writer at a time.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from rowtide.operators.changes import DELETE, OP, SEQ, as_state, change_order, latest_change_per_key, live_rows, same_keys
-from rowtide.session import child_folders, delete_folder, make_mark, shuffle_width
+from rowtide.session import child_folders, delete_folder, folder_bytes, make_mark, shuffle_width
 
 BUCKET = "bucket"
 TABLE_NAME = "table_name"
 
+#: A compaction rewrites the base once the open deltas come to this share of the parts they touch.
+BASE_SHARE = 0.25
+
+
 class Delta(NamedTuple):
     """A committed delta; its folder and its mark have the same name."""
 
     epoch: int
     batch_id: int
+    #: number of the commit, from 0 in its epoch; of several folded into one the last
+    number: int
     attempt: str
 
     @property
     def name(self) -> str:
-        return f"{self.epoch}-{self.batch_id}-{self.attempt}"
+        return f"{self.epoch}-{self.batch_id}-{self.number}-{self.attempt}"
 
 
 class Manifest(NamedTuple):
@@ -51,6 +71,41 @@ class Manifest(NamedTuple):
     folded: frozenset[str]
     #: base version of every part
     parts: dict[tuple, int]
+    #: number of the last commit that went into the base, and of the last one listed in ``folded``; -1 for none
+    base_number: int
+    last_number: int
+    #: the state rows' schema without the parts, as JSON
+    schema: str | None
+
+
+#: Begins the attempt of a delta that stands for several.
+_RUN = "run"
+#: Types files written before may be read through, as Spark's Parquet reader widens them.
+_WIDER = {
+    ByteType: (ShortType, IntegerType, LongType),
+    ShortType: (IntegerType, LongType),
+    IntegerType: (LongType, DoubleType),
+    FloatType: (DoubleType,),
+}
+
+
+def not_widened(old: StructType, new: StructType, identity: Sequence[str]) -> list[str]:
+    """What keeps ``new`` from being ``old`` with columns added or types widened; keys keep their type."""
+    fields = {f.name: f.dataType for f in new.fields}
+    found = []
+    for f in old.fields:
+        kind = fields.get(f.name)
+        if kind is None:
+            found.append(f"{f.name} is missing")
+        elif kind != f.dataType and (f.name in identity or not _is_wider(f.dataType, kind)):
+            found.append(f"{f.name}: {f.dataType.simpleString()} to {kind.simpleString()}")
+    return found
+
+
+def _is_wider(old: DataType, new: DataType) -> bool:
+    if isinstance(old, DecimalType) and isinstance(new, DecimalType):
+        return new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    return isinstance(new, _WIDER.get(type(old), ()))
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -76,7 +131,7 @@ class MergeStore:
     # -- small metadata ----------------------------------------------------------------------
 
     def _manifest_schema(self) -> StructType:
-        header = "base_version long, epoch long, folded array<string>"
+        header = "base_version long, epoch long, folded array<string>, base_number long, last_number long, row_schema string"
         return StructType([*self.parts.fields, *StructType.fromDDL(header).fields])
 
     def _versions(self) -> list[int]:
@@ -90,27 +145,65 @@ class MergeStore:
         if version is None:
             version = next(iter(self._versions()[::-1]), -1)
         if version < 0:
-            return Manifest(-1, 0, frozenset(), {})
+            return Manifest(-1, 0, frozenset(), {}, -1, -1, None)
         rows = self.spark.read.schema(self._manifest_schema()).json(f"{self.root}/manifest/version={version}").collect()
         head = next(r for r in rows if r.base_version is None)
         parts = {tuple(r[p] for p in self.part_names): r.base_version for r in rows if r.base_version is not None}
-        return Manifest(version, head.epoch, frozenset(head.folded or ()), parts)
+        return Manifest(version, head.epoch, frozenset(head.folded or ()), parts, head.base_number, head.last_number, head.row_schema)
 
-    def _write_manifest(self, version: int, epoch: int, folded: Iterable[str], parts: dict[tuple, int]) -> None:
-        rows = [(*part, v, epoch, None) for part, v in parts.items()]
-        rows.append((*[None] * len(self.part_names), None, epoch, sorted(folded)))
+    def _write_manifest(self, new: Manifest) -> None:
+        rows = [(*part, v, new.epoch, None, None, None, None) for part, v in new.parts.items()]
+        head = (None, new.epoch, sorted(new.folded), new.base_number, new.last_number, self._row_schema().json())
+        rows.append((*[None] * len(self.part_names), *head))
         frame = self.spark.createDataFrame(rows, self._manifest_schema()).coalesce(1)
-        frame.write.mode("overwrite").json(f"{self.root}/manifest/version={version}")
+        frame.write.mode("overwrite").json(f"{self.root}/manifest/version={new.version}")
+
+    def _row_schema(self) -> StructType:
+        return StructType([f for f in self.schema.fields if f.name not in self.part_names])
+
+    def stored_schema(self) -> StructType | None:
+        """Schema of the state rows as last written to the manifest; None before the first."""
+        text = self._manifest().schema
+        return None if text is None else StructType.fromJson(json.loads(text))
+
+    def change_schema(self, schema: StructType) -> None:
+        """From now on rows have ``schema``: columns may be added and types widened; files written before are read through it."""
+        refused = not_widened(self.stored_schema() or self._row_schema(), schema, self.identity)
+        if refused:
+            raise ValueError(f"a keyed table only takes new columns and wider types: {refused}")
+        self.schema = StructType([*schema.fields, *self.parts.fields])
+        now = self._manifest()
+        self._write_manifest(now._replace(version=now.version + 1))
+
+    def _check_schema(self, now: Manifest) -> None:
+        if now.schema is None:
+            return
+        refused = not_widened(StructType.fromJson(json.loads(now.schema)), self._row_schema(), self.identity)
+        if refused:
+            raise ValueError(f"the table was written with another schema, open it with that: {refused}")
 
     def _marks(self) -> list[Delta]:
         """All commit marks, by a listing of their names."""
-        found = (n.split("-", 2) for n in child_folders(self.spark, f"{self.root}/commit"))
-        return sorted(Delta(int(e), int(k), a) for e, k, a in found)
+        found = (n.split("-", 3) for n in child_folders(self.spark, f"{self.root}/commit"))
+        return sorted(Delta(int(e), int(k), int(no), a) for e, k, no, a in found)
 
     def open_deltas(self, now: Manifest | None = None, upto: int | None = None) -> list[Delta]:
-        """Committed deltas of the current epoch that no compaction has folded in."""
+        """Committed deltas of the current epoch that no compaction has folded in, in the order of their commits.
+
+        ``upto`` leaves out those after commit number ``upto`` of the epoch; once such a commit has been folded in, the earlier
+        state is gone and asking for it is an error.
+        """
         now = now or self._manifest()
-        return [d for d in self._marks() if d.epoch == now.epoch and d.name not in now.folded and (upto is None or d.batch_id <= upto)]
+        found = sorted((d for d in self._marks() if d.epoch == now.epoch and d.name not in now.folded), key=lambda d: (d.number, d.name))
+        if upto is None:
+            return found
+        if now.base_number > upto or any(d.number > upto for d in self._folded_runs(now)):
+            raise ValueError(f"commit {upto} has been folded together with later ones")
+        return [d for d in found if d.number <= upto]
+
+    def _folded_runs(self, now: Manifest) -> list[Delta]:
+        """Open deltas that stand for several commits."""
+        return [d for d in self._marks() if d.epoch == now.epoch and d.name not in now.folded and d.attempt.startswith(_RUN)]
 
     def committed_batches(self) -> list[int]:
         """Batches of the current epoch whose deltas still exist."""
@@ -130,7 +223,7 @@ class MergeStore:
         version = now.version + 1
         path = f"{self.root}/base/version={version}"
         self._write_parts(state.select(*self.schema.names), path)
-        self._write_manifest(version, now.epoch + 1, (), self._parts_in(path, version))
+        self._write_manifest(Manifest(version, now.epoch + 1, frozenset(), self._parts_in(path, version), -1, -1, None))
 
     def _parts_in(self, path: str, version: int) -> dict[tuple, int]:
         """Parts a base folder holds; their number is bounded by buckets times tables."""
@@ -139,8 +232,13 @@ class MergeStore:
 
     def put_delta(self, changes: DataFrame, batch_id: int) -> None:
         """Write the latest change per identity of a batch into a new folder, then its commit mark."""
+        now = self._manifest()
+        self._check_schema(now)
+        number = 1 + max([now.last_number, *[d.number for d in self._marks() if d.epoch == now.epoch]])
         latest = latest_change_per_key(changes.select(*self.schema.names), [*self.identity, *self.part_names])
-        delta = Delta(self._manifest().epoch, batch_id, uuid.uuid4().hex)
+        self._commit(latest, Delta(now.epoch, batch_id, number, uuid.uuid4().hex))
+
+    def _commit(self, latest: DataFrame, delta: Delta) -> None:
         self._write_parts(latest, f"{self.root}/delta/{delta.name}")
         make_mark(self.spark, f"{self.root}/commit/{delta.name}")
 
@@ -216,8 +314,36 @@ class MergeStore:
         keys, on = same_keys(latest, base.select(*by), by)
         return merged.unionByName(latest.join(keys, on, "left_anti"))
 
+    def fold(self, share: float = BASE_SHARE) -> list[tuple]:
+        """Keep open deltas few at a cost that grows with the batches, not with the table; returns the parts of the base rewritten.
+
+        While the open deltas are less than ``share`` of the base parts they touch, the newest are folded into one delta, up
+        to an older one larger than all of them together: so a row is rewritten about as often as the deltas' size
+        doubles. Beyond that share all go into the base (:meth:`compact`).
+        """
+        now = self._manifest()
+        open_deltas = self.open_deltas(now)
+        sizes = {d: folder_bytes(self.spark, f"{self.root}/delta/{d.name}") for d in open_deltas}
+        touched = self._touched(open_deltas)
+        base = sum(folder_bytes(self.spark, self._base_folder(p, v)) for p, v in now.parts.items() if p in touched)
+        if sum(sizes.values()) >= share * base:
+            return self.compact()
+        run: list[Delta] = []
+        for d in reversed(open_deltas):
+            if run and sizes[d] > sum(sizes[r] for r in run):
+                break
+            run.append(d)
+        if len(run) > 1:
+            last = max(run, key=lambda d: d.number)
+            merged = latest_change_per_key(self._deltas(run, None), [*self.identity, *self.part_names])
+            self._commit(merged, last._replace(attempt=f"{_RUN}{uuid.uuid4().hex}"))
+            folded = (now.folded | {d.name for d in run}) & {d.name for d in self._marks()}
+            last_number = max(now.last_number, last.number)
+            self._write_manifest(now._replace(version=now.version + 1, folded=folded, last_number=last_number))
+        return []
+
     def compact(self) -> list[tuple]:
-        """Fold open deltas into new versions of the parts they touch; returns those parts.
+        """Fold all open deltas into new versions of the parts they touch; returns those parts.
 
         Tombstones stay in the base, so a late older change cannot bring a deleted row back; use
         :meth:`purge_tombstones` once nothing older can arrive.
@@ -233,7 +359,8 @@ class MergeStore:
             self._rewrite(old.unionByName(self._deltas(open_deltas, None)), version, len(touched))
         written = self._parts_in(f"{self.root}/base/version={version}", version) if touched else {}
         folded = (now.folded | {d.name for d in open_deltas}) & {d.name for d in self._marks()}
-        self._write_manifest(version, now.epoch, folded, now.parts | written)
+        last = max([now.last_number, *[d.number for d in open_deltas]])
+        self._write_manifest(Manifest(version, now.epoch, folded, now.parts | written, last, last, None))
         return sorted(touched)
 
     def _rewrite(self, rows: DataFrame, version: int, n_parts: int) -> None:
@@ -257,7 +384,8 @@ class MergeStore:
         """Delete files that the last ``keep`` versions do not need; returns the folders deleted.
 
         Keep enough versions for the longest read under way. Folded deltas and those of earlier epochs go with
-        their marks, so the small metadata stays short.
+        their marks, so the small metadata stays short. Deltas without a mark are failed attempts and go too: as there
+        is one writer, none can be under way while it vacuums.
         """
         versions = self._versions()
         kept = [self._manifest(v) for v in versions[-keep:]]
@@ -268,6 +396,8 @@ class MergeStore:
         for d in self._marks():
             if d.epoch < kept[0].epoch or d.name in folded:
                 doomed += [f"{self.root}/{kind}/{d.name}" for kind in ("commit", "delta")]
+        marked = {d.name for d in self._marks()}
+        doomed += [f"{self.root}/delta/{n}" for n in child_folders(self.spark, f"{self.root}/delta") if n not in marked]
         needed = {self._base_folder(p, v) for m in kept for p, v in m.parts.items()}
         for v in versions[:-keep]:
             old = self._manifest(v)
@@ -288,10 +418,14 @@ class MergeStore:
         path = f"{self.root}/base/version={version}"
         self._write_parts(self._base({p: v for p, v in now.parts.items() if p in stale}, ~dead), path)
         parts = {p: v for p, v in now.parts.items() if p not in stale} | self._parts_in(path, version)
-        self._write_manifest(version, now.epoch, now.folded, parts)
+        self._write_manifest(now._replace(version=version, parts=parts))
         return len(stale)
 
 
+def _state_row(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(OP, StringType()), StructField(SEQ, LongType())])
+
+
 class KeyedTable:
     """One keyed table: load a snapshot, apply batches of changes, read the rows alive."""
 
@@ -302,19 +436,36 @@ class KeyedTable:
         self.keys = list(keys)
         self.columns = schema.names
         self.buckets = buckets
-        row = StructType([*schema.fields, StructField(OP, StringType()), StructField(SEQ, LongType())])
         parts = StructType([StructField(BUCKET, IntegerType())])
-        self.store = MergeStore(spark, root, keys, row, parts)
+        self.store = MergeStore(spark, root, keys, _state_row(schema), parts)
 
     def _placed(self, rows: DataFrame) -> DataFrame:
-        return rows.select(*self.columns, OP, SEQ).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+        kinds = {f.name: f.dataType for f in self.store.schema.fields}
+        typed = [F.col(c).cast(kinds[c]).alias(c) if rows.schema[c].dataType != kinds[c] else F.col(c) for c in (*self.columns, OP, SEQ)]
+        return rows.select(*typed).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+
+    def _known(self, rows: DataFrame, ignore: Sequence[str]) -> DataFrame:
+        """Rows with the table's columns; any other column is an error unless it is named in ``ignore``."""
+        unknown = [c for c in rows.columns if c not in {*self.columns, OP, SEQ, *ignore}]
+        if unknown:
+            raise ValueError(f"columns the table does not have: {unknown}; add them (change_schema) or name them in ignore")
+        return rows
+
+    def change_schema(self, schema: StructType) -> None:
+        """Take new columns and wider types; rows written before have null in new columns."""
+        self.store.change_schema(_state_row(schema))
+        self.columns = schema.names
 
     def load(self, snapshot: DataFrame, snapshot_seq: int = -1) -> None:
+        """Start from a snapshot; columns that the table does not have are left out."""
         self.store.put_base(self._placed(as_state(snapshot, snapshot_seq)))
 
-    def apply(self, changes: DataFrame, batch_id: int) -> None:
-        """Upsert and delete by key; last write wins, and the same batch may be applied again."""
-        self.store.put_delta(self._placed(changes), batch_id)
+    def apply(self, changes: DataFrame, batch_id: int, ignore: Sequence[str] = ()) -> None:
+        """Upsert and delete by key; last write wins, and the same batch may be applied again.
+
+        A column that the table does not have is an error unless ``ignore`` names it, and so is an op other than r, c, u and d.
+        """
+        self.store.put_delta(self._placed(self._known(changes, ignore)), batch_id)
 
     def state(self, upto: int | None = None) -> DataFrame:
         return self.store.state(upto=upto).drop(BUCKET)
@@ -331,3 +482,7 @@ class KeyedTable:
     def compact(self) -> int:
         """Fold deltas into the base; returns the number of buckets rewritten."""
         return len(self.store.compact())
+
+    def fold(self, share: float = BASE_SHARE) -> int:
+        """Fold deltas into one another, or into the base where they have come to ``share`` of it."""
+        return len(self.store.fold(share))

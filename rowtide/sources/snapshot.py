@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 from rowtide.operators.ranking import ranked
 
@@ -50,39 +52,66 @@ def chunked_snapshot(df: DataFrame, key: str, size: int = CHUNK_SIZE) -> DataFra
     return df.withColumn("chunk_id", chunk_of(F.col(key), lowest, size))
 
 
-def _ranked_keys(df: DataFrame, key: str, size: int) -> DataFrame:
-    """Distinct keys of any orderable type with ``chunk_id``: ``size`` keys in order make a chunk; a null key is the first."""
-    keys = df.groupBy(key).agg(F.count("*").alias("_n"))
-    return ranked(keys, [], [F.asc_nulls_first(key)], rank="_rn").select(key, "_n", chunk_of(F.col("_rn"), 1, size).alias("chunk_id"))
+def in_source_order(df: DataFrame, key: str, collation: str | None) -> DataFrame:
+    """``df`` with a text key under the collation its source compares it by (``UTF8_LCASE``, ``UNICODE_CI``, …; none: by bytes)."""
+    return df.withColumn(key, F.collate(key, collation)) if collation else df
 
 
-def key_chunk_plan(df: DataFrame, key: str, size: int = CHUNK_SIZE) -> DataFrame:
-    """Chunks by rank of the key, for keys of any orderable type: id, first and last key, rows."""
-    ranks = _ranked_keys(df, key, size)
-    return ranks.groupBy("chunk_id").agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.sum("_n").alias("n_rows"))
+def key_chunk_plan(df: DataFrame, key: str, size: int = CHUNK_SIZE, collation: str | None = None) -> DataFrame:
+    """Chunks by rank of the key, for keys of any orderable type: id, first and last key, rows.
+
+    ``size`` distinct keys in order make a chunk; a null key is the first. With ``collation`` keys that the source takes for equal
+    are one key, and the order is the source's.
+    """
+    keys = in_source_order(df.select(key), key, collation).groupBy(key).agg(F.count("*").alias("_n"))
+    numbered = ranked(keys, [], [key], rank="_rn").withColumn("chunk_id", chunk_of(F.col("_rn"), 1, size))
+    return numbered.groupBy("chunk_id").agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.sum("_n").alias("n_rows"))
 
 
 def key_chunked_snapshot(df: DataFrame, key: str, size: int = CHUNK_SIZE) -> DataFrame:
-    """Snapshot rows with the chunk of :func:`key_chunk_plan` their key lies in."""
-    ranks = _ranked_keys(df, key, size).select(F.col(key).alias("_key"), "chunk_id")
-    return df.join(ranks, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    """Snapshot rows with the chunk of :func:`key_chunk_plan` their key lies in; rows are shuffled once, by ranges of the key."""
+    return ranked(df, [], [key], rank="_rn", dense=True).withColumn("chunk_id", chunk_of(F.col("_rn"), 1, size)).drop("_rn")
+
+
+def sql_literal(value: object, quote: str = "'", binary: str = "0x{}") -> str:
+    """A key value in the source's SQL; ``binary`` is its form of a byte string, with hex digits put in."""
+    if isinstance(value, (bytes, bytearray)):
+        return binary.format(bytes(value).hex().upper())
+    if isinstance(value, bool):
+        return str(int(value))
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    return quote + str(value).replace(quote, quote * 2) + quote
+
+
+def key_ranges(lows: Sequence[object], literal: Callable[[object], str], key: str) -> list[str]:
+    """Conditions of the ranges between ascending first keys; the first is open below and takes nulls, the last open above."""
+    texts = [literal(v) for v in lows[1:]]
+    if not texts:
+        return ["1 = 1"]
+    first = f"({key} < {texts[0]} OR {key} IS NULL)"
+    return [first, *[f"({key} >= {a} AND {key} < {b})" for a, b in zip(texts, texts[1:])], f"{key} >= {texts[-1]}"]
 
 
-def jdbc_predicates(plan: DataFrame, key: str, quote: str = "'") -> list[str]:
-    """One condition per chunk of a plan, for ``spark.read.jdbc(predicates=...)``; together they take every row once.
+def jdbc_predicates(plan: DataFrame, key: str, quote: str = "'", binary: str = "0x{}") -> list[str]:
+    """One condition per chunk of a plan, for ``spark.read.jdbc(predicates=...)``.
 
-    The list is as long as the plan has chunks; choose ``size`` so that those are few.
+    Together they take every row once if the plan was made in the order the source compares the key by: for text give
+    :func:`key_chunk_plan` the source's collation, or use :func:`hash_predicates`, which need no order. The list is as long
+    as the plan has chunks; choose ``size`` so that those are few.
     """
     chunks = plan.orderBy("chunk_id").select("lo").collect()
+    return key_ranges([r.lo for r in chunks], lambda v: sql_literal(v, quote, binary), key)
 
-    def literal(v) -> str:
-        return str(v) if isinstance(v, (int, float)) else quote + str(v).replace(quote, quote * 2) + quote
 
-    lows = [literal(r.lo) for r in chunks[1:]]
-    if not lows:
-        return ["1 = 1"]
-    first = f"({key} < {lows[0]} OR {key} IS NULL)"
-    return [first, *[f"({key} >= {a} AND {key} < {b})" for a, b in zip(lows, lows[1:])], f"{key} >= {lows[-1]}"]
+def hash_predicates(hashed: str, chunks: int) -> list[str]:
+    """One condition per chunk by a hash in the source's SQL (such as ``CHECKSUM(guid)``), whatever order it compares keys in.
+
+    The hash must be a whole number; rows where it is null are in the first chunk.
+    """
+    place = f"({hashed}) % {chunks}"
+    # a remainder has the sign of its dividend in most dialects
+    return [f"({place} = 0 OR ({hashed}) IS NULL)", *[f"{place} IN ({k}, {k - chunks})" for k in range(1, chunks)]]
 
 
 def read_chunks(df: DataFrame, key: str, lowest: int, first: int, last: int, size: int = CHUNK_SIZE) -> DataFrame:
@@ -119,11 +148,35 @@ def jdbc_snapshot(
     columns: Sequence[str] | None = None,
     size: int = CHUNK_SIZE,
     connections: int = CONNECTIONS,
+    collation: str | None = None,
+    hashed: str | None = None,
 ) -> DataFrame:
-    """Snapshot of a database table; with a whole-number key it is read in parallel ranges."""
-    plain = spark.read.format("jdbc").options(**dict(options) | {"fetchsize": str(FETCH_SIZE)}).load()
-    bounds = key_bounds(plain, key) if key else None
-    if bounds:
-        chosen = jdbc_chunk_options(options, key, bounds, size, connections)
-        plain = spark.read.format("jdbc").options(**chosen).load()
+    """Snapshot of a database table, read in parallel parts.
+
+    A whole-number key is cut into even ranges. Keys of other types (text, GUID, binary, decimal) are cut by rank in the source's
+    order: name the ``collation`` it compares text by, or give ``hashed``, a whole-number hash in its SQL, and parts need no order.
+    A text key without either is an error, as parts in another order would lose or double rows.
+    """
+    plain_options = dict(options) | {"fetchsize": str(FETCH_SIZE)}
+    plain = spark.read.format("jdbc").options(**plain_options).load()
+    if hashed:
+        plain = _jdbc_parts(spark, plain_options, hash_predicates(hashed, connections))
+    elif key and isinstance(plain.schema[key].dataType, IntegralType):
+        bounds = key_bounds(plain, key)
+        if bounds:
+            plain = spark.read.format("jdbc").options(**jdbc_chunk_options(options, key, bounds, size, connections)).load()
+    elif key:
+        if isinstance(plain.schema[key].dataType, StringType) and not collation:
+            raise ValueError(f"text key {key}: name the collation its source compares it by (UTF8_BINARY for bytes), or give a hash")
+        plan = key_chunk_plan(plain, key, size, collation)
+        # chunks are joined so that the source sees no more connections than wanted
+        chunks = plan.agg(F.max("chunk_id")).first()[0]
+        together = -(-((chunks or 0) + 1) // connections)
+        plan = plan.where(F.col("chunk_id") % together == 0)
+        plain = _jdbc_parts(spark, plain_options, jdbc_predicates(plan, key))
     return plain.select(*columns) if columns else plain
+
+
+def _jdbc_parts(spark: SparkSession, options: Mapping[str, str], predicates: list[str]) -> DataFrame:
+    rest = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=predicates, properties=rest)

@@ -7,16 +7,40 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, VariantType
+from pyspark.sql.types import (
+    ArrayType,
+    CalendarIntervalType,
+    DataType,
+    DayTimeIntervalType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    VariantType,
+    YearMonthIntervalType,
+)
 
 from rowtide.functions.digests import row_text
 from rowtide.operators.changes import OP, SEQ, as_state, live_rows
-from rowtide.sources.merge_store import BUCKET, TABLE_NAME, MergeStore, bucket_of
+from rowtide.sources.merge_store import BASE_SHARE, BUCKET, TABLE_NAME, MergeStore, bucket_of
 
 ROW_KEY = "row_key"
 PAYLOAD = "payload"
 
 
+def _as_variant(kind: DataType) -> bool:
+    """Whether values of a type come back from a variant as they were."""
+    if isinstance(kind, StructType):
+        return all(_as_variant(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _as_variant(kind.elementType)
+    if isinstance(kind, MapType):
+        return isinstance(kind.keyType, StringType) and _as_variant(kind.valueType)
+    return not isinstance(kind, (DayTimeIntervalType, YearMonthIntervalType, CalendarIntervalType))
+
+
 @dataclass(frozen=True)
 class TableSpec:
     keys: Sequence[str]
@@ -25,7 +49,8 @@ class TableSpec:
 
 def tagged(changes: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Changes of one table in the shape of the shared feed: its row is a struct named like it."""
-    return changes.select(F.lit(table).alias(TABLE_NAME), OP, SEQ, F.struct(*columns).alias(table))
+    quoted = [F.col(f"`{c.replace('`', '``')}`").alias(c) for c in columns]
+    return changes.select(F.lit(table).alias(TABLE_NAME), OP, SEQ, F.struct(*quoted).alias(table))
 
 
 def tagged_union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -45,6 +70,9 @@ class TableSet:
 
     def __init__(self, spark: SparkSession, root: str, tables: Mapping[str, TableSpec], buckets: int = 16):
         self.tables = dict(tables)
+        refused = [f"{t}.{f.name}" for t, spec in self.tables.items() for f in spec.schema.fields if not _as_variant(f.dataType)]
+        if refused:
+            raise ValueError(f"columns that a set of tables cannot keep (maps need text keys, intervals have no variant form): {refused}")
         self.buckets = buckets
         row = StructType(
             [
@@ -64,7 +92,7 @@ class TableSet:
 
     def _placed(self, feed: DataFrame) -> DataFrame:
         def key_of(name: str, spec: TableSpec):
-            fields = [F.col(f"{name}.{k}") for k in spec.keys]
+            fields = [F.col(name).getField(k) for k in spec.keys]
             return F.when(F.col(TABLE_NAME) == name, row_text(fields, [spec.schema[k].dataType for k in spec.keys]))
 
         unknown = F.raise_error(F.concat(F.lit("change of a table that is not in the set: "), F.coalesce(TABLE_NAME, F.lit("null"))))
@@ -103,6 +131,10 @@ class TableSet:
     def compact(self) -> int:
         return len(self.store.compact())
 
+    def fold(self, share: float = BASE_SHARE) -> int:
+        """Fold deltas into one another, or into the base where they have come to ``share`` of it."""
+        return len(self.store.fold(share))
+
     def vacuum(self, keep: int = 2) -> int:
         return self.store.vacuum(keep)
 

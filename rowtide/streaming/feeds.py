@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from rowtide.sources.merge_store import KeyedTable
+from rowtide.sources.merge_store import BASE_SHARE, KeyedTable
 from rowtide.sources.table_set import TableSet
 
 # A batch is flushed after this time, these bytes or these rows.
@@ -75,23 +75,30 @@ def stream_into(
     trigger: dict | None = None,
     compact_every: int | None = None,
     keep: int = 2,
+    share: float = BASE_SHARE,
 ) -> StreamingQuery:
     """Apply a feed to a keyed table or a set of tables, one delta per micro-batch.
 
     A batch replayed after a failure is a second delta with the same changes, which alters nothing. With
-    ``compact_every`` the writer itself folds its deltas in after every so many batches and deletes what the last
-    ``keep`` versions do not need, so a stream may run for weeks. Give each query its own checkpoint and target.
+    ``compact_every`` the writer itself folds its deltas after every so many batches, into the base once they come to
+    ``share`` of it, and deletes what the last ``keep`` versions do not need, so a stream may run for weeks. Give each
+    query its own checkpoint and target.
     """
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         target.apply(rows, batch_id)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            target.compact()
-            target.vacuum(keep)
+        tidy(target, batch_id, compact_every, keep, share)
 
     return _start(feed.writeStream.foreachBatch(batch), checkpoint, trigger)
 
 
+def tidy(target: KeyedTable | TableSet, batch_id: int, every: int | None, keep: int, share: float = BASE_SHARE) -> None:
+    """Fold a stream's deltas after every so many batches and delete what is no longer read."""
+    if every and (batch_id + 1) % every == 0:
+        target.fold(share)
+        target.vacuum(keep)
+
+
 def stream_append(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Append a stream without key to a folder; the sink's log keeps rows from being doubled."""
     writer = rows.writeStream.format("parquet").outputMode("append").option("path", path)

@@ -16,9 +16,10 @@ from rowtide.functions.measures import tier
 from rowtide.operators.activity import CATEGORY, READS, TOTAL, WRITES
 from rowtide.operators.changes import OP, SEQ, UPDATE, latest_change_per_key, op_rank
 from rowtide.sources.merge_store import KeyedTable
-from rowtide.streaming.feeds import _start
+from rowtide.streaming.feeds import _start, tidy
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _RANK = "change_rank"
 _PAYLOAD = "change_payload"
 _JSON = {
@@ -29,7 +30,7 @@ _JSON = {
 
 def use_rocksdb(spark: SparkSession) -> None:
     """Keep streaming state in RocksDB: larger than memory, checkpointed by difference."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set(_PROVIDER, ROCKSDB)
 
 
 def _latest(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
@@ -78,7 +79,8 @@ def latest_by_state(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     text, so its types are not touched. Of changes with equal seq and op every payload passes, and
     the receiver settles them as :func:`rowtide.operators.changes.latest_change_per_key` does.
     """
-    use_rocksdb(feed.sparkSession)
+    if feed.sparkSession.conf.get(_PROVIDER, "") != ROCKSDB:
+        raise ValueError("keyed state of this kind needs RocksDB: call use_rocksdb(spark) first")
     keys = list(keys)
     payload = StructType([f for f in feed.schema.fields if f.name not in {*keys, SEQ, OP}])
     packed = feed.select(
@@ -123,8 +125,10 @@ def stream_activity(
     high: int,
     low: int,
     trigger: dict | None = None,
+    compact_every: int | None = None,
+    keep: int = 2,
 ) -> StreamingQuery:
-    """Live counters and tier per entity.
+    """Live counters and tier per entity; deltas are folded as :func:`rowtide.streaming.feeds.stream_into` does.
 
     The counters are a streaming aggregate, combined before the shuffle. Each batch hands on only
     the entities it touched, as upserts into ``target``; a tier can change with any of them. Their ``seq`` goes on from the
@@ -140,5 +144,6 @@ def stream_activity(
     def upsert(batch: DataFrame, batch_id: int) -> None:
         changes = batch.withColumns({OP: F.lit(UPDATE), SEQ: F.lit(start + batch_id).cast("bigint")})
         target.apply(changes, batch_id)
+        tidy(target, batch_id, compact_every, keep)
 
     return _start(running.writeStream.outputMode("update").foreachBatch(upsert), checkpoint, trigger)

@@ -11,6 +11,7 @@ from rowtide.plans.replication import JobRule, TableRule, job_feed, jobs_from_pl
 from rowtide.session import workspace
 from rowtide.sources import sinks
 from rowtide.sources import snapshot as snap
+from rowtide.sources.incremental import IncrementalSnapshot
 from rowtide.sources.merge_store import KeyedTable
 from rowtide.sources.table_set import TableSet, TableSpec, tagged, tagged_union
 from suite import standins as st
@@ -92,6 +93,43 @@ def snapshot_then_changes(spark, sf):
     return both.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
 
 
+@query(final_sql())
+def incremental_snapshot(spark, sf):
+    """Chunks read while the orders change, by a run that ends after two chunks and another that goes on, then the rest of the feed."""
+    base, feed = st.base(spark, sf), st.feed(spark, sf)
+    progress, target = workspace(spark, "incremental"), keyed_orders(spark, "incremental-target", base)
+    last = feed.agg(F.max("seq")).first()[0]
+    at = iter(range(0, 100))
+
+    def position() -> int:
+        """The source moves on by a twelfth of its changes whenever it is asked."""
+        return min(last, last * next(at) // 12)
+
+    def read(chunk):
+        now = last * (4 * chunk.number + 1) // 24  # between the chunk's marks
+        return ch.apply_changes(base, feed.where(F.col("seq") <= now), KEY).where(chunk.condition("o_orderkey"))
+
+    first = IncrementalSnapshot(spark, target, progress)
+    first.plan(base, size=base.count() // 4)
+    first.run(read, position, lambda: feed, most=2)
+    target.apply(feed.where(F.col("seq") <= last // 3), 100)
+    IncrementalSnapshot(spark, target, progress).run(read, position, lambda: feed)
+    target.apply(feed, 101)
+    return shown(target.read())
+
+
+@query(final_sql(OUT + ", case when o_orderstatus in ('U', 'V', 'S', 'N', 'R') then o_orderkey * 2 end as o_points"))
+def schema_change(spark, sf):
+    """A column added after the load and after the first changes: rows from before have null in it."""
+    base, feed = st.base(spark, sf), st.feed(spark, sf)
+    target = keyed_orders(spark, "schema-change", base)
+    target.load(base)
+    wider = feed.withColumn("o_points", F.col("o_orderkey") * 2)
+    target.change_schema(wider.drop("op", "seq").schema)
+    target.apply(wider, 0)
+    return target.read().withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+
+
 @query(final_sql())
 def upsert_sink(spark, sf):
     base, feed = st.base(spark, sf), st.feed(spark, sf)
@@ -313,18 +351,25 @@ def reconcile_counts(spark, sf):
     return ch.reconcile_counts({"orders": base, "customer": customer}, {"orders": final, "customer": customer})
 
 
-@query(
-    f"""with {st.applied_sql()}
+RECONCILED_SQL = f"""with {st.applied_sql()}
     select coalesce(b.o_orderkey, f.o_orderkey) as o_orderkey,
            case when f.o_orderkey is null then 'missing' when b.o_orderkey is null then 'extra' else 'different' end as status
     from base b full outer join final f on b.o_orderkey = f.o_orderkey
     where b.o_custkey is distinct from f.o_custkey or b.o_orderstatus is distinct from f.o_orderstatus
        or b.o_totalprice is distinct from f.o_totalprice"""
-)
+
+
+@query(RECONCILED_SQL)
 def reconcile_rows(spark, sf):
     return ch.reconcile_rows(*_versions(spark, sf), KEY)
 
 
+@query(RECONCILED_SQL)
+def reconcile_tree(spark, sf):
+    """The same by digests of key ranges."""
+    return ch.reconcile_tree(*_versions(spark, sf), KEY)
+
+
 _JOB = JobRule(
     tables={
         "orders": TableRule(["o_orderkey"], exclude_columns=["o_custkey"], specs=[ColumnSpec("o_orderstatus", "char", length=2)]),

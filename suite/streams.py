@@ -116,6 +116,7 @@ def stream_exactly_once(spark, sf):
 @query(LIVE_USERS_SQL)
 def keyed_state_latest(spark, sf):
     """Latest change per user held in the stream's own state; what passes ends as the live users."""
+    state.use_rocksdb(spark)
     passed = state.latest_by_state(user_changes(event_stream(spark, sf)), ["user_id"])
     path, checkpoint = workspace(spark, "passed"), workspace(spark, "passed-progress")
 

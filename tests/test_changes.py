@@ -1,6 +1,8 @@
 import random
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from rowtide.operators import changes as ch
 from rowtide.operators import diff
@@ -105,3 +107,53 @@ def test_digests_of_nested_values(spark):
     assert df.select(digest_of(df, df.columns)).distinct().count() == len(values)
     turned = spark.createDataFrame([(["null"], {"b": 2, "a": 1}, ("1", [1]))], kinds)
     assert turned.select(digest_of(turned, turned.columns)).first() == df.limit(1).select(digest_of(df, df.columns)).first()
+
+
+def test_null_and_unknown_ops_are_refused(spark, rows):
+    base = spark.createDataFrame([(1, "a")], "id int, v string")
+    for op in (None, "D"):
+        feed = spark.createDataFrame([(1, "b", op, 1)], "id int, v string, op string, seq long")
+        with pytest.raises(Exception, match="op is one of"):
+            ch.apply_changes(base, feed, ["id"]).collect()
+        known, other = ch.known_ops(feed)
+        assert known.count() == 0 and other.count() == 1
+
+
+def test_tree_finds_what_the_full_comparison_finds(spark, rows):
+    rng = random.Random(5)
+    data = [(i, rng.choice(["x", None]), float(rng.randrange(3))) for i in range(500)] + [(None, "n", 0.0)]
+    left = spark.createDataFrame(data, "id int, v string, f double")
+    changed = [(i, v, -f if f == 0 else f) for i, v, f in data if i not in (3, 77)]
+    changed[10] = (changed[10][0], "other", 1.0)
+    right = spark.createDataFrame([*changed, (9999, "new", 0.0)], left.schema)
+    found = rows(ch.reconcile_tree(left, right, ["id"], bits=6))
+    assert found == rows(ch.reconcile_rows(left, right, ["id"])) and len(found) == 4
+    assert ch.reconcile_tree(left, left, ["id"]).count() == 0
+    assert rows(ch.reconcile_tree(left.limit(0), left.limit(3), ["id"])) == rows(ch.reconcile_rows(left.limit(0), left.limit(3), ["id"]))
+
+
+def test_tree_shuffles_rows_of_differing_ranges_only(spark):
+    left = spark.range(20_000).select("id", F.col("id").cast("string").alias("v"))
+    right = left.withColumn("v", F.when(F.col("id") == 77, "changed").otherwise(F.col("v")))
+    found = ch.reconcile_tree(left, right, ["id"], bits=10)
+    assert [tuple(r) for r in found.collect()] == [(77, "different")]
+    node = found._jdf.queryExecution().executedPlan()
+    written = [int(x) for x in re.findall(r"shuffle records written=(\d+)", shuffle_metrics(node))]
+    assert written and sum(written) < 200
+
+
+def shuffle_metrics(plan) -> str:
+    """The final plan's shuffles with the records they wrote."""
+    out, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+            continue
+        if node.nodeName() == "Exchange":
+            out.append(f"shuffle records written={node.metrics().apply('shuffleRecordsWritten').value()}")
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return " ".join(out)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowtide.operators import changes as ch
-from rowtide.session import workspace
+from rowtide.session import child_folders, folder_bytes, workspace
 from rowtide.sources import sinks
 from rowtide.sources import snapshot as snap
 from rowtide.sources.merge_store import KeyedTable
@@ -60,7 +60,7 @@ def test_late_change_does_not_bring_a_deleted_row_back(spark, rows, target):
 def test_delta_without_commit_is_not_read(spark, rows, target):
     target.load(base(spark, BASE))
     stray = target._placed(feed(spark, FEED))
-    target.store._write_parts(stray, f"{target.store.root}/delta/1-0-stray")
+    target.store._write_parts(stray, f"{target.store.root}/delta/1-0-0-stray")
     assert rows(target.read()) == BASE
 
 
@@ -261,3 +261,83 @@ def test_key_must_be_selected(spark):
 
 def test_live_rows_of_latest(spark, rows):
     assert rows(ch.live_rows(ch.latest_change_per_key(feed(spark, FEED), ["id"]))) == [r for r in FINAL if r[0] != 6]
+
+
+def test_unknown_columns_and_ops_are_refused(spark, rows, target):
+    target.load(base(spark, BASE))
+    with pytest.raises(ValueError, match="'w'"):
+        target.apply(feed(spark, FEED).withColumn("w", F.lit(1)), 0)
+    target.apply(feed(spark, FEED).withColumn("w", F.lit(1)), 0, ignore=["w"])
+    known = rows(target.read())
+    for op in (None, "D", ""):
+        with pytest.raises(Exception, match="op is one of"):
+            target.apply(feed(spark, [(1, "x", 1, op, 99)]), 1)
+    assert rows(target.read()) == known
+
+
+def test_failed_attempts_go_with_the_next_vacuum(spark, rows, target):
+    target.load(base(spark, BASE))
+    target.store._write_parts(target._placed(feed(spark, FEED)), f"{target.store.root}/delta/1-0-0-failed")
+    target.apply(feed(spark, FEED), 0)
+    before = rows(target.read())
+    assert target.vacuum() == 1 and len(child_folders(spark, f"{target.store.root}/delta")) == 1
+    assert rows(target.read()) == before
+
+
+def test_commits_bound_a_read_whatever_their_batch_numbers(spark, rows, target):
+    target.load(base(spark, BASE))
+    for k, (batch, v) in enumerate([(0, "one"), (1, "two"), (0, "three")]):  # a new checkpoint counts from 0 again
+        target.apply(feed(spark, [(6, v, k, "u", k + 1)]), batch)
+    assert [rows(target.read(upto=k).where("id = 6"))[0][1] for k in range(3)] == ["one", "two", "three"]
+    target.compact()
+    with pytest.raises(ValueError):
+        target.read(upto=1)
+    assert rows(target.read(upto=2)) == rows(target.read())
+
+
+def test_folding_costs_as_much_as_the_batches(spark, rows):
+    """Ten batches over a base many times their size: few open deltas, and each row is rewritten a few times only."""
+    target = KeyedTable(spark, workspace(spark, "fold"), ["id"], base(spark, BASE).schema, buckets=1)
+    target.load(spark.range(40_000).select(F.col("id").cast("int"), F.col("id").cast("string").alias("v"), F.lit(1).alias("n")))
+    written, one = 0, None
+    for k in range(10):
+        changed = spark.range(k * 100, k * 100 + 300).select(F.col("id").cast("int"), F.lit(f"b{k}").alias("v"), F.lit(2).alias("n"), F.lit("u").alias("op"), F.lit(k).cast("long").alias("seq"))
+        target.apply(changed.coalesce(1), k)
+        one = one or folder_bytes(spark, f"{target.store.root}/delta")
+        if k % 2:
+            before = {d.name for d in target.store._marks()}
+            assert target.fold(share=0.9) == 0
+            written += sum(folder_bytes(spark, f"{target.store.root}/delta/{d.name}") for d in target.store._marks() if d.name not in before)
+    target.vacuum(keep=1)
+    assert len(target.store.open_deltas()) <= 4 and written <= 3 * 10 * one
+    want = {i: (str(i), 1) for i in range(40_000)} | {i: (f"b{k}", 2) for k in range(10) for i in range(k * 100, k * 100 + 300)}
+    assert {r.id: (r.v, r.n) for r in target.read().collect()} == want
+    assert target.fold(share=0.0) == 1 and target.store.open_deltas() == []
+    assert {r.id: (r.v, r.n) for r in target.read().collect()} == want
+
+
+def test_columns_are_added_and_types_widened(spark, rows):
+    root = workspace(spark, "evolve")
+    narrow = spark.createDataFrame([(1, 5), (2, 6)], "id int, n int")
+    target = KeyedTable(spark, root, ["id"], narrow.schema, buckets=2)
+    target.load(narrow)
+    target.apply(spark.createDataFrame([(3, 7, "c", 1)], "id int, n int, op string, seq long"), 0)
+    wide = spark.createDataFrame([(2, 2**40, "x", "u", 2)], "id int, n long, t string, op string, seq long")
+    for refused in ("id long, n int", "id int", "id int, n string"):
+        with pytest.raises(ValueError):
+            target.change_schema(spark.createDataFrame([], refused).schema)
+    target.change_schema(wide.drop("op", "seq").schema)
+    target.apply(wide, 1)
+    want = [(1, 5, None), (2, 2**40, "x"), (3, 7, None)]
+    assert rows(target.read()) == want
+    target.compact()
+    again = KeyedTable(spark, root, ["id"], wide.drop("op", "seq").schema, buckets=2)
+    assert rows(again.read()) == want and again.store.stored_schema().names == ["id", "n", "t", "op", "seq"]
+    with pytest.raises(ValueError, match="another schema"):
+        KeyedTable(spark, root, ["id"], narrow.schema, buckets=2).apply(wide.select("id", F.col("n").cast("int"), "op", "seq"), 2)
+
+
+def test_sets_of_tables_refuse_types_they_cannot_keep(spark):
+    for kind in ("map<int,string>", "interval day to second", "array<map<int,int>>"):
+        with pytest.raises(ValueError, match="t.x"):
+            TableSet(spark, workspace(spark, "set"), {"t": TableSpec(["id"], spark.createDataFrame([], f"id int, x {kind}").schema)})

@@ -68,6 +68,7 @@ def test_state_lets_only_later_changes_pass(spark):
         feed(spark, part).coalesce(1).write.mode("append").parquet(path)
     stream = feeds.change_stream(spark, path, SCHEMA, max_files=1)
     passed = []
+    state.use_rocksdb(spark)
     writer = state.latest_by_state(stream, ["id"]).writeStream.outputMode("update")
     query = writer.foreachBatch(lambda df, k: passed.append([tuple(r) for r in df.collect()]))
     feeds.run_available(query.option("checkpointLocation", workspace(spark, "p")).trigger(availableNow=True).start())
@@ -85,6 +86,7 @@ def test_ties_reach_the_receiver(spark, rows):
     for row in tie:
         feed(spark, [row]).coalesce(1).write.mode("append").parquet(path)
     passed = []
+    state.use_rocksdb(spark)
     writer = state.latest_by_state(feeds.change_stream(spark, path, SCHEMA, max_files=1), ["id"]).writeStream
     query = writer.outputMode("update").foreachBatch(lambda df, k: passed.extend(tuple(r) for r in df.collect()))
     feeds.run_available(query.option("checkpointLocation", workspace(spark, "p")).trigger(availableNow=True).start())
