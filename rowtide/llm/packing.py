@@ -77,9 +77,9 @@ def _units(word: str) -> tuple[str, ...]:
     core = word.rstrip(".,;:!?|")
     if not core.isalpha() or "\u03a3" in core:  # the capital sigma's lower case depends on its place
         return (word,)
-    low = core.lower()
-    if not low.isalpha():
-        low = core
+    low = unicodedata.normalize("NFC", core).lower()
+    if not low.isalpha():  # a mark that the tokenizer's own lower case or composition leaves would join what follows
+        return (word,)
     return (low, word[len(core) :]) if len(core) < len(word) else (low,)
 
 

@@ -4,6 +4,8 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from rowtide.llm import packing
@@ -30,6 +32,32 @@ def test_ids_equal_the_tokenizers(tokenizer, spark):
         assert known.ids(w) + b"\2\0\0\0" == ids_of(tokenizer, text).tobytes()
 
 
+MARKED = ["ANONİM ŞİRKETİ.", "İSTANBUL İLİ,", "İ.", "okİ|", "\u0958|", "x\u0958!", "e\u0301.", "\u212b,", "ΣΑΣ.", "ŉ.", "ǰ|", "Ω;"]
+
+
+def check(known, tokenizer, text):
+    words = text.encode().split()
+    known.learn([words])
+    assert known.ids(words) + b"\2\0\0\0" == ids_of(tokenizer, text).tobytes(), text
+
+
+def test_letters_whose_lower_case_ends_in_a_mark(tokenizer):
+    known = packing.WordIds(PATH)
+    for text in MARKED:
+        check(known, tokenizer, text)
+
+
+_KNOWN = packing.WordIds(PATH)
+_LETTERS = st.characters(categories=["L", "M"], codec="utf-8")
+_ANY = st.one_of(_LETTERS, st.sampled_from(list(".,;:!?|'-") + ["İ", "\u0958", "\u0307", " "]), st.characters(codec="utf-8"))
+
+
+@settings(max_examples=3000, deadline=None)
+@given(st.text(_ANY, max_size=6), st.sampled_from(["", ".", ",", "|", "!?", ";x"]))
+def test_any_letters_before_punctuation(text, end):
+    check(_KNOWN, _KNOWN.tokenizer, text + end)
+
+
 def test_every_id_in_one_piece_without_gaps(documents, odd_rows, tokenizer):
     rows = odd_rows + [(100 + i, "some words " * (i % 90)) for i in range(300)]
     docs = documents(rows, parts=4)
