@@ -24,28 +24,70 @@ MARK = b"."
 _PLAIN = bytes.maketrans(b",;:!?\n\v\f\r\t", MARK * 9 + b" ")
 #: One word in so many triggers a cut; without one a chunk is cut at ``LONGEST`` words and marks.
 MODULUS, LONGEST = 16, 96
-#: Chunks a task's dictionary holds before it hands them on; phrases and words a task holds per language, and how many of these.
+#: Chunks a task's dictionary holds before it hands them on.
 MOST_HELD = 300_000
-MOST_SUMMED, MOST_RAW, MOST_WORDS, MOST_LANGS = 2_000_000, 500_000, 600_000, 8
 #: The broadcast filter of frequent phrases has so many bits (16 MB) whatever the input.
 FILTER_BITS = 27
 _BUCKET = 32_768  # bits of one row of Spark's bitmap aggregates
 _SALTS = 64
 
 
-def marked_words(text: bytes) -> list[bytes]:
-    """Words of a text, A-Z lower-cased, and a mark for every sign or line end that phrases may not cross."""
-    return text.lower().translate(_PLAIN).replace(MARK, b" . ").split()
+def marked_words(text: bytes) -> bytes:
+    """Words of a text, A-Z lower-cased, and a mark for every sign or line end that phrases may not cross; one space between."""
+    return b" ".join(text.lower().translate(_PLAIN).replace(MARK, b" . ").split())
 
 
-def chunks(words: list[bytes], reach: int, modulus: int = MODULUS, longest: int = LONGEST) -> Iterator[tuple[bytes, int]]:
+class _Powers:
+    """Powers of an odd number and of its inverse modulo 2^64, as many as were ever needed at once."""
+
+    base = 0x9E3779B97F4A7C15
+    inverse = pow(base, -1, 1 << 64)
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def grow(self, n: int) -> None:
+        if len(self.up) < n:
+            factors = [np.full(2 * n, f, np.uint64) for f in (self.base, self.inverse)]
+            for f in factors:
+                f[0] = 1
+            self.up, self.down = (np.multiply.accumulate(f) for f in factors)
+
+
+_POWERS = _Powers()
+
+
+def word_table(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and 64-bit hash of every word of a text with single spaces between words.
+
+    A word's hash is a difference of prefix sums over the bytes, so all are had without a loop over words.
+    """
+    codes = np.frombuffer(data, np.uint8)
+    spaces = np.flatnonzero(codes == 32)
+    starts = np.concatenate([[0], spaces + 1])
+    ends = np.concatenate([spaces, [len(codes)]])
+    _POWERS.grow(len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * _POWERS.up[: len(codes)], out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * _POWERS.down[starts]
+    hashes ^= hashes >> np.uint64(32)
+    hashes *= np.uint64(0xD6E8FEB86659FD93)
+    hashes ^= hashes >> np.uint64(29)
+    return starts, ends, hashes
+
+
+def chunks(data: bytes, reach: int, modulus: int = MODULUS, longest: int = LONGEST) -> Iterator[tuple[bytes, int]]:
     """Overlapping chunks of marked words: text with ``reach`` words of what follows, and how many words are its own."""
-    triggers = np.flatnonzero(word_hashes(words) % np.uint64(modulus) == 0).tolist()
+    if not data:
+        return
+    starts, ends, hashes = word_table(data)
+    triggers = np.flatnonzero(hashes % np.uint64(modulus) == 0).tolist()
+    starts, ends, last = starts.tolist(), ends.tolist(), len(ends) - 1
     start = 0
-    for end in [*triggers, len(words)]:
+    for end in [*triggers, last + 1]:
         while start < end:
             cut = min(end, start + longest)
-            yield b" ".join(words[start : cut + reach]), cut - start
+            yield data[starts[start] : ends[min(cut + reach - 1, last)]], cut - start
             start = cut
 
 
@@ -92,7 +134,7 @@ def dictionary(docs: DataFrame, reach: int = 2, modulus: int = MODULUS) -> DataF
 
 
 def _salt(lang: str) -> np.uint64:
-    return word_hashes([b"\x00" + lang.encode()])[0]
+    return word_hashes([lang.encode()])[0]
 
 
 def slots(hashes: np.ndarray, salts: np.ndarray | np.uint64) -> np.ndarray:
@@ -100,173 +142,61 @@ def slots(hashes: np.ndarray, salts: np.ndarray | np.uint64) -> np.ndarray:
     return ((hashes ^ salts) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - FILTER_BITS)
 
 
-class Vocabulary(dict):
-    """Numbers of a language's words from 1 on; 0 for the mark and for words whose bit in the filter is not set."""
-
-    def __init__(self, salt: np.uint64, bits: np.ndarray | None):
-        super().__init__({MARK: 0})
-        self.salt, self.bits = salt, bits
-        self.words = [MARK]
-        self._hashes = np.zeros(1, np.uint64)
-
-    def __missing__(self, word: bytes) -> int:
-        number = 0
-        if self.bits is None or set_bits(self.bits, slots(windows(word_hashes([word]), 1), self.salt))[0]:
-            number = len(self.words)
-            self.words.append(word)
-        self[word] = number
-        return number
-
-    def hashes(self) -> np.ndarray:
-        """Hashes of the words by number."""
-        if len(self._hashes) < len(self.words):
-            self._hashes = np.concatenate([self._hashes, word_hashes(self.words[len(self._hashes) :])])
-        return self._hashes
-
-
-class Tally:
-    """Weighted counts of keys, gathered raw and summed by sorting once there are many."""
-
-    def __init__(self):
-        self.keys: list[np.ndarray] = []
-        self.weights: list[np.ndarray] = []
-        self.raw = self.summed = 0
-
-    def add(self, keys: np.ndarray, weights: np.ndarray) -> None:
-        self.keys.append(keys)
-        self.weights.append(weights)
-        self.raw += len(keys)
-        if self.raw > self.summed + MOST_RAW:
-            self.sums()
-
-    def sums(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, weights = np.concatenate(self.keys), np.concatenate(self.weights)
-        order = np.argsort(keys)
-        keys = keys[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-        found = keys[first], np.add.reduceat(weights[order], first) if len(keys) else weights
-        self.keys, self.weights = [found[0]], [found[1]]
-        self.raw = self.summed = len(first)
-        return found
-
-
 def set_bits(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-class _Counter:
-    """Phrases of ``size`` words of one language's chunks. A phrase is one number made of its words' numbers."""
-
-    def __init__(self, lang: str, size: int, bits: np.ndarray | None):
-        self.lang, self.size, self.bits = lang, size, bits
-        self.shift = 63 // size
-        self.clear()
-
-    def clear(self) -> None:
-        salt = _salt(self.lang)
-        # the filter holds phrases one word shorter: of pairs, the words themselves
-        self.vocabulary = Vocabulary(salt, self.bits if self.size == 2 else None)
-        self.tally = Tally()
-
-    def full(self) -> bool:
-        known = len(self.vocabulary)
-        return self.tally.summed > MOST_SUMMED or known > MOST_WORDS or known >> self.shift > 0
-
-    def add(self, texts: list[bytes], own: list[int], n: list[int]) -> None:
-        words = b" . ".join(texts).split(b" ")
-        ids = np.fromiter(map(self.vocabulary.__getitem__, words), np.int64, len(words))
-        if len(self.vocabulary.words) >> self.shift:  # more words than fit: each part by itself
-            if len(texts) == 1 and not self.tally.raw:
-                raise ValueError(f"a chunk of more than {1 << self.shift} different words")
-            raise _Overflow
-        lengths = np.array([t.count(b" ") + 2 for t in texts])  # with the mark between two chunks
-        lengths[-1] -= 1
-        ends = np.cumsum(lengths)
-        places = len(words) - self.size + 1
-        if places <= 0:
-            return
-        fits = (np.arange(ends[-1]) - np.repeat(ends - lengths, lengths) < np.repeat(own, lengths))[:places]
-        for k in range(self.size):
-            fits = fits & (ids[k : k + places] > 0)
-        if self.size > 2:
-            shorter = windows(self.vocabulary.hashes()[ids], self.size - 1)
-            frequent = set_bits(self.bits, slots(shorter, self.vocabulary.salt))
-            fits &= frequent[:places] & frequent[1 : places + 1]
-        found = np.flatnonzero(fits)
-        keys = ids[found]
-        for k in range(1, self.size):
-            keys = (keys << self.shift) | ids[found + k]
-        self.tally.add(keys, np.repeat(np.array(n, np.int64), lengths)[found])
-
-    def batches(self) -> Iterator[pa.RecordBatch]:
-        keys, weights = self.tally.sums() if self.tally.keys else (np.empty(0, np.int64), np.empty(0, np.int64))
-        mask, words = (1 << self.shift) - 1, self.vocabulary.words
-        for at in range(0, len(keys), 20_000):
-            part = keys[at : at + 20_000]
-            columns = [map(words.__getitem__, ((part >> (self.shift * k)) & mask).tolist()) for k in reversed(range(self.size))]
-            phrases = list(columns[0]) if self.size == 1 else list(map(b" ".join, zip(*columns)))
-            langs = pa.array([self.lang], pa.string()).take(pa.array(np.zeros(len(part), np.int32)))
-            yield pa.RecordBatch.from_arrays([langs, _binary(phrases), pa.array(weights[at : at + 20_000])], ["lang", "phrase", "n"])
-
-
-class _Overflow(Exception):
-    pass
-
-
 def _phrases(size: int, filtered: Broadcast | None):
-    """Phrases of ``size`` words of dictionary chunks with their weighted counts, combined inside the task."""
+    """Phrases of ``size`` words of dictionary chunks with their weighted counts, combined for every batch; Spark combines these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if filtered is None else np.frombuffer(filtered.value, np.uint8)
-        counters: dict[str, _Counter] = {}
-
-        def counted(lang: str, texts: list, own: list, n: list) -> Iterator[pa.RecordBatch]:
-            if lang not in counters:
-                if len(counters) >= MOST_LANGS:
-                    for c in counters.values():
-                        yield from c.batches()
-                    counters.clear()
-                counters[lang] = _Counter(lang, size, bits)
-            counter = counters[lang]
-            try:
-                counter.add(texts, own, n)
-            except _Overflow:
-                yield from counter.batches()
-                counter.clear()
-                half = (len(texts) + 1) // 2
-                yield from counted(lang, texts[:half], own[:half], n[:half])
-                if texts[half:]:
-                    yield from counted(lang, texts[half:], own[half:], n[half:])
-                return
-            if counter.full():
-                yield from counter.batches()
-                counter.clear()
-
         for batch in batches:
-            for at in range(0, batch.num_rows, 4000):
-                parts: dict[str, tuple[list, list, list]] = {}
-                for lang, *row in zip(*(c.to_pylist() for c in batch.slice(at, 4000).columns)):
-                    if lang not in parts:
-                        parts[lang] = ([], [], [])
-                    for values, value in zip(parts[lang], row):
-                        values.append(value)
-                for lang, columns in parts.items():
-                    yield from counted(lang, *columns)
-        for c in counters.values():
-            yield from c.batches()
+            if batch.num_rows:
+                yield _counted(size, bits, *(batch.column(k).to_pylist() for k in range(4)))
 
     return run
 
 
+def _counted(size: int, bits: np.ndarray | None, langs: list, texts: list, own: list, n: list) -> pa.RecordBatch:
+    data = b" . ".join(texts)
+    starts, ends, hashes = word_table(data)
+    lengths = np.array([t.count(b" ") + 2 for t in texts])  # with the mark between two chunks
+    lengths[-1] -= 1
+    firsts = np.cumsum(lengths) - lengths
+    of = np.repeat(np.arange(len(texts)), lengths)
+    known = {lang: _salt(lang) for lang in set(langs)}
+    salts = np.array([known[lang] for lang in langs], np.uint64)[of]
+    places = max(0, len(hashes) - size + 1)
+    is_word = (ends - starts != 1) | (np.frombuffer(data, np.uint8)[starts] != MARK[0])
+    fits = (np.arange(len(of)) - firsts[of] < np.array(own)[of])[:places]
+    for k in range(size):
+        fits = fits & is_word[k : k + places]
+    if bits is not None:
+        shorter = windows(hashes, size - 1)
+        frequent = set_bits(bits, slots(shorter, salts[: len(shorter)]))
+        fits &= frequent[:places] & frequent[1 : places + 1]
+    at = np.flatnonzero(fits)
+    keys = (windows(hashes, size)[at] ^ salts[at]) * np.uint64(0xBF58476D1CE4E5B9)
+    order = np.argsort(keys)
+    keys, at = keys[order], at[order]
+    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    counts = np.add.reduceat(np.array(n, np.int64)[of[at]], new) if len(keys) else np.empty(0, np.int64)
+    at = at[new]
+    phrases = [data[s:e] for s, e in zip(starts[at].tolist(), ends[at + size - 1].tolist())]
+    columns = [pa.array(langs, pa.string()).take(pa.array(of[at])), _binary(phrases), pa.array(counts)]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
+
+
 def _slots_of(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             langs = batch.column(0).to_pylist()
-            salts = {lang: _salt(lang) for lang in set(langs)}
-            words = [p.split(b" ") for p in batch.column(1).to_pylist()]
-            flat = word_hashes([w for ws in words for w in ws])
-            hashes = windows(flat, size)[::size] if len(flat) else flat
-            at = slots(hashes, np.array([salts[lang] for lang in langs], np.uint64))
+            known = {lang: _salt(lang) for lang in set(langs)}
+            hashes = word_table(b" ".join(batch.column(1).to_pylist()))[2]
+            at = slots(windows(hashes, size)[::size], np.array([known[lang] for lang in langs], np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64))], ["slot"])
 
     return run

@@ -2,7 +2,6 @@ import random
 import re
 from collections import Counter, defaultdict
 
-import pyarrow as pa
 import pytest
 
 from rowtide.llm import collocations as co
@@ -78,9 +77,10 @@ def test_empty_table(table):
 
 
 def test_chunks_own_every_word_once():
-    words = co.marked_words(b"One, two three. " * 50 + b"x y " * 300)
+    data = co.marked_words(b"One, two three. " * 50 + b"x y " * 300)
+    words = data.split(b" ")
     for reach in (1, 2, 3):
-        parts = list(co.chunks(words, reach, modulus=4, longest=20))
+        parts = list(co.chunks(data, reach, modulus=4, longest=20))
         assert sum(own for _, own in parts) == len(words)
         assert [w for text, own in parts for w in text.split(b" ")[:own]] == words
         assert all(len(t.split(b" ")) <= own + reach for t, own in parts)
@@ -99,36 +99,17 @@ def test_scores_are_exact_beyond_64_bits(spark):
         assert row.select(co.exact_score()).first()[0] == 1_000_000 * a * a // (left * right)
 
 
-def test_small_bounds_change_nothing():
-    """Tasks that may hold very little hand on the same counts."""
-    rng = random.Random(4)
-    texts = [b" ".join(rng.choices([b"a", b"b", b"c", b".", b"d"], k=rng.randint(1, 9))) for _ in range(400)]
-    rows = [(rng.choice("xyz"), t, rng.randint(1, t.count(b" ") + 1), rng.randint(1, 3)) for t in texts]
-    table = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.binary(), pa.int32(), pa.int64()))], ["lang", "chunk", "own", "n"])
-    want = Counter()
-    for lang, text, own, n in rows:
-        words = text.split()
-        for i in range(min(own, len(words))):
-            if b"." not in words[i : i + 1]:
-                want[lang, words[i]] += n
-    bounds = {"MOST_SUMMED": 2, "MOST_RAW": 3, "MOST_WORDS": 2, "MOST_LANGS": 2}
-    usual = {k: getattr(co, k) for k in bounds}
-    try:
-        for given in (usual, bounds):
-            for k, v in given.items():
-                setattr(co, k, v)
-            got = Counter()
-            for batch in co._phrases(1, None)(iter([table.slice(0, 150), table.slice(150)])):
-                for row in batch.to_pylist():
-                    got[row["lang"], row["phrase"]] += row["n"]
-            assert got == want
-    finally:
-        for k, v in usual.items():
-            setattr(co, k, v)
+def test_word_table():
+    words = [b"a", b".", b"ab", b"a", "été".encode(), b"\x00", b"\x00\x00", b"x" * 300, b"ab", b"ba"]
+    starts, ends, hashes = co.word_table(b" ".join(words))
+    data = b" ".join(words)
+    assert [data[s:e] for s, e in zip(starts, ends)] == words
+    assert len(set(hashes.tolist())) == len(set(words)) and hashes[0] == hashes[3] and hashes[2] == hashes[8]
+    many = [str(k * k).encode() for k in range(50_000)]
+    assert len(set(co.word_table(b" ".join(many))[2].tolist())) == len(set(many))
 
 
 def test_many_words_in_phrases_of_many_words(table, rows):
-    """Five words leave 12 bits a word; more different words than that are counted in parts."""
     rng = random.Random(8)
     data = [("en", " ".join(f"w{rng.randrange(6000)}" for _ in range(300)) + " one two three four five six") for _ in range(40)]
     assert rows(co.collocations(table(data), most_words=5, least=8)) == brute(data, most_words=5, least=8)
