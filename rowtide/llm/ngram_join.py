@@ -43,9 +43,37 @@ def prefix(tokens: np.ndarray, classes: np.ndarray, order: int) -> np.ndarray:
     return tokens[np.argsort(key, kind="stable")[: prefix_length(len(tokens))]]
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """A bit per bucket of hashes: whether it holds an odd number of the set's tokens. About as many bits as tokens, at least 64."""
+    size = max(6, int(len(tokens) - 1).bit_length())
+    counts = np.bincount((tokens >> np.uint64(64 - size)).astype(np.int64), minlength=1 << size)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def may_link(n: int, bits: bytes, m: int, others: bytes) -> bool:
+    """False only where two sets of ``n`` and ``m`` tokens differ in too many to be linked.
+
+    Every bucket of unequal parity holds a token that one set alone has, and linked sets differ in a ninth of their sizes' sum
+    at most. The longer bits are folded to the length of the shorter: neighbouring buckets become one.
+    """
+    x, y = (np.unpackbits(np.frombuffer(b, np.uint8)) for b in (bits, others))
+    while len(x) > len(y):
+        x = x[::2] ^ x[1::2]
+    while len(y) > len(x):
+        y = y[::2] ^ y[1::2]
+    return int(np.count_nonzero(x != y)) * (100 + LEAST) <= (100 - LEAST) * (n + m)
+
+
+def _near_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(a, b) for a, b, n, x, m, y in zip(*(c.to_pylist() for c in batch.columns)) if may_link(n, x, m, y)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["a", "b"])
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "key", "n", "cid", "chunk", "counts"]
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    names = ["doc_id", "key", "n", "cid", "bits", "chunk", "counts"]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
     counts = np.zeros(1 << BITS, np.int32)
     for batch in batches:
         rows = []
@@ -54,11 +82,11 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             slots = tokens >> np.uint64(64 - BITS)  # ascending, as the tokens are
             if len(slots):
                 np.add.at(counts, slots.astype(np.int64), 1)
-            rows.append((doc_id, key, len(tokens), set_id(tokens), None, None))
+            rows.append((doc_id, key, len(tokens), set_id(tokens), parity(tokens) if len(tokens) else None, None, None))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
     parts = counts.reshape(CHUNKS, -1)
-    rows = [(None, None, None, None, i, parts[i].tobytes()) for i in range(CHUNKS) if parts[i].any()]
+    rows = [(None, None, None, None, None, i, parts[i].tobytes()) for i in range(CHUNKS) if parts[i].any()]
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -264,17 +292,31 @@ def _verified(classes: Broadcast):
 def _links(docs: DataFrame, rows: DataFrame, pairs: DataFrame, classes: Broadcast) -> DataFrame:
     """Those of ``pairs`` (a, b: set ids) that are linked, stored.
 
-    One text per class in a pair is read again; texts travel instead of sets, as they pack to a fraction.
+    Pairs whose parities differ too much go before any text is read. Then one text per class in a pair is read again, found by its
+    id and hash; texts travel instead of sets, as they pack to a fraction.
     """
-    wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    one = stored(rows.join(wanted, "cid", "left_semi").groupBy("cid").agg(F.min("doc_id").alias("_id")), "wanted")
-    one = broadcast_if_small(one)
-    texts = stored(docs.join(one, docs["doc_id"].eqNullSafe(one["_id"])).select("cid", "text"), "texts")
+    places = rows.join(_members(pairs), "cid", "left_semi").groupBy("cid", "doc_id", "key")
+    places = places.agg(F.count("*").alias("_rows"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    one = places.groupBy("cid").agg(F.min(F.struct("doc_id", "key", "_rows")).alias("_at"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    one = stored(one, "wanted")
+    sides = [one.select(F.col("cid").alias(c), F.col("n").alias(f"_n{c}"), F.col("bits").alias(f"_bits{c}")) for c in ("a", "b")]
+    near = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "_na", "_bitsa", "_nb", "_bitsb")
+    pairs = stored(near.mapInArrow(_near_enough, "a long, b long"), "near_pairs")
+    places = one.join(_members(pairs), "cid", "left_semi").select("cid", F.col("_at.doc_id").alias("_id"), F.col("_at.key").alias("_key"), "_at._rows")
+    places = broadcast_if_small(stored(places, "places"))
+    keyed = docs.withColumn("_text_key", _text_key())
+    found = keyed.join(places, keyed["doc_id"].eqNullSafe(places["_id"]) & (keyed["_text_key"] == places["_key"]))
+    again = found.where("_rows > 1").dropDuplicates(["cid"])  # rows repeated whole
+    texts = stored(found.where("_rows = 1").unionByName(again).select("cid", "text"), "texts")
     both = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("_ta")), "a")
     both = both.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("_tb")), "b").select("a", "b", "_ta", "_tb")
     return stored(both.mapInArrow(_verified(classes), "a long, b long"), "links")
 
 
+def _members(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """doc_id, ``n_shingles`` and ``component_id`` of every row of ``docs`` (doc_id, text).
 
@@ -304,8 +346,8 @@ def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with shingles: doc_id, ``key`` of the text, ``n`` shingles and component ``_c``, stored; and all rows: doc_id, key, n, cid."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = docs.select("doc_id", "text", _text_key().alias("key"))
-    seen = stored(signed.mapInArrow(_signatures, "doc_id long, key long, n long, cid long, chunk int, counts binary"), "signatures")
-    rows = seen.where("chunk is null").select("doc_id", "key", "n", "cid")
+    seen = stored(signed.mapInArrow(_signatures, "doc_id long, key long, n long, cid long, bits binary, chunk int, counts binary"), "signatures")
+    rows = seen.where("chunk is null").select("doc_id", "key", "n", "cid", "bits")
     classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(seen.where("chunk is not null").select("chunk", "counts")))
     width = shuffle_width(docs.sparkSession)
     posted = docs.select("text").mapInArrow(_postings(classes), "token long, cid long, n int, pos int")
@@ -348,13 +390,14 @@ def drop_near(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_n", (F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (F.col("key") == F.col("_first.key"))).alias("_stays")
     )
     marked = stored(marked, "marked")
-    keyed = docs.withColumn("_text_key", _text_key())
+    # the row as one struct, so that no column of it can clash
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("row_id"), _text_key().alias("text_key"))
 
     def on(side: DataFrame) -> Column:
-        return (keyed["_text_key"] == side["_key"]) & keyed["doc_id"].cast("long").eqNullSafe(side["_id"])
+        return (keyed["text_key"] == side["_key"]) & keyed["row_id"].eqNullSafe(side["_id"])
 
     gone = broadcast_if_small(marked.where("not _stays or _n > 1"))
     kept = keyed.join(gone, on(gone), "left_anti")
     twice = broadcast_if_small(marked.where("_stays and _n > 1"))
-    one = keyed.join(twice, on(twice), "left_semi").dropDuplicates(["doc_id", "_text_key"])
-    return kept.unionByName(one).drop("_text_key")
+    one = keyed.join(twice, on(twice), "left_semi").dropDuplicates(["row_id", "text_key"])
+    return kept.unionByName(one).select("row.*")

@@ -4,6 +4,8 @@ from collections import Counter
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from rowtide.llm import components, ngram_join
 
 
@@ -94,6 +96,40 @@ def test_empty_table(documents):
     assert ngram_join.near_classes(none).count() == ngram_join.drop_near(none).count() == 0
 
 
+def test_parity_never_parts_what_is_linked():
+    rng = np.random.default_rng(3)
+    rejected = 0
+    for _ in range(600):
+        n = int(rng.integers(1, 400))
+        a = np.unique(rng.integers(0, 2**64, n, np.uint64))
+        kept = a[rng.random(len(a)) < rng.choice([0.5, 0.8, 0.85, 0.9, 1.0])]
+        b = np.unique(np.concatenate([kept, rng.integers(0, 2**64, int(rng.integers(0, 1 + n // 8)), np.uint64)]))
+        if len(b):
+            passed = ngram_join.may_link(len(a), ngram_join.parity(a), len(b), ngram_join.parity(b))
+            assert passed or not ngram_join.is_linked(a, b)
+            rejected += not passed
+    assert rejected > 50
+    a, b = (np.unique(rng.integers(0, 2**64, 500, np.uint64)) for _ in range(2))
+    assert not ngram_join.may_link(500, ngram_join.parity(a), 500, ngram_join.parity(b))
+
+
+def test_texts_read_again_are_one_per_class(documents, monkeypatch):
+    """Rows without an id, and rows repeated whole, don't multiply."""
+    read = []
+    monkeypatch.setattr(ngram_join, "stored", lambda df, label, keep=ngram_join.stored: read.append((label, keep(df, label))) or read[-1][1])
+    words = [f"w{i}" for i in range(80)]
+    rows = [(None, " ".join(words[:k] + ["x"] + words[k:])) for k in range(1, 60)] * 2
+    assert got(documents(rows)) == expected(rows)
+    texts = [df.count() for label, df in read if label == "texts"]
+    assert texts and max(texts) <= 59
+
+
+def test_clashing_names_stay(documents):
+    docs = documents([(1, "a b c d e f g h"), (2, "a b c d e f g h"), (3, "z")]).withColumns({c: F.lit(c) for c in ("_text_key", "text_key", "row", "row_id")})
+    out = ngram_join.drop_near(docs)
+    assert out.columns == docs.columns and sorted((r.doc_id, r._text_key, r.row) for r in out.collect()) == [(1, "_text_key", "row"), (3, "_text_key", "row")]
+
+
 def test_common_order_gives_prefixes_that_meet():
     rnd = np.random.default_rng(1)
     classes = rnd.integers(0, 40, 1 << ngram_join.BITS).astype(np.uint8)
