@@ -84,15 +84,16 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     groups = groups.where("_rows > 1")
     ids = alive.groupBy("full", "n_bytes", "prefix_hash", "doc_id").agg(F.count("*").alias("_n"))
     marked = stored(ids.join(groups, "full").select("full", "n_bytes", "prefix_hash", F.col("doc_id").alias("_id"), F.col("_id").eqNullSafe(F.col("_keep")).alias("_stays"), "_n"), "marked")
-    keyed = docs.withColumns({"_n_bytes": _n_bytes(), "_prefix": _prefix_hash()})
+    # the row as one struct, so that no column of it can clash
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("row_id"), _n_bytes().alias("row_bytes"), _prefix_hash().alias("row_prefix"))
 
     def on(side: DataFrame) -> Column:
-        same = (keyed["_n_bytes"] == side["n_bytes"]) & (keyed["_prefix"] == side["prefix_hash"]) & keyed["doc_id"].cast("long").eqNullSafe(side["_id"])
+        same = (keyed["row_bytes"] == side["n_bytes"]) & (keyed["row_prefix"] == side["prefix_hash"]) & keyed["row_id"].eqNullSafe(side["_id"])
         # both are 64 characters; an equality would be a join key, and those are computed for every row
-        return same & F.contains(full_hash(keyed["text"]), side["full"])
+        return same & F.contains(full_hash(keyed["row"]["text"]), side["full"])
 
     gone = broadcast_if_small(marked.where("not _stays or _n > 1"))
     kept = keyed.join(gone, on(gone), "left_anti")
     twice = broadcast_if_small(marked.where("_stays and _n > 1"))
-    one = keyed.join(twice, on(twice), "left_semi").withColumn("_full", full_hash()).dropDuplicates(["_full", "doc_id"]).drop("_full")
-    return kept.unionByName(one).drop("_n_bytes", "_prefix")
+    one = keyed.join(twice, on(twice), "left_semi").withColumn("row_full", full_hash(F.col("row.text"))).dropDuplicates(["row_full", "row_id"])
+    return kept.unionByName(one.drop("row_full")).select("row.*")

@@ -125,3 +125,11 @@ def test_numbers_restart_per_group(spark):
         by[r.g].append((r.v, r.row_no))
     for g, found in by.items():
         assert [n for _, n in sorted(found)] == list(range(len(found)))
+
+
+def test_clashing_names_stay(documents):
+    names = ["_n_bytes", "_prefix", "_full", "row", "row_id", "row_full"]
+    docs = documents([(1, "same"), (2, "SAME"), (2, "SAME"), (3, "other")]).withColumns({c: F.lit(c) for c in names})
+    out = exact.drop_exact(docs)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id, *[r[c] for c in names]) for r in out.collect()) == [(2, *names), (3, *names)]
