@@ -198,10 +198,13 @@ def labelled_sample(labels: DataFrame, most_labels: int) -> DataFrame:
 def rules_from_labels(statistics: DataFrame, sample: DataFrame, **options) -> list[Rule]:
     """Rules from a bounded ``sample`` of labels and the ``statistics`` of their documents.
 
-    Rows that fail the base rule are not learned from: the list only judges the others.
+    Rows that fail the base rule are not learned from: the list only judges the others. Of documents that share an id the one
+    with the least statistics stands for it, so no more rows than labels reach the driver.
     """
     rows = statistics.where(~base_failed()).join(F.broadcast(sample), "doc_id")  # bounded by the sample
-    rows = rows.select("doc_id", "quality", *[c.alias(k) for k, c in ratios().items()]).orderBy("doc_id", "quality", *RATIOS).toPandas()
+    shares = F.struct(*[c.alias(k) for k, c in ratios().items()])
+    rows = rows.groupBy("doc_id", "quality").agg(F.min(shares).alias("_r")).select("doc_id", "quality", "_r.*")
+    rows = rows.orderBy("doc_id", "quality", *RATIOS).toPandas()
     if not len(rows):
         return []
     return learn_rules(rows[list(RATIOS)].to_numpy(float), rows["quality"].to_numpy() == 0, RATIOS, **options)

@@ -112,9 +112,13 @@ def fit_ordinal(
 
 
 def graded_sample(docs: DataFrame, grades: DataFrame, most_labels: int) -> DataFrame:
-    """Texts of at most ``most_labels`` graded documents (doc_id, grade), chosen by hash of their id."""
+    """Texts of at most ``most_labels`` graded documents (doc_id, grade), chosen by hash of their id.
+
+    Where an id repeats in ``docs`` the text of the smallest hash stands for it, so rows are never more than the labels.
+    """
     few = grades.where("grade is not null and doc_id is not null").orderBy(F.xxhash64("doc_id"), "grade").limit(most_labels)
-    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")  # bounded by most_labels
+    known = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")  # bounded by most_labels
+    return known.groupBy("doc_id", "grade").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
 
 def _slots_of(bits: int):

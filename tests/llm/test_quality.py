@@ -83,3 +83,13 @@ def test_empty_tables(spark, documents):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.keep_good(docs, none).count() == 1
     assert quality.keep_good(docs.where("false"), none).count() == 0
+
+
+def test_rules_take_one_row_a_label_where_ids_repeat(spark, documents, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "learn_rules", lambda x, bad, names, **options: seen.append(x) or [])
+    words = "one two three four five six seven eight nine ten eleven twelve"
+    docs = documents([(1, f"{words} w{k}") for k in range(200)] + [(2, words)])
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    quality.rules_from_labels(quality.text_statistics(docs), quality.labelled_sample(labels, 10))
+    assert len(seen[0]) == 2

@@ -67,3 +67,10 @@ def test_score_is_the_sum_over_words(documents):
 def test_best_cut():
     assert toxicity.best_cut(np.array([3.0, 2.0, 1.0, 0.0]), np.array([True, True, False, False]), 9) == 1.5
     assert toxicity.best_cut(np.array([1.0, 1.0]), np.array([False, False]), 9) == 9
+
+
+def test_sample_has_one_row_a_label_where_ids_repeat(spark, documents):
+    docs = documents([(1, f"text {k}") for k in range(300)] + [(2, "b"), (3, None)])
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 1), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    sample = toxicity.graded_sample(docs, toxicity.label_grades(labels), 10).collect()
+    assert len(sample) == 3 and len({r.doc_id for r in sample}) == 3
