@@ -6,12 +6,17 @@ is capped by the plan itself.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import heapq
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from rowtide.functions.measures import TIERS
 from rowtide.operators.activity import CATEGORY, TOTAL, totals_by
-from rowtide.operators.ranking import Desc, chunk_groups, ranked
+from rowtide.operators.ranking import RANGE, Desc, Ranges, chunk_groups, ranked
+from rowtide.session import pinned
 
 # Name patterns a domain is read from, tried in order; and the fallback domain.
 CAPITALS_PREFIX = "^([A-Z]{2,})[A-Z][a-z]"
@@ -90,6 +95,63 @@ def union_job_outputs(outputs: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def _heaviest_first(amounts: list[int], jobs: int) -> tuple[list[int], list[int]]:
+    """Each amount, in order, to the job with the least so far; the jobs and their loads."""
+    loads = [(0, j) for j in range(jobs)]
+    given = []
+    for amount in amounts:
+        load, j = heapq.heappop(loads)
+        given.append(j)
+        heapq.heappush(loads, (load + amount, j))
+    return given, [load for load, _ in sorted(loads, key=lambda x: x[1])]
+
+
+def _water_level(loads: list[int], rest: int) -> list[int]:
+    """How much of ``rest`` each job takes so that the lowest loads rise to one level."""
+    order = sorted(range(len(loads)), key=loads.__getitem__)
+    room, level, filled = [0] * len(loads), 0, 0
+    for k, j in enumerate(order, 1):
+        filled += loads[j]
+        level = -(-(rest + filled) // k)
+        if k == len(order) or level <= loads[order[k]]:
+            break
+    for j in order[:k]:
+        room[j] = max(0, level - loads[j])
+    return room
+
+
+def balanced_by_amount(activity: DataFrame, entity: str, jobs: int, metric: str = TOTAL, head: int | None = None) -> DataFrame:
+    """Spread entities over jobs by their amounts: adds ``job_no`` (from 1).
+
+    The ``head`` heaviest (64 a job unless given; they come to the driver) go one by one to the job with the least so far. All others, each
+    lighter than those, fill the jobs up to one level in the order of their name, by running sums over ranges, so any number of them is
+    spread. The heaviest job has at most 4/3 of the least possible. A null or negative amount counts as 0.
+    """
+    head = head or 64 * jobs
+    sized = activity.withColumn("_amount", F.greatest(F.coalesce(F.col(metric), F.lit(0)), F.lit(0)).cast("bigint"))
+    heavy = pinned(sized.select(entity, "_amount").orderBy(F.desc("_amount"), F.asc_nulls_first(entity)).limit(head))
+    rows = heavy.orderBy(F.desc("_amount"), F.asc_nulls_first(entity)).collect()
+    given, loads = _heaviest_first([r["_amount"] for r in rows], jobs)
+    placed = activity.sparkSession.createDataFrame([(r[entity], j + 1) for r, j in zip(rows, given)], StructType([heavy.schema[entity], StructField("_job", IntegerType())]))
+    placed = placed.withColumnRenamed(entity, "_entity")
+    marked = sized.join(F.broadcast(placed), sized[entity].eqNullSafe(placed["_entity"]), "left").drop("_entity")
+    tail = marked.where("_job is null")
+    ranges = Ranges(tail, [], [entity, "_amount"])
+    sums = pinned(ranges.keys.groupBy(RANGE).agg(F.sum("_amount").alias("_sum")))
+    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    heads = sums.select(RANGE, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_earlier"))
+    inside = Window.partitionBy(RANGE).orderBy(F.asc_nulls_first(entity), "_amount").rowsBetween(Window.unboundedPreceding, -1)
+    run = tail.withColumn(RANGE, ranges.number)
+    run = ranges.with_shared(run.withColumn("_own", F.coalesce(F.sum("_amount").over(inside), F.lit(0))), heads)
+    room = _water_level(loads, sums.agg(F.coalesce(F.sum("_sum"), F.lit(0))).first()[0])
+    ends = list(accumulate(room))
+    at, job = F.col("_earlier") + F.col("_own"), F.lit(jobs)
+    for j in range(jobs - 1, 0, -1):  # nested, as a job has one interval of the running sum
+        job = F.when(at < ends[j - 1], j).otherwise(job)
+    done = marked.where("_job is not null").select(*activity.columns, F.col("_job").cast("bigint").alias("job_no"))
+    return done.unionByName(run.select(*activity.columns, job.cast("bigint").alias("job_no")))
+
+
 def balanced_plan(activity: DataFrame, entity: str, jobs: int, metric: str = TOTAL) -> DataFrame:
     """Spread entities over jobs by activity: ranked busiest first, dealt out forth and back."""
     numbered = ranked(activity, [], [Desc(metric), entity], rank="activity_rank")

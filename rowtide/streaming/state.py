@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from rowtide.functions.measures import tier
 from rowtide.operators.activity import CATEGORY, READS, TOTAL, WRITES
@@ -71,6 +71,65 @@ class _LatestOnly(StatefulProcessor):
         pass
 
 
+class _Silence(StatefulProcessor):
+    """Remembers when a key was last heard of; a timer tells when that is too long ago, and the key is forgotten."""
+
+    def __init__(self, keys: list[str], after_ms: int) -> None:
+        self.keys = keys
+        self.after_ms = after_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "ms bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterable[pd.DataFrame]:
+        heard = sorted({int(ms) for pdf in rows for ms in pdf["seen_ms"]})
+        first = last = self.last.get()[0] if self.last.exists() else None
+        if last is None:  # what is older than a silence that could have been told starts none
+            heard = [ms for ms in heard if ms + self.after_ms > timerValues.getCurrentWatermarkInMs()]
+        silences = []
+        for ms in heard:
+            if last is not None and ms - last >= self.after_ms:
+                silences.append(last)
+            last = ms if last is None else max(last, ms)
+        if last != first:
+            if first is not None:
+                self.handle.deleteTimer(first + self.after_ms)
+            self.last.update((last,))
+            self.handle.registerTimer(last + self.after_ms)
+        if silences:
+            yield self._told(key, silences)
+
+    def _told(self, key, silences: list[int]) -> pd.DataFrame:
+        return pd.DataFrame({**{k: [v] * len(silences) for k, v in zip(self.keys, key)}, "seen_ms": silences})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterable[pd.DataFrame]:
+        if self.last.exists():
+            last = self.last.get()[0]
+            self.last.clear()
+            yield self._told(key, [last])
+
+    def close(self) -> None:
+        pass
+
+
+def silent_keys(events: DataFrame, keys: Sequence[str], ts: str, after: str, delay: str) -> DataFrame:
+    """Live alert: keys not heard of for ``after`` (such as ``30 minutes``) of event time, with when they were last (``last_seen``).
+
+    A key is told once per silence and then forgotten, so state holds only keys heard of within ``after`` plus ``delay``. Events may be late
+    by ``delay``; a wall-clock ``ts`` is read in the session time zone, and rows without one are left out.
+    """
+    if events.sparkSession.conf.get(_PROVIDER, "") != ROCKSDB:
+        raise ValueError("keyed state of this kind needs RocksDB: call use_rocksdb(spark) first")
+    keys = list(keys)
+    timed = events.select(*keys, F.col(ts).cast("timestamp").alias("seen_at")).where(F.col("seen_at").isNotNull())
+    timed = timed.withWatermark("seen_at", delay).withColumn("seen_ms", F.unix_millis("seen_at"))
+    after_ms = int(timed.sparkSession.sql(f"select unix_millis(timestamp '1970-01-01 00:00:00Z' + interval {after})").first()[0])
+    out = StructType([*[timed.schema[k] for k in keys], StructField("seen_ms", LongType())])
+    found = timed.groupBy(*keys).transformWithStateInPandas(_Silence(keys, after_ms), outputStructType=out, outputMode="Append", timeMode="EventTime")
+    return found.select(*keys, F.timestamp_millis("seen_ms").alias("last_seen"))
+
+
 def latest_by_state(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Changes that move a key forward; stale and repeated ones are held back.
 

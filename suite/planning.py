@@ -92,3 +92,23 @@ def table_to_job(spark, sf):
 def balanced_plan(spark, sf):
     named = st.named_activity(spark, sf).select("name", "total_io")
     return jobs.balanced_plan(named, "name", 7)
+
+
+@query(
+    f"""with recursive r as (select name, total_io, row_number() over (order by total_io desc, name) as rn from ({st.NAMED_SQL})),
+    step(k, loads, job) as (select 0, [0, 0, 0, 0, 0, 0, 0]::bigint[], 0
+      union all select k + 1, list_transform(range(1, 8), lambda i: loads[i] + case when i = p then total_io else 0 end)::bigint[], p
+      from (select s.k, s.loads, r.total_io, list_position(s.loads, list_min(s.loads)) as p from step s join r on r.rn = s.k + 1 where s.k < 20)),
+    l as (select unnest(range(1, 8)) as j, unnest(loads) as load from (select loads from step order by k desc limit 1)),
+    o as (select j, load, row_number() over (order by load, j) as k, sum(load) over (order by load, j) as filled, lead(load) over (order by load, j) as higher from l),
+    v as (select k, ((select coalesce(sum(total_io), 0) from r where rn > 20) + filled + k - 1) // k as level, higher from o),
+    w as (select k, level from v where higher is null or level <= higher order by k limit 1),
+    e as (select j, sum(case when o.k <= w.k then greatest(0, w.level - load) else 0 end) over (order by j) as up_to from o, w),
+    t as (select name, total_io, coalesce(sum(total_io) over (order by name rows between unbounded preceding and 1 preceding), 0) as at from r where rn > 20)
+    select name, total_io, cast(job as bigint) as job_no from r join step on step.k = rn where rn <= 20
+    union all select name, total_io, cast(coalesce((select min(j) from e where j < 7 and t.at < e.up_to), 7) as bigint) from t"""
+)
+def balanced_by_amount(spark, sf):
+    """The heaviest 20 one by one to the lightest job, the others by running sums."""
+    named = st.named_activity(spark, sf).select("name", "total_io")
+    return jobs.balanced_by_amount(named, "name", 7, head=20)

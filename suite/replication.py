@@ -235,6 +235,12 @@ def latest_change_per_key(spark, sf):
     return latest.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
 
 
+@query(f"with feed as ({st.feed_sql()}), latest as ({st.latest_sql('feed', 'o_orderkey')}) select {OUT}, op, seq from latest")
+def latest_change_by_hash(spark, sf):
+    latest = ch.latest_change_by_hash(st.feed(spark, sf), KEY)
+    return latest.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+
+
 @query(final_sql())
 def apply_changes(spark, sf):
     return shown(ch.apply_changes(st.base(spark, sf), st.feed(spark, sf), KEY))

@@ -157,3 +157,19 @@ def shuffle_metrics(plan) -> str:
             out.append(f"shuffle records written={node.metrics().apply('shuffleRecordsWritten').value()}")
         todo += [node.children().apply(i) for i in range(node.children().size())]
     return " ".join(out)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_latest_by_hash_is_the_latest(spark, rows, seed):
+    rng = random.Random(seed)
+    big = [None, -(2**63), 2**63 - 1, 0, 1]
+    data = [(rng.choice([None, *range(8)]), rng.choice(["x", "y", None]), rng.randrange(3), rng.choice("rcud"), rng.choice(big)) for _ in range(300)]
+    changes = feed(spark, data)
+    assert rows(ch.latest_change_by_hash(changes, ["id"])) == rows(ch.latest_change_per_key(changes, ["id"]))
+    assert ch.latest_change_by_hash(changes.limit(0), ["id"]).count() == 0
+
+
+def test_latest_by_hash_does_not_sort_the_feed(spark, capsys):
+    ch.latest_change_by_hash(feed(spark, FEED), ["id"]).explain()
+    plan = capsys.readouterr().out
+    assert re.search(r"HashAggregate\(keys=\[id#\d+\], functions=\[partial_max\(_place", plan)

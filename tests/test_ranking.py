@@ -148,3 +148,41 @@ def test_many_small_groups_and_names_of_its_own(spark):
 def test_only_keys_are_kept(spark):
     wide = spark.range(100).select("id", *[F.lit("x" * 50).alias(f"c{k}") for k in range(9)])
     assert Ranges(wide, [], ["id"]).keys.columns == ["id", "_rk_range"]
+
+
+def heaviest(df, jobs_n):
+    loads = [0] * jobs_n
+    for r in df.collect():
+        assert 1 <= r.job_no <= jobs_n
+        loads[r.job_no - 1] += max(0, r.total_io or 0)
+    return max(loads)
+
+
+def least_possible(amounts, jobs_n):
+    best = sum(amounts)
+    seen = {tuple([0] * jobs_n)}
+    for a in sorted(amounts, reverse=True):
+        seen = {tuple(sorted(s[:i] + (s[i] + a,) + s[i + 1 :])) for s in seen for i in range(jobs_n)}
+    return min(best, min(max(s) for s in seen))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_heaviest_job_is_at_most_four_thirds_of_the_least(spark, seed):
+    rng = random.Random(seed)
+    amounts = [rng.choice([rng.randrange(100), rng.randrange(10), 0]) for _ in range(9)]
+    df = spark.createDataFrame([(f"t{i}", a) for i, a in enumerate(amounts)] + [(None, None), ("neg", -5)], "name string, total_io bigint")
+    got = jobs.balanced_by_amount(df, "name", 3)
+    assert got.count() == len(amounts) + 2 and 3 * heaviest(got, 3) <= 4 * least_possible(amounts, 3)
+
+
+def test_the_tail_fills_the_jobs_to_one_level(spark):
+    rng = random.Random(2)
+    rows = [(f"t{i:04d}", rng.randrange(50)) for i in range(2000)] + [("a", 9000), ("b", 300), ("c", 200)]
+    df = spark.createDataFrame(rows, "name string, total_io bigint").repartition(5)
+    got = jobs.balanced_by_amount(df, "name", 5, head=12)
+    assert sorted((r.name, r.total_io) for r in got.collect()) == sorted(rows)
+    level = max(9000, -(-sum(a for _, a in rows) // 5))
+    assert heaviest(got, 5) <= level + 50
+    even = jobs.balanced_by_amount(df.where("total_io < 100"), "name", 5, head=12)
+    assert heaviest(even, 5) <= -(-sum(a for _, a in rows if a < 100) // 5) + 50
+    assert jobs.balanced_by_amount(df.limit(0), "name", 5).count() == 0

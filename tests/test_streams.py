@@ -113,3 +113,19 @@ def test_flush_policy():
     assert feeds.flush_policy(mean_file_rows=200_000.0)["max_files"] == 2
     assert feeds.flush_policy(mean_file_rows=10**6)["max_files"] == 1
     assert feeds.flush_policy()["trigger"] == {"processingTime": "10 seconds"}
+
+
+def test_silent_keys_are_told_once_and_forgotten(spark):
+    state.use_rocksdb(spark)
+    path, told = workspace(spark, "f"), []
+    at = datetime(2024, 1, 1)
+    minutes = [[(1, 0), (2, 0), (None, 1)], [(1, 8), (2, 5)], [(3, 17)], [(3, 24), (2, 4), (4, None)], [(1, 25)], [(3, 50)]]
+    for batch in minutes:
+        rows = [(k, None if m is None else at + timedelta(minutes=m)) for k, m in batch]
+        spark.createDataFrame(rows, "id int, ts timestamp_ntz").coalesce(1).write.mode("append").parquet(path)
+    stream = feeds.change_stream(spark, path, "id int, ts timestamp_ntz", max_files=1)
+    silent = state.silent_keys(stream, ["id"], "ts", after="10 minutes", delay="1 minute")
+    query = silent.writeStream.outputMode("append").foreachBatch(lambda df, k: told.extend(tuple(r) for r in df.collect()))
+    feeds.run_available(query.option("checkpointLocation", workspace(spark, "p")).trigger(availableNow=True).start())
+    found = sorted((k, (t - at).total_seconds() / 60) for k, t in told if k is not None) + [(k, (t - at).total_seconds() / 60) for k, t in told if k is None]
+    assert found == [(1, 8), (1, 25), (2, 5), (3, 24), (None, 1)]
