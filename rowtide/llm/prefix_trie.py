@@ -160,7 +160,7 @@ def _subtree_sums(nodes: DataFrame, chain: DataFrame, band: int) -> DataFrame:
 
 # -- digests of the conversations that end at a node ----------------------------------------------
 
-_BLOB = 1 << 20
+_BLOB = 1 << 15
 _RUNS = "a long, b long, first long, sha256 string, ids binary"
 
 
@@ -200,7 +200,7 @@ def _run_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blobs (a, b, ids) of whole nodes in order: digests, one blob in memory at a time."""
+    """Blobs (a, b, ids) of whole nodes in order: digests; a batch of Arrow holds some thousand blobs of 32 KB."""
     node, digest, rows = None, None, []
     for batch in batches:
         for a, b, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
