@@ -89,7 +89,7 @@ def latest_change_per_key(
 def latest_change_by_hash(
     changes: DataFrame, keys: Sequence[str], seq: str = SEQ, op: str = OP
 ) -> DataFrame:
-    """The rows of :func:`latest_change_per_key`, for feeds with many changes a key.
+    """The rows of :func:`latest_change_per_key`, for feeds with very many changes a key; with few it is the slower form.
 
     Seq and op make one number of fixed width, so its maximum is kept in a hash table and the raw feed is not
     sorted. The feed is read again for the rows that have their key's maximum: a join that Catalyst broadcasts while
