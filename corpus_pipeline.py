@@ -19,18 +19,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts (A-Z in either case; null as empty): the one of the largest doc_id."""
     return exact.drop_exact(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies, of the smallest doc_id; documents without words all stay."""
     return ngram_join.drop_near(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mix; a null source belongs to the stream of all others."""
     return mixing.mixed(docs, queries.WEIGHTS, block_rows=32, seed=11)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 4096 tokens; a null text is its end token alone."""
     return packing.pack(docs, queries.TOKENIZER, end_id=2, room=4096)
 
 
