@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from rowtide.functions.digests import additive_digest, row_digest
 from rowtide.functions.typemap import FALLBACK_TYPE, rendered_type, stored_length, type_map_frame
 from rowtide.operators.selection import select_names, where_equal, without_system_names
+from rowtide.session import spread
 
 TABLE = ["table_schema", "table_name"]
 COLUMN = [*TABLE, "column_name"]
@@ -51,10 +52,13 @@ def primary_keys(constraints: DataFrame, usage: DataFrame) -> DataFrame:
 
 
 def key_by_position(keys: DataFrame, columns: DataFrame) -> DataFrame:
-    """Key columns numbered by their position in the table; columns not selected come last."""
-    known = columns.select(*COLUMN, "ordinal_position")
-    placed = keys.select(*COLUMN).distinct().join(known, COLUMN, "left")
-    placed = placed.withColumn("ordinal_position", F.coalesce("ordinal_position", F.lit(UNKNOWN_POSITION)))
+    """Key columns numbered by their position in the table; columns not selected come last.
+
+    Rows meet in tasks whose number grows with the input, so no task's share to sort does.
+    """
+    known = spread(columns.select(*COLUMN, "ordinal_position"), *COLUMN)
+    placed = spread(keys.select(*COLUMN), *COLUMN).distinct().join(known, COLUMN, "left")
+    placed = spread(placed.withColumn("ordinal_position", F.coalesce("ordinal_position", F.lit(UNKNOWN_POSITION))), *TABLE)
     order = Window.partitionBy(*TABLE).orderBy("ordinal_position", "column_name")
     return placed.withColumn("key_position", F.row_number().over(order))
 
@@ -160,11 +164,12 @@ def schema_checksum(columns: DataFrame, keys: DataFrame) -> DataFrame:
     """SHA-256 per table over all column attributes and the key with its order.
 
     Each column is hashed with its position and the hashes are added up, so a table is never
-    gathered in one place however many columns a catalog lists for it.
+    gathered in one place however many columns a catalog lists for it. They are combined in tasks whose
+    number grows with the input, as a task keeps a sum for each table it meets.
     """
     described = columns.select(*TABLE, F.lit("column").alias("_kind"), *[a for a in _ATTRIBUTES if a in columns.columns])
     keyed = keys.select(*TABLE, F.lit("key").alias("_kind"), "column_name", F.col("key_position").alias("ordinal_position"))
-    rows = described.unionByName(keyed, allowMissingColumns=True)
+    rows = spread(described.unionByName(keyed, allowMissingColumns=True), *COLUMN)
     fields = [F.col(c) for c in rows.columns if c not in TABLE]
     digest = additive_digest(row_digest(fields))
     return rows.groupBy(*TABLE).agg(F.sha2(digest, 256).alias("checksum"))

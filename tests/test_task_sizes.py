@@ -1,11 +1,43 @@
 """What a task or a batch holds does not grow with the input: tasks by the size of the files read, batches by the feed."""
 
-import pytest
+import re
 
+import pytest
+from rowtide import session
+from rowtide.operators import catalog as cat
 from rowtide.sources.merge_store import KeyedTable
 from suite import streams
 
 
+@pytest.fixture
+def small_tasks(monkeypatch):
+    monkeypatch.setattr(session, "TASK_BYTES", 512)
+
+
+@pytest.fixture
+def columns(spark, tmp_path):
+    path = str(tmp_path / "columns")
+    spark.range(2000).selectExpr(
+        "'s' as table_schema", "concat('T', id % 400) as table_name", "concat('c', id) as column_name", "'int' as data_type", "cast(id as int) as ordinal_position"
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_checksums_are_summed_in_tasks_by_input(spark, columns, small_tasks, capsys):
+    tasks = session.input_tasks(columns)
+    assert tasks > spark.sparkContext.defaultParallelism
+    keys = columns.where("ordinal_position % 3 = 0")
+    placed = cat.key_by_position(keys, columns)
+    assert placed.rdd.getNumPartitions() == tasks
+    sums = cat.schema_checksum(columns, placed)
+    sums.explain()
+    dealt = re.findall(r"hashpartitioning\(table_schema#\d+, table_name#\d+, column_name#\d+, (\d+)\), REPARTITION_BY_NUM", capsys.readouterr().out)
+    assert set(dealt) == {str(tasks)} and len(dealt) == 3
+    here = spark.createDataFrame(columns.collect(), columns.schema)  # read from no file
+    again = cat.schema_checksum(here, cat.key_by_position(here.where("ordinal_position % 3 = 0"), here))
+    assert sorted(map(tuple, sums.collect())) == sorted(map(tuple, again.collect()))
+
+
 @pytest.mark.parametrize("name", ["keyed_state_latest_jvm", "micro_batch_policy"])
 def test_batches_do_not_follow_the_shuffle_width(spark, tmp_path, monkeypatch, name):
     spark.range(20000).selectExpr(
