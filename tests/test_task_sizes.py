@@ -1,8 +1,11 @@
 """What a task or a batch holds does not grow with the input: tasks by the size of the files read, batches by the feed."""
 
+import glob
 import re
 
 import pytest
+from pyspark.sql import functions as F
+
 from rowtide import session
 from rowtide.operators import catalog as cat
 from rowtide.sources.merge_store import KeyedTable
@@ -38,6 +41,16 @@ def test_checksums_are_summed_in_tasks_by_input(spark, columns, small_tasks, cap
     assert sorted(map(tuple, sums.collect())) == sorted(map(tuple, again.collect()))
 
 
+def test_a_large_base_is_written_by_many_tasks(spark, tmp_path, small_tasks):
+    path = str(tmp_path / "rows")
+    spark.range(4000).select("id", F.col("id").cast("string").alias("v")).coalesce(1).write.parquet(path)
+    rows = spark.read.parquet(path)
+    target = KeyedTable(spark, str(tmp_path / "kept"), ["id"], rows.schema, 2)
+    target.load(rows)
+    assert len(glob.glob(f"{tmp_path}/kept/base/version=0/bucket=*/*.parquet")) > 2
+    assert sorted(map(tuple, target.read().collect())) == sorted(map(tuple, rows.collect()))
+
+
 @pytest.mark.parametrize("name", ["keyed_state_latest_jvm", "micro_batch_policy"])
 def test_batches_do_not_follow_the_shuffle_width(spark, tmp_path, monkeypatch, name):
     spark.range(20000).selectExpr(
