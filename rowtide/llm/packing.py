@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import os
-import struct
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from struct import pack as struct_pack
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -17,17 +17,22 @@ from pyspark.sql import functions as F
 from rowtide.llm.tables import stored
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, window long, offset long, open boolean, ids binary"
-#: Words whose ids a worker remembers.
-MOST_WORDS = 800_000
+#: Words whose ids a worker remembers in each of two generations.
+MOST_WORDS = 300_000
+#: Marks that stand apart from the letters before them.
+MARKS = ".,;:!?|#*$%&"
 
 
 class WordIds(dict):
-    """Ids of white-space separated words as little-endian bytes.
+    """Ids of white-space separated words as little-endian bytes, found as words are met.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words in turn.
     A word of letters is one unit of the tokenizer, and marks behind its last letter are another, so both are
-    looked up by themselves. Units of letters go straight to the tokenizer's merges, which spares the
+    looked up as words of their own. Words of small letters go straight to the tokenizer's merges, which spares the
     passes over white space and patterns that can't change them; all others take the whole tokenizer.
+
+    What is remembered does not grow with the input: beyond ``MOST_WORDS`` a new generation begins and the one before the
+    last is forgotten, so words that come again stay and those met once go.
     """
 
     def __init__(self, path: str):
@@ -36,30 +41,42 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.units: dict[str, bytes] = {}
+        self.merges = self.tokenizer.model.tokenize
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            if word.isalpha() and word.islower():  # of bytes: ASCII letters only
+                ids = [t.id for t in self.merges(word.decode())]
+                found = struct_pack(f"<{len(ids)}I", *ids)
+            else:
+                found = self._found(word)
+        self[word] = found
+        return found
+
+    def _found(self, word: bytes) -> bytes:
+        core = word.rstrip(_MARKS)
+        if core.isalpha():
+            return self[core.lower()] + self[word[len(core) :]] if len(core) < len(word) else self[core.lower()]
+        text = word.decode()
+        units = _units(text)
+        if units != (text,):
+            return b"".join([self[u.encode()] for u in units])
+        if text.isalpha() and text.islower() and unicodedata.is_normalized("NFC", text):
+            ids = [t.id for t in self.merges(word.decode("latin-1").translate(_BYTE_CHARS))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct_pack(f"<{len(ids)}I", *ids)
 
     def learn(self, texts: list[list[bytes]]) -> None:
-        new = {w for words in texts for w in words if w not in self}
-        if len(self) + len(new) > MOST_WORDS:
-            self.clear()
-            new = {w for words in texts for w in words}
-        if len(self.units) > MOST_WORDS:
-            self.units.clear()
-        units, merges = self.units, self.tokenizer.model.tokenize
-        for w in new:
-            found = b""
-            for unit in _units(w.decode()):
-                ids = units.get(unit)
-                if ids is None:
-                    if unit.isalpha() and unit.islower() and unicodedata.is_normalized("NFC", unit):
-                        ids = [t.id for t in merges(unit if unit.isascii() else unit.encode().decode("latin-1").translate(_BYTE_CHARS))]
-                    else:
-                        ids = self.tokenizer.encode(unit, add_special_tokens=False).ids
-                    units[unit] = ids = struct.pack(f"<{len(ids)}I", *ids)
-                found += ids
-            self[w] = found
+        for words in texts:
+            self.ids(words)
 
     def ids(self, words: list[bytes]) -> bytes:
+        if len(self) > MOST_WORDS:
+            self.older = dict(self)
+            self.clear()
         return b"".join(map(self.__getitem__, words))
 
 
@@ -71,10 +88,11 @@ def _byte_chars() -> dict[int, int]:
 
 
 _BYTE_CHARS = _byte_chars()
+_MARKS = MARKS.encode()
 
 
 def _units(word: str) -> tuple[str, ...]:
-    core = word.rstrip(".,;:!?|")
+    core = word.rstrip(MARKS)
     if not core.isalpha() or "\u03a3" in core:  # the capital sigma's lower case depends on its place
         return (word,)
     low = unicodedata.normalize("NFC", core).lower()
@@ -136,10 +154,8 @@ def _pack_texts(path: str, end_id: int, room: int, most: int, with_ids: bool):
             rows.extend((*piece[:5], base + number, offset, is_open, piece[5]) for offset, piece in items)
 
         for batch in _cut(batches):
-            texts = [(t or "").encode("utf-8", "replace").split() for t in batch.column(1).to_pylist()]
-            words.learn(texts)
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts):
-                ids = words.ids(text) + end_id.to_bytes(4, "little")
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                ids = words.ids((text or b"").split()) + end_id.to_bytes(4, "little")
                 total = len(ids) // 4
                 for start in range(0, total, room):
                     part = ids[4 * start : 4 * (start + room)]

@@ -101,3 +101,14 @@ def test_windows_stay_bounded_and_best_fit():
 
 def test_empty_table(documents):
     assert packing.pack(documents([(1, "x")]).where("false"), PATH).count() == 0
+
+
+def test_remembered_words_stay_bounded_and_frequent_ones_stay(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "MOST_WORDS", 60)
+    known = packing.WordIds(PATH)
+    for n in range(200):
+        text = f"always {ODD if n % 50 == 0 else ''} Word{chr(97 + n % 26)}{'xyzq'[n % 4] * (n // 20 + 1)}***, été{'aeiou'[n % 5] * (n // 30)}&&& {n}"
+        check(known, tokenizer, text)
+        held = sum(len(d) for d in (known, *vars(known).values()) if isinstance(d, dict))
+        assert held <= 2 * (60 + 120)
+        assert b"always" in known or b"always" in known.older
