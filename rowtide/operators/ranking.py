@@ -8,12 +8,15 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from rowtide.session import pinned, shuffle_width
 
 RANGE = "_rk_range"
 #: Sampled rows per range that bounds are chosen from.
 _SAMPLE = 40
+#: Characters of a text that a bound keeps. Any bound serves, so long texts neither pass through the driver nor stand in a plan.
+_BOUND_CHARS = 256
 
 
 class Desc(NamedTuple):
@@ -68,7 +71,9 @@ class Ranges:
         n, wanted = keys.count(), _SAMPLE * width
         if width < 2 or n < 2:
             return []
-        sample = keys.sample(min(1.0, 1.5 * wanted / n), 17).limit(3 * wanted)
+        kinds = {f.name: f.dataType for f in keys.schema}
+        short = [F.substring(c, 1, _BOUND_CHARS).alias(c) if kinds[c] == StringType() else F.col(c) for c in keys.columns]
+        sample = keys.sample(min(1.0, 1.5 * wanted / n), 17).select(*short).limit(3 * wanted)
         rows = [tuple(r[_name(o)] for o in self.by) for r in sample.sort(*sort_columns(self.by)).collect()]
         chosen = [rows[k * len(rows) // width] for k in range(1, width)] if rows else []
         self._kinds = [keys.schema[_name(o)].dataType for o in self.by]
@@ -83,7 +88,8 @@ class Ranges:
         def halve(found: Column, _: Column) -> Column:
             lo, hi = found["lo"], found["hi"]
             mid = F.shiftright(lo + hi, 1)
-            behind = _at_or_after(self.by, F.get(literal, mid))
+            # the bound by a lambda: the array of all of them stands in the plan once, not at each comparison
+            behind = F.exists(F.array(F.get(literal, mid)), lambda bound: _at_or_after(self.by, bound))
             narrowed = F.when(behind, F.struct((mid + 1).alias("lo"), hi.alias("hi"))).otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))
             return F.when(lo < hi, narrowed).otherwise(found)
 

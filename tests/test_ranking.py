@@ -186,3 +186,12 @@ def test_the_tail_fills_the_jobs_to_one_level(spark):
     even = jobs.balanced_by_amount(df.where("total_io < 100"), "name", 5, head=12)
     assert heaviest(even, 5) <= -(-sum(a for _, a in rows if a < 100) // 5) + 50
     assert jobs.balanced_by_amount(df.limit(0), "name", 5).count() == 0
+
+
+def test_bounds_of_long_texts_leave_the_plan_small(spark):
+    data = [(i % 3, ("same " * 500 if i % 2 else f"{i % 17} ") + f"long {i * 7919 % 400} " + "x" * 4000) for i in range(400)]
+    df = spark.createDataFrame(data, "g long, t string").repartition(5)
+    got = ranked(df, ["g"], ["t"], partitions=40)
+    assert len(got._jdf.queryExecution().toString()) < 400_000
+    want = {(g, t): n for k in range(3) for n, (g, t) in enumerate(sorted(r for r in data if r[0] == k), 1)}
+    assert {(r.g, r.t): r.rank_no for r in got.collect()} == want
