@@ -112,3 +112,9 @@ def test_remembered_words_stay_bounded_and_frequent_ones_stay(tokenizer, monkeyp
         held = sum(len(d) for d in (known, *vars(known).values()) if isinstance(d, dict))
         assert held <= 2 * (60 + 120)
         assert b"always" in known or b"always" in known.older
+
+
+def test_a_word_of_small_letters_is_remembered_once(tokenizer):
+    known = packing.WordIds(PATH)
+    check(known, tokenizer, " ".join(a + b + "ing" for a in "bcdfg" for b in "aeiou"))
+    assert sum(len(d) for d in (known, *vars(known).values()) if isinstance(d, dict)) == 25
