@@ -64,3 +64,50 @@ def test_cut_texts(documents):
 def test_empty_table(documents):
     none = documents([(1, "x")]).where("false")
     assert lines.line_decisions(none).count() == lines.removed_lines(none).count() == 0
+
+
+def test_stored_tables_have_no_more_rows_than_there_are_lines(documents, monkeypatch):
+    """Word lists of lines are many times the lines; none is written out."""
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(d, "\n".join(" ".join(rnd.choices(words, k=40)) for _ in range(5))) for d in range(30)]
+    held, written = {}, lines.stored
+    monkeypatch.setattr(lines, "stored", lambda df, label: held.setdefault(label, written(df, label)))
+    assert decided(documents(rows)) == expected(rows)
+    assert max(df.count() for df in held.values()) <= 150
+
+
+def test_long_lines_around_the_least_similarity(documents):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(2000)]
+    rows = []
+    for d in range(12):
+        base = rnd.sample(words, rnd.choice([20, 63, 64, 127, 130, 200, 260]))
+        text = []
+        for share in (0.0, 0.05, 0.1, 0.105, 0.11, 0.111, 0.112, 0.12, 0.15):
+            line = list(base)
+            for at in rnd.sample(range(len(line)), round(share * len(line))):
+                line[at] = rnd.choice(words) if rnd.random() < 0.8 else ""
+            text.append(" ".join(line))
+        rnd.shuffle(text)
+        rows.append((d, "\n".join(text)))
+    want = expected(rows)
+    assert 20 < sum(want.values()) < 100
+    assert decided(documents(rows)) == want
+
+
+def test_long_list_of_a_frequent_word_with_near_copies(documents):
+    rnd = random.Random(9)
+    base = [f"t{i}" for i in range(14)]
+    rows = [(i, " ".join([w if rnd.random() < 0.95 else f"x{rnd.randrange(3)}" for w in base])) for i in range(400)]
+    assert decided(documents(rows)) == expected(rows)
+
+
+def test_rows_repeating_id_and_text_and_null_ids(documents):
+    line = "a line of ten words that is told once only"
+    rows = [(1, line + "\nother words here at all"), (2, line + " more"), (3, "x")]
+    once = decided(documents(rows))
+    assert once == expected(rows) and once[2, 0]
+    assert decided(documents(rows * 3)) == once
+    nulls = [(None, " ".join(f"n{i}w{j}" for j in range(9))) for i in range(5)]
+    assert decided(documents([*nulls, (4, nulls[3][1] + " more")])) == {(None, 0): False, (4, 0): True}
