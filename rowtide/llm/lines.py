@@ -24,7 +24,8 @@ STEP = 64
 
 def split_lines(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, ``more``, ``line_no`` from 0 and lower-cased ``line`` of every text; white space other than line ends becomes a space."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *more, F.posexplode(_lines("text")).alias("line_no", "line"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *more, _spaced("text").alias("text"))  # a generator would compute it again and again
+    return docs.select("doc_id", *more, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def _spaced(text: str) -> Column:
@@ -33,10 +34,6 @@ def _spaced(text: str) -> Column:
     return F.when(odd, F.translate(text, "\t\r\v\f", "    ")).otherwise(text)
 
 
-def _lines(text: str) -> Column:
-    return F.split(_spaced(text), "\n")
-
-
 def _bucket(h: Column, bits: int) -> Column:
     return F.shiftrightunsigned(h, 64 - bits).cast("int")
 
@@ -48,31 +45,31 @@ def bucket_bits(docs: DataFrame) -> int:
 
 
 def frequency_classes(docs: DataFrame, bits: int) -> DataFrame:
-    """Counts of all words by hash bucket on a logarithmic scale: one row with one byte a bucket in ``levels``, 16 MB at most; stored."""
-    words = docs.select(F.explode(F.split(F.replace(_spaced("text"), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
+    """Counts of all words by hash bucket on a logarithmic scale: one row with an array of a byte a bucket, 16 MB at most; stored."""
+    texts = docs.select(F.replace(_spaced("text"), F.lit("\n"), F.lit(" ")).alias("text"))
+    words = texts.select(F.explode(F.split("text", " ")).alias("w")).where("w <> ''")
     words = words.select(_bucket(F.xxhash64("w"), bits).alias("b"), F.lit(1).alias("n"))
     every = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("b"), F.lit(0).alias("n"))
     counts = words.unionByName(every).groupBy("b").agg(F.sum("n").alias("n"))
-    level = F.char(F.least(F.lit(62), F.floor(F.log2(F.col("n") + 1) * 2)))
+    level = F.least(F.lit(62), F.floor(F.log2(F.col("n") + 1) * 2)).cast("tinyint")
 
-    def joined(key: str, value: str) -> Column:
-        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda x: x[value]), "")
+    def in_order(key: str) -> Column:
+        return F.transform(F.array_sort(F.collect_list(F.struct(key, "x"))), lambda x: x["x"])
 
-    parts = counts.select("b", level.alias("x")).groupBy(F.shiftright("b", 10).alias("part")).agg(joined("b", "x").alias("x"))
-    return stored(parts.agg(joined("part", "x").cast("binary").alias("levels")), "levels")
+    parts = counts.select("b", level.alias("x")).groupBy(F.shiftright("b", 10).alias("part")).agg(in_order("b").alias("x"))
+    return stored(parts.agg(F.flatten(in_order("part")).alias("levels")), "levels")
 
 
 def _tokens(rows: DataFrame, levels: DataFrame, bits: int, *keep: str) -> DataFrame:
     """``keep`` and ``t``, the distinct words of ``line`` as numbers that sort by rarity: six bits of frequency class, then 57 of hash."""
 
-    def number(w: Column) -> Column:
-        h = F.xxhash64(w)
-        level = F.ascii(F.substring("levels", _bucket(h, bits) + 1, F.lit(1)).cast("string")).cast("long")
-        return F.shiftleft(level, 57).bitwiseOR(F.shiftrightunsigned(h, 7))
+    def number(h: Column) -> Column:
+        level = F.shiftleft(F.get("levels", _bucket(h, bits)).cast("long"), 57)
+        return F.coalesce(level.bitwiseOR(F.shiftrightunsigned(h, 7)), F.lit(0))  # never null, so that it sorts fast
 
-    words = F.array_remove(F.split("line", " "), "")
+    words = F.array_distinct(F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w)))
     rows = rows.withColumn("levels", levels.scalar())
-    return rows.select(*keep, F.sort_array(F.array_distinct(F.transform(words, number))).alias("t"))
+    return rows.select(*keep, F.sort_array(F.transform(words, number)).alias("t"))
 
 
 def _ceil_share(n: Column, share: int, of: int) -> Column:
@@ -168,7 +165,8 @@ def _matched(docs: DataFrame, classes: DataFrame, levels: DataFrame, bits: int,
     places = firsts.groupBy(F.col("first.doc_id").alias("_id"), F.col("first.doc_key").alias("_key"))
     places = broadcast_if_small(stored(places.agg(F.collect_list(F.struct("uid", "h1", "first")).alias("_at")), "places"))
     found = docs.join(places, docs["doc_id"].eqNullSafe(places["_id"]) & (docs["doc_key"] == places["_key"]))
-    line = let(_lines("text"), lambda every: F.transform("_at", lambda at: F.struct(at, F.get(every, at["first"]["line_no"]))))
+    found = found.select("_at", _spaced("text").alias("text"))
+    line = let(F.split("text", "\n"), lambda every: F.transform("_at", lambda at: F.struct(at, F.get(every, at["first"]["line_no"]))))
     sets = _tokens(found.select(F.inline(line).alias("at", "line")).select("at.*", "line"), levels, bits, "uid", "h1", "first")
     sets = sets.where(F.xxhash64("t") == F.col("h1")).select("uid", "first", "t")
     sets = stored(sets, "sets")
