@@ -51,13 +51,20 @@ def primary_keys(constraints: DataFrame, usage: DataFrame) -> DataFrame:
     return named.join(usage.select("table_schema", "constraint_name", "column_name"), ["table_schema", "constraint_name"])
 
 
-def key_by_position(keys: DataFrame, columns: DataFrame) -> DataFrame:
+def key_by_position(keys: DataFrame, columns: DataFrame, by: Sequence[str] = COLUMN) -> DataFrame:
     """Key columns numbered by their position in the table; columns not selected come last.
 
-    Rows meet in tasks whose number grows with the input, so no task's share to sort does.
+    Rows meet in tasks whose number grows with the input, so no task's share to sort does. ``by`` is ``COLUMN`` or, with a
+    shuffle less, ``TABLE``; see :func:`schema_checksum`.
     """
-    known = spread(columns.select(*COLUMN, "ordinal_position"), *COLUMN)
-    placed = spread(keys.select(*COLUMN), *COLUMN).distinct().join(known, COLUMN, "left")
+    known = columns.select(*COLUMN, "ordinal_position").dropna(subset=COLUMN)
+    known = spread(known, *by).withColumn("_in_key", F.lit(False))
+    named = spread(keys.select(*COLUMN), *by).distinct().withColumn("_in_key", F.lit(True))
+    # a join of named with known; a window takes rows dealt out by less than all its columns as they lie, a join does not
+    same = Window.partitionBy(*COLUMN)
+    met = known.unionByName(named, allowMissingColumns=True)
+    met = met.withColumns({"_any": F.max("_in_key").over(same), "_only": F.min("_in_key").over(same)})
+    placed = met.where(F.when(F.col("_in_key"), F.col("_only")).otherwise(F.col("_any"))).select(*COLUMN, "ordinal_position")
     placed = spread(placed.withColumn("ordinal_position", F.coalesce("ordinal_position", F.lit(UNKNOWN_POSITION))), *TABLE)
     order = Window.partitionBy(*TABLE).orderBy("ordinal_position", "column_name")
     return placed.withColumn("key_position", F.row_number().over(order))
@@ -160,16 +167,20 @@ _ATTRIBUTES = (
 )
 
 
-def schema_checksum(columns: DataFrame, keys: DataFrame) -> DataFrame:
+def schema_checksum(columns: DataFrame, keys: DataFrame, by: Sequence[str] = COLUMN) -> DataFrame:
     """SHA-256 per table over all column attributes and the key with its order.
 
     Each column is hashed with its position and the hashes are added up, so a table is never
     gathered in one place however many columns a catalog lists for it. They are combined in tasks whose
     number grows with the input, as a task keeps a sum for each table it meets.
+
+    ``by`` says what rows are dealt out by. By ``COLUMN`` a table of any width spreads over the tasks, but sums of nearly every
+    column are shuffled once more. By ``TABLE`` one task streams over all columns of a table and keeps its sums alone, so
+    only plain rows are shuffled, and none where they lie by table already: for catalogs of many tables.
     """
     described = columns.select(*TABLE, F.lit("column").alias("_kind"), *[a for a in _ATTRIBUTES if a in columns.columns])
     keyed = keys.select(*TABLE, F.lit("key").alias("_kind"), "column_name", F.col("key_position").alias("ordinal_position"))
-    rows = spread(described.unionByName(keyed, allowMissingColumns=True), *COLUMN)
+    rows = spread(described.unionByName(keyed, allowMissingColumns=True), *by)
     fields = [F.col(c) for c in rows.columns if c not in TABLE]
     digest = additive_digest(row_digest(fields))
     return rows.groupBy(*TABLE).agg(F.sha2(digest, 256).alias("checksum"))

@@ -273,12 +273,12 @@ def _checksum_sql(columns: str, keys: str) -> str:
 
 def _placed_keys(spark, sf, version: int):
     order = st.physical(spark, sf).withColumnRenamed("column_id", "ordinal_position")
-    return cat.key_by_position(st.keys(spark, sf, version), order)
+    return cat.key_by_position(st.keys(spark, sf, version), order, by=cat.TABLE)
 
 
 def _checksums(spark, sf, version: int):
     columns = (st.columns_v1, st.columns_v2)[version - 1](spark, sf)
-    return cat.schema_checksum(columns, _placed_keys(spark, sf, version))
+    return cat.schema_checksum(columns, _placed_keys(spark, sf, version), by=cat.TABLE)
 
 
 @query(_checksum_sql(st.columns_v1_sql(), st.keys_sql(1)))

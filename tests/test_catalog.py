@@ -1,3 +1,5 @@
+import pytest
+
 from rowtide.operators import catalog as cat
 from rowtide.operators import diff, lookup
 
@@ -106,3 +108,29 @@ def test_discovery(spark, rows):
     names = ["Orders", "Orders_Archive", "tmp_x", "sysdiagrams", "MSlog"]
     tables = spark.createDataFrame([("s", n, "BASE TABLE") for n in names] + [("s", "V", "VIEW"), ("o", "Orders", "BASE TABLE")], "table_schema string, table_name string, table_type string")
     assert rows(cat.discover_tables(tables, "s", exclude=["tmp_*", "*_Archive"]), "table_name") == [("Orders",)]
+
+
+@pytest.mark.parametrize("by", [cat.COLUMN, cat.TABLE])
+def test_key_positions_of_repeated_and_null_names(spark, rows, by):
+    names = "table_schema string, table_name string, column_name string"
+    columns = [("s", "T", "a", 2), ("s", "T", "a", 2), ("s", "T", "a", 5), ("s", "T", "b", None), ("s", "T", None, 1), ("s", None, "a", 1), ("s", "U", "a", 1)]
+    keys = [("s", "T", "a"), ("s", "T", "a"), ("s", "T", "b"), ("s", "T", "gone"), ("s", "T", None), ("s", "T", None), ("s", None, "a")]
+    found = []
+    for k in set(keys):
+        met = [c[3] for c in columns if c[:3] == k and None not in k] or [None]
+        found += [(*k, cat.UNKNOWN_POSITION if p is None else p) for p in met]
+    expected = []
+    for t in {f[:2] for f in found}:
+        ordered = sorted((f for f in found if f[:2] == t), key=lambda f: (f[3], f[2] is not None, f[2] or ""))
+        expected += [(*f, n) for n, f in enumerate(ordered, 1)]
+    placed = cat.key_by_position(spark.createDataFrame(keys, names), spark.createDataFrame(columns, f"{names}, ordinal_position int"), by=by)
+    assert placed.columns == [*cat.COLUMN, "ordinal_position", "key_position"]
+    assert rows(placed) == sorted(expected, key=repr)
+
+
+def test_checksum_is_the_same_however_rows_are_dealt_out(spark, rows):
+    old, new = spark.createDataFrame(OLD, COLS), spark.createDataFrame(NEW, COLS)
+    key = spark.createDataFrame([("sales", "Orders", "OrderId"), ("sales", "Orders", "Total"), ("sales", "Gone", "x")], "table_schema string, table_name string, column_name string")
+    by_column, by_table = ([cat.schema_checksum(c, cat.key_by_position(key, old, by=by), by=by) for c in (old, new)] for by in (cat.COLUMN, cat.TABLE))
+    assert [rows(f) for f in by_column] == [rows(f) for f in by_table]
+    assert len(rows(by_table[0])) == 3

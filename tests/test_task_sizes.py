@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rowtide import session
 from rowtide.operators import catalog as cat
 from rowtide.sources.merge_store import KeyedTable
-from suite import streams
+from suite import catalogs, streams
 
 
 @pytest.fixture
@@ -66,3 +66,15 @@ def test_batches_do_not_follow_the_shuffle_width(spark, tmp_path, monkeypatch, n
         spark.conf.set("spark.sql.shuffle.partitions", width)
     assert 1 < len(set(applied)) <= 16
     assert rows == streams.shown(streams.ch.apply_changes(streams.st.base(spark, str(tmp_path)), streams.st.feed(spark, str(tmp_path)), streams.KEY)).count()
+
+
+def test_changed_tables_deals_out_lines_alone(spark, tmp_path):
+    spark.range(6000).selectExpr(
+        "id div 4 as l_orderkey", "id * 7 as l_partkey", "id * 3 as l_suppkey", "cast(id % 4 + 1 as int) as l_linenumber", "cast(id as double) as l_quantity"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = catalogs.changed_tables(spark, str(tmp_path))
+    assert len(found.collect()) > 500
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in plan
+    written = re.findall(r"^[\s:+-]*Exchange hashpartitioning.*", plan, re.M)
+    assert len(written) == 3 and all("l_orderkey" in line and "REPARTITION_BY_NUM" in line for line in written)
