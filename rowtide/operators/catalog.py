@@ -61,12 +61,12 @@ def key_by_position(keys: DataFrame, columns: DataFrame, by: Sequence[str] = COL
     known = spread(known, *by).withColumn("_in_key", F.lit(False))
     named = spread(keys.select(*COLUMN), *by).distinct().withColumn("_in_key", F.lit(True))
     # a join of named with known; a window takes rows dealt out by less than all its columns as they lie, a join does not
-    same = Window.partitionBy(*COLUMN)
+    same = Window.partitionBy(F.xxhash64(*COLUMN), *COLUMN)  # names of a schema begin alike, and text is compared slowly
     met = known.unionByName(named, allowMissingColumns=True)
     met = met.withColumns({"_any": F.max("_in_key").over(same), "_only": F.min("_in_key").over(same)})
     placed = met.where(F.when(F.col("_in_key"), F.col("_only")).otherwise(F.col("_any"))).select(*COLUMN, "ordinal_position")
     placed = spread(placed.withColumn("ordinal_position", F.coalesce("ordinal_position", F.lit(UNKNOWN_POSITION))), *TABLE)
-    order = Window.partitionBy(*TABLE).orderBy("ordinal_position", "column_name")
+    order = Window.partitionBy(F.xxhash64(*TABLE), *TABLE).orderBy("ordinal_position", "column_name")
     return placed.withColumn("key_position", F.row_number().over(order))
 
 

@@ -1,5 +1,9 @@
+import hashlib
+
 import pytest
+from pyspark.sql import functions as F
 
+from rowtide.functions.digests import additive_digest
 from rowtide.operators import catalog as cat
 from rowtide.operators import diff, lookup
 
@@ -134,3 +138,10 @@ def test_checksum_is_the_same_however_rows_are_dealt_out(spark, rows):
     by_column, by_table = ([cat.schema_checksum(c, cat.key_by_position(key, old, by=by), by=by) for c in (old, new)] for by in (cat.COLUMN, cat.TABLE))
     assert [rows(f) for f in by_column] == [rows(f) for f in by_table]
     assert len(rows(by_table[0])) == 3
+
+
+def test_digest_sums_are_exact(spark):
+    digests = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(50)] + ["f" * 64] * 50 + ["0" * 64]
+    totals = [sum(int(d[k : k + 16], 16) for d in digests) for k in range(0, 64, 16)]
+    found = spark.createDataFrame([(d,) for d in digests], "d string").repartition(5).agg(additive_digest(F.col("d")).alias("x"))
+    assert found.first().x == "-".join(map(str, [len(digests), *totals]))
